@@ -18,8 +18,11 @@ small stations.
    width ``w`` is the start of ``b`` up to the current second plus the end of
    ``b-1`` from the same offset on. Both are running aggregates, so the work is
    linear in the cells, and sums are only merged, never subtracted.
-3. The cell values are joined back to the readings on (station, second), a join
-   that adaptive execution can split when one second is hot.
+3. The cell values are joined back to the readings on (station, second). Rolling
+   alone is a plain join, which adaptive execution can split if a second is hot.
+   A trend also orders the readings inside each second, and clean readings, being
+   distinct by station and timestamp, are few there. Readings without a time are
+   the exception and are spread by a hash of their values.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from plumelake.functions.numbers import ratio, to_units
-from plumelake.functions.times import block_number, day_number, epoch_second
+from plumelake.functions.times import DAY, block_number, epoch_second
 
 STATION = "station_id"
 TIME = "timestamp_parsed"
@@ -39,6 +42,7 @@ TIME = "timestamp_parsed"
 NO_TIME = -(10 ** 12)
 # Readings without a time have no second to spread them, so a hash does.
 NO_TIME_SLOTS = 256
+SPREAD = ["pm25"]
 
 SECOND, SLOT = "_second", "_slot"
 CELL = [STATION, SECOND, SLOT]
@@ -92,7 +96,7 @@ def _rolling_range(df: DataFrame, specs: list[RollingSpec], scale: int | None) -
 
 def _trend_range(df: DataFrame, col: str, out: str) -> DataFrame:
     order = _history_order(df, col)
-    history = Window.partitionBy(STATION).orderBy(TIME, _slot(order), *order[1:])
+    history = Window.partitionBy(STATION).orderBy(TIME, _slot(df, col), *order[1:])
     return df.withColumn(out, F.col(col) - F.lag(col).over(history))
 
 
@@ -106,10 +110,15 @@ def _history_order(df: DataFrame, col: str) -> list[str]:
     return [TIME, col, *sorted(rest)]
 
 
-def _slot(order: list[str]) -> Column:
-    """0 for readings with a time; a hash of the reading for the others."""
-    spread = F.pmod(F.xxhash64(*order), F.lit(NO_TIME_SLOTS))
-    return F.when(F.col(TIME).isNull(), spread).otherwise(F.lit(0)).cast("int")
+def _slot(df: DataFrame, col: str | None) -> Column:
+    """0 for readings with a time; for the others a hash of their values, which
+    spreads them. Only a trend needs it; few columns, so that the aggregation
+    scans stay narrow."""
+    if col is None:
+        return F.lit(0)
+    spread = [c for c in SPREAD if c in df.columns and c != col]
+    hashed = F.pmod(F.xxhash64(col, *spread), F.lit(NO_TIME_SLOTS))
+    return F.when(F.col(TIME).isNull(), hashed).otherwise(F.lit(0)).cast("int")
 
 
 # --- bucket form ------------------------------------------------------------
@@ -138,7 +147,7 @@ def _parts_of(spec: RollingSpec) -> list[str]:
 def _add_cell(df: DataFrame, col: str | None) -> DataFrame:
     return df.withColumns({
         SECOND: F.coalesce(epoch_second(TIME), F.lit(NO_TIME)),
-        SLOT: _slot(_history_order(df, col or TIME)),
+        SLOT: _slot(df, col),
     })
 
 
@@ -153,72 +162,115 @@ def _visit_next(cells: DataFrame, block: str, visitor: str) -> DataFrame:
     )
 
 
-def _frame_values(cells: DataFrame, partials: dict[str, tuple], names: list[str], width: int,
-                  group: list[str], visitor: str) -> DataFrame:
-    """Add ``<partial>_<width>`` for cells that already sit in blocks of ``width``."""
-    offset = F.pmod(F.col(SECOND), F.lit(width))
-    whole = (Window.unboundedPreceding, Window.currentRow)
-    from_start = Window.partitionBy(*group).orderBy(SECOND).rangeBetween(*whole)
-    to_end = Window.partitionBy(*group).orderBy(offset.desc()).rangeBetween(*whole)
-    heads, tails, merged = {}, {}, {}
-    for name in names:
-        kind = partials[name][0]
-        own = F.when(~F.col(visitor), F.col(name))
-        visiting = F.when(F.col(visitor), F.col(name))
-        head, tail = f"{name}_head", f"{name}_tail"
-        heads[head] = _MERGE[kind](own).over(from_start)
-        tails[tail] = _MERGE[kind](visiting).over(to_end)
-        both = F.col(head), F.col(tail)
+RUNNING = (Window.unboundedPreceding, Window.currentRow)
+
+
+def _running(names: list[str], partials: dict[str, tuple], suffix: str, group: list[Column],
+             order: Column, rows: Column) -> dict[str, Column]:
+    """Running aggregates over the cells for which ``rows`` holds."""
+    frame = Window.partitionBy(*group).orderBy(order).rangeBetween(*RUNNING)
+    return {f"{n}{suffix}": _MERGE[partials[n][0]](F.when(rows, F.col(n))).over(frame) for n in names}
+
+
+def _merged(names: list[str], partials: dict[str, tuple], head: str, tail, width: int) -> dict[str, Column]:
+    """Frame value from the start of a block and the end of the one before."""
+    out = {}
+    for n in names:
+        kind = partials[n][0]
+        both = F.col(f"{n}{head}"), tail(n)
         if kind in ("sum", "count"):
-            # null only if neither side has a value
-            value = F.coalesce(both[0] + both[1], *both)
+            out[f"{n}_{width}"] = F.coalesce(both[0] + both[1], *both)  # null if both are
         else:
-            value = (F.least if kind == "min" else F.greatest)(*both)
-        merged[f"{name}_{width}"] = value
+            out[f"{n}_{width}"] = (F.least if kind == "min" else F.greatest)(*both)
+    return out
+
+
+def _longest_frame(cells: DataFrame, partials: dict[str, tuple], names: list[str],
+                   width: int) -> DataFrame:
+    """Frames as wide as the blocks: visitors are the cells of the block before."""
+    group = [F.col(STATION), F.col("_block")]
+    own, visiting = ~F.col("_visitor"), F.col("_visitor")
+    offset = F.pmod(F.col(SECOND), F.lit(width))
+    heads = _running(names, partials, "_head", group, F.col(SECOND), own)
+    tails = _running(names, partials, "_tail", group, offset.desc(), visiting)
+    merged = _merged(names, partials, "_head", lambda n: F.col(f"{n}_tail"), width)
+    return cells.withColumns(heads).withColumns(tails).withColumns(merged).drop(*heads, *tails)
+
+
+def _shorter_frame(cells: DataFrame, partials: dict[str, tuple], names: list[str],
+                   width: int, longest: int) -> DataFrame:
+    """Frames inside the block and its visitors, which are cut into parts of
+    ``width``. A part and the one before it form a pair: in one of the two ways to
+    pair up neighbours, (0,1)(2,3) or (1,2)(3,4), both are in the same group."""
+    # Of the visitors, only those a frame of this width can still reach.
+    near = cells.where(~F.col("_visitor") | (F.col(SECOND) >= F.col("_block") * longest - width))
+    base = [F.col(STATION), F.col("_block")]
+    part = block_number(F.col(SECOND), width)
+    offset = F.pmod(F.col(SECOND), F.lit(width))
+    odd = F.pmod(F.col("_part"), F.lit(2)) == 1
+    parts = near.withColumn("_part", part)
+    heads = _running(names, partials, "_head", [*base, F.col("_part")], F.col(SECOND), F.lit(True))
+    low = _running(names, partials, "_low", [*base, F.floor(F.col("_part") / 2)], offset.desc(), ~odd)
+    high = _running(names, partials, "_high", [*base, F.floor((F.col("_part") + 1) / 2)],
+                    offset.desc(), odd)
+    merged = _merged(names, partials, "_head",
+                     lambda n: F.when(odd, F.col(f"{n}_low")).otherwise(F.col(f"{n}_high")), width)
     return (
-        cells.withColumns(heads).withColumns(tails).withColumns(merged).drop(*heads, *tails)
+        parts.withColumns(heads).withColumns(low).withColumns(high).withColumns(merged)
+        .drop("_part", *heads, *low, *high)
     )
 
 
-def _roll_cells(cells: DataFrame, partials: dict[str, tuple],
-                needs: dict[int, list[str]]) -> DataFrame:
-    """Frame values for every cell. All windows below run on the one shuffle by
-    (station, block of the longest frame); shorter blocks are parts of it."""
-    widths = sorted(needs, reverse=True)
-    longest = widths[0]
-    main = _visit_next(
-        cells.withColumn("_block", block_number(F.col(SECOND), longest)), "_block", "_visitor")
-    main = _frame_values(main, partials, needs[longest], longest, [STATION, "_block"], "_visitor")
-    for width in widths[1:]:
-        inner = _visit_next(
-            main.withColumn("_part", block_number(F.col(SECOND), width)), "_part", "_inner")
-        inner = _frame_values(inner, partials, needs[width], width,
-                              [STATION, "_block", "_part"], "_inner")
-        main = inner.where(~F.col("_inner")).drop("_inner", "_part")
-    return main.where(~F.col("_visitor")).drop("_visitor", "_block")
-
-
-def _previous_of_cells(cells: DataFrame, readings: DataFrame, col: str) -> DataFrame:
-    """Add ``_before``: the last value of ``col`` ahead of each cell, as a struct.
-
-    Inside a day by ``lag`` over the day's cells. The first cell of a day takes
-    the last value of the station's previous day with readings, from a table of
-    one row per station and day.
+def _roll_cells(cells: DataFrame, partials: dict[str, tuple], needs: dict[int, list[str]],
+                with_trend: bool) -> DataFrame:
+    """Frame values, and with a trend ``_lagged``, for every cell.
+
+    All windows below run on the one shuffle by (station, block of the longest
+    frame); shorter blocks are parts of it. ``_block`` is kept.
     """
-    day = day_number(F.col(SECOND)).alias("_day")
-    in_order = F.max(F.struct(SECOND, SLOT, TIME, col))
-    days = readings.groupBy(STATION, day).agg(in_order.alias("_end"))
-    by_day = Window.partitionBy(STATION).orderBy("_day")
-    days = days.select(
-        STATION, "_day",
-        F.lag(F.struct(F.col("_end")[col].alias("v"))).over(by_day).alias("_carry"))
-    in_day = Window.partitionBy(STATION, "_day").orderBy(SECOND, SLOT)
+    longest = max(needs, default=DAY)
+    main = cells.withColumn("_block", block_number(F.col(SECOND), longest))
+    if needs:
+        main = _visit_next(main, "_block", "_visitor")
+    if with_trend:
+        # First, so that its order also serves the running values from the start.
+        in_block = Window.partitionBy(STATION, "_block").orderBy(SECOND, SLOT)
+        main = main.withColumn("_lagged", F.lag(F.struct(F.col("_last").alias("v"))).over(in_block))
+    if not needs:
+        return main
+    main = _longest_frame(main, partials, needs[longest], longest)
+    for width in sorted(set(needs) - {longest}, reverse=True):
+        main = _shorter_frame(main, partials, needs[width], width, longest)
+    return main.where(~F.col("_visitor")).drop("_visitor")
+
+
+def _last_key(df: DataFrame, col: str) -> Column:
+    """Sort key inside one second: fraction, then value. For whole numbers it fits
+    one bigint, which lets Spark aggregate by hashing."""
+    if not isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
+        return F.struct(TIME, col)
+    fraction = F.coalesce(F.pmod(F.unix_micros(F.col(TIME).cast("timestamp")), F.lit(10 ** 6)), F.lit(0))
+    value = F.coalesce(F.col(col).cast("bigint") + (2 ** 31 + 1), F.lit(0))
+    return fraction * 2 ** 33 + value
+
+
+def _add_carry(rolled: DataFrame, cells: DataFrame, width: int) -> DataFrame:
+    """Add ``_before``: the value ahead of each cell, as a struct.
+
+    ``_lagged`` knows the cells of the block and of the one before. A cell with
+    none there takes the last value of the station's previous block with readings,
+    from a table of one row per station and block.
+    """
+    block = block_number(F.col(SECOND), width).alias("_block")
+    ends = cells.groupBy(STATION, block).agg(
+        F.max_by("_last", F.col(SECOND) * NO_TIME_SLOTS + F.col(SLOT)).alias("_end"))
+    by_block = Window.partitionBy(STATION).orderBy("_block")
+    ends = ends.select(
+        STATION, "_block", F.lag(F.struct(F.col("_end").alias("v"))).over(by_block).alias("_carry"))
     return (
-        cells.withColumn("_day", day)
-        .withColumn("_lagged", F.lag(F.struct(F.col("_last").alias("v"))).over(in_day))
-        .join(days, [STATION, "_day"], "left")
+        rolled.join(ends, [STATION, "_block"], "left")
         .withColumn("_before", F.coalesce("_lagged", "_carry"))
-        .drop("_day", "_lagged", "_carry", "_last")
+        .drop("_lagged", "_carry", "_last")
     )
 
 
@@ -228,17 +280,16 @@ def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
     partials = _partials(df, specs, scale)
     states = {name: expr for name, (_, expr) in partials.items()}
     if trend_col:
-        states["_last"] = F.max(F.struct(TIME, trend_col)).getField(trend_col)
+        states["_last"] = F.max_by(trend_col, _last_key(df, trend_col))
     cells = keyed.groupBy(*CELL).agg(*[e.alias(n) for n, e in states.items()])
 
     needs: dict[int, list[str]] = {}
     for s in specs:
         needs.setdefault(s.seconds, [])
         needs[s.seconds] += [p for p in _parts_of(s) if p not in needs[s.seconds]]
-    if needs:
-        cells = _roll_cells(cells, partials, needs)
+    rolled = _roll_cells(cells, partials, needs, bool(trend_col))
     if trend_col:
-        cells = _previous_of_cells(cells, keyed, trend_col)
+        rolled = _add_carry(rolled, cells, max(needs, default=DAY))
 
     values = {}
     for s in specs:
@@ -251,14 +302,14 @@ def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
         else:
             values[s.out] = parts[0]
     carried = ["_before"] if trend_col else []
-    cells = cells.select(*CELL, *[e.alias(n) for n, e in values.items()], *carried)
+    results = rolled.select(*CELL, *[e.alias(n) for n, e in values.items()], *carried)
 
     if trend_col:
         # Order inside one second; in clean data nearly every cell has one reading.
         in_cell = Window.partitionBy(*CELL).orderBy(*_history_order(df, trend_col))
         keyed = keyed.withColumn(
             "_within", F.lag(F.struct(F.col(trend_col).alias("v"))).over(in_cell))
-    joined = keyed.join(cells, CELL, "left")
+    joined = keyed.join(results, CELL, "left")
     if trend_col:
         previous = F.coalesce("_within", "_before")["v"]
         joined = joined.withColumn(trend_out, F.col(trend_col) - previous)
@@ -302,3 +353,19 @@ def rolling_with_trend(df: DataFrame, specs: list[RollingSpec | tuple], col: str
     if method == "bucket":
         return _bucketed(df, _check(specs), scale, col, out)
     return trend(rolling(df, specs, method, scale), col, out, method)
+
+
+def choose_method(df: DataFrame, most_rows: int = 2_000_000, most_in_frame: int = 500) -> str:
+    """``range`` if every station is small and its days are sparse, else ``bucket``.
+
+    One narrow pass: readings per station and day, then the largest station and the
+    mean number of readings a 24-hour frame meets. Meant for tables, where it reads
+    two columns.
+    """
+    day = block_number(F.coalesce(epoch_second(TIME), F.lit(NO_TIME)), DAY).alias("_day")
+    per_day = df.groupBy(STATION, day).agg(F.count(F.lit(1)).alias("n"))
+    per_station = per_day.groupBy(STATION).agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * F.col("n")).alias("meets"))
+    row = per_station.agg(F.max("rows"), F.try_divide(F.sum("meets"), F.sum("rows"))).first()
+    small = row[0] is None or (row[0] <= most_rows and row[1] <= most_in_frame)
+    return "range" if small else "bucket"

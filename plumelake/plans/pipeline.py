@@ -13,6 +13,7 @@ from plumelake.operators.curate import clean_nulls, dedup, parse_time, quarantin
 from plumelake.operators.features import features
 from plumelake.operators.model import (
     PREDICTED, PROBABILITY, REAL, auc, fit, load_model, metrics, save_model, score, split, training_frame)
+from plumelake.operators.rolling import choose_method
 from plumelake.session import use_utc
 from plumelake.sources.readers import read_clean, read_features, read_predictions, read_raw
 from plumelake.sources.writers import write_clean, write_features, write_predictions
@@ -47,10 +48,12 @@ def build_clean(spark: SparkSession, raw_path: str, places: Places,
     return {"read": read.get["n"], "clean": kept.get["n"]}
 
 
-def build_features(spark: SparkSession, places: Places, method: str = "bucket",
+def build_features(spark: SparkSession, places: Places, method: str = "auto",
                    scale: int | None = None, horizon: int | None = None) -> dict[str, int]:
-    feats, made = _counted(
-        features(read_clean(spark, places.clean), method, scale, horizon=horizon), "featured")
+    clean = read_clean(spark, places.clean)
+    if method == "auto":
+        method = choose_method(clean)
+    feats, made = _counted(features(clean, method, scale, horizon=horizon), "featured")
     write_features(feats, places.features)
     return {"featured": made.get["n"]}
 
@@ -87,7 +90,7 @@ def raise_alerts(spark: SparkSession, places: Places, now: str, threshold: float
 
 
 def run_batch(spark: SparkSession, raw_path: str, out_path: str, now: str,
-              concatenated: bool = False, method: str = "bucket", scale: int | None = None,
+              concatenated: bool = False, method: str = "auto", scale: int | None = None,
               split_method: str = "hash", region: str = "", signature: str = "") -> dict:
     """All steps in order; an error ends the run. Returns row counts per stage and
     the quality of the model. Any outside scheduler can call it every two hours."""
