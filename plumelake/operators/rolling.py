@@ -302,19 +302,18 @@ def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
         else:
             values[s.out] = parts[0]
     carried = ["_before"] if trend_col else []
-    results = rolled.select(*CELL, *[e.alias(n) for n, e in values.items()], *carried)
+    results = rolled.select(*CELL, *[e.alias(f"_out_{n}") for n, e in values.items()], *carried)
 
     if trend_col:
         # Order inside one second; in clean data nearly every cell has one reading.
         in_cell = Window.partitionBy(*CELL).orderBy(*_history_order(df, trend_col))
         keyed = keyed.withColumn(
             "_within", F.lag(F.struct(F.col(trend_col).alias("v"))).over(in_cell))
-    joined = keyed.join(results, CELL, "left")
+    added = {n: F.col(f"_out_{n}") for n in values}
     if trend_col:
-        previous = F.coalesce("_within", "_before")["v"]
-        joined = joined.withColumn(trend_out, F.col(trend_col) - previous)
-    outs = [s.out for s in specs] + ([trend_out] if trend_col else [])
-    return joined.select(*[c for c in df.columns if c not in outs], *outs)
+        added[trend_out] = F.col(trend_col) - F.coalesce("_within", "_before")["v"]
+    return keyed.join(results, CELL, "left").select(
+        *[c for c in df.columns if c not in added], *[e.alias(n) for n, e in added.items()])
 
 
 # --- public -----------------------------------------------------------------
