@@ -180,22 +180,25 @@ def metrics_of_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def auc(scored: DataFrame, by: str = PROBABILITY, real: str = REAL, parts: int = 256) -> DataFrame:
+def auc(scored: DataFrame, by: str = PROBABILITY, real: str = REAL,
+        parts: int | None = None) -> DataFrame:
     """Area under the ROC curve, exact: the share of (positive, negative) pairs in
     the right order, ties counting half. One row.
 
     Counts per distinct score come first. Scores are then cut into ``parts``
-    ranges of about equal size, so that the running count of negatives is taken
-    per range and needs no global sort; the totals of the ranges are a table of
-    few hundred rows. The cut points only decide the balance, the result is exact
-    for any of them. The distinct scores are written once to the shared folder,
-    since they are read three times.
+    ranges of about equal size (by default one per million, 64 to 10,000), so that
+    the running count of negatives is taken per range and needs no global sort;
+    the totals of the ranges are one small row each. The cut points only decide
+    the balance, the result is exact for any of them. The distinct scores are
+    written once to the shared folder, since they are read three times.
     """
     pos = F.count_if(F.col(real) == 1.0).cast("decimal(38,0)")
     neg = F.count_if(F.col(real) == 0.0).cast("decimal(38,0)")
     scores = scored.groupBy(F.col(by).alias("_s")).agg(pos.alias("_pos"), neg.alias("_neg"))
     scores = written(scores, "scores")
-    cuts = sorted(set(scores.approxQuantile("_s", [i / parts for i in range(1, parts)], 0.001)))
+    parts = parts or min(max(scores.count() // 1_000_000, 64), 10_000)
+    cuts = sorted(set(scores.approxQuantile(
+        "_s", [i / parts for i in range(1, parts)], min(0.001, 0.25 / parts))))
     if cuts:
         ranged = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_s",
                             outputCol="_range", handleInvalid="keep").transform(scores)

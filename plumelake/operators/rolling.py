@@ -42,7 +42,7 @@ TIME = "timestamp_parsed"
 NO_TIME = -(10 ** 12)
 # Readings without a time have no second to spread them, so a hash does.
 NO_TIME_SLOTS = 256
-SPREAD = ["pm25"]
+SPREAD = "pm25"
 
 SECOND, SLOT = "_second", "_slot"
 CELL = [STATION, SECOND, SLOT]
@@ -111,13 +111,10 @@ def _history_order(df: DataFrame, col: str) -> list[str]:
 
 
 def _slot(df: DataFrame, col: str | None) -> Column:
-    """0 for readings with a time; for the others a hash of their values, which
-    spreads them. Only a trend needs it; few columns, so that the aggregation
-    scans stay narrow."""
-    if col is None:
-        return F.lit(0)
-    spread = [c for c in SPREAD if c in df.columns and c != col]
-    hashed = F.pmod(F.xxhash64(col, *spread), F.lit(NO_TIME_SLOTS))
+    """0 for readings with a time; for the others a hash of a few values, which
+    spreads them. Few, so that the aggregation scans stay narrow."""
+    spread = [c for c in {col: 0, SPREAD: 0} if c in df.columns]
+    hashed = F.pmod(F.xxhash64(*spread), F.lit(NO_TIME_SLOTS)) if spread else F.lit(0)
     return F.when(F.col(TIME).isNull(), hashed).otherwise(F.lit(0)).cast("int")
 
 

@@ -13,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from plumelake.functions.times import DAY, HOUR
+from plumelake.functions.air import aqi_category
+from plumelake.functions.times import DAY, HOUR, parse_text_time, tolerant_time
 from plumelake.operators import alerts as al, model as ml, reports as rp
 from plumelake.operators.curate import REQUIRED, clean_nulls, curate, dedup, quarantine
 from plumelake.operators.features import calendar, features, label
@@ -70,8 +71,14 @@ def _clean(spark: SparkSession, sf_dir: str, station: str = "event_type") -> Dat
     return curate(_raw(spark, sf_dir, station), ARRIVAL)[0]
 
 
+def _clean_table(spark: SparkSession, sf_dir: str, station: str = "event_type") -> DataFrame:
+    """Clean readings as a stored table, for operators that read them more than
+    once; otherwise each read would repeat the de-duplication."""
+    return written(_clean(spark, sf_dir, station), "clean")
+
+
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(_clean(spark, sf_dir), scale=2)
+    return features(_clean_table(spark, sf_dir), scale=2)
 
 
 def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +98,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _rolled(spark: SparkSession, sf_dir: str, *specs: tuple, station: str = "event_type") -> DataFrame:
-    rolled = rolling(_clean(spark, sf_dir, station), list(specs), scale=2)
+    rolled = rolling(_clean_table(spark, sf_dir, station), list(specs), scale=2)
     return plain(rolled.select("station_id", "timestamp_parsed", "pm25", "aqi", *[s[0] for s in specs]))
 
 
@@ -114,13 +121,11 @@ def dedup_readings(spark, sf_dir):
 
 
 def aqi_category_map(spark, sf_dir):
-    from plumelake.functions.air import aqi_category
     return _raw(spark, sf_dir).groupBy("aqi", aqi_category("aqi").alias("aqi_category")).agg(
         F.count(F.lit(1)).alias("lecturas"))
 
 
 def timestamp_parsing(spark, sf_dir):
-    from plumelake.functions.times import parse_text_time, tolerant_time
     marked = F.concat("timestamp", F.lit("Z"))
     return plain(_raw(spark, sf_dir).select(
         "event_id", "ingest_seq",
@@ -153,12 +158,12 @@ def rolling_bucketed_24h(spark, sf_dir):
 
 
 def aqi_trend(spark, sf_dir):
-    return plain(trend(_clean(spark, sf_dir)).select(
+    return plain(trend(_clean_table(spark, sf_dir)).select(
         "station_id", "timestamp_parsed", "aqi", "tendencia_aqi"))
 
 
 def aqi_trend_many_stations(spark, sf_dir):
-    return plain(trend(_clean(spark, sf_dir, "user_id")).select(
+    return plain(trend(_clean_table(spark, sf_dir, "user_id")).select(
         "station_id", "timestamp_parsed", "aqi", "tendencia_aqi"))
 
 
@@ -173,7 +178,7 @@ def high_pollution_label(spark, sf_dir):
 
 
 def label_six_hours_ahead(spark, sf_dir):
-    return plain(label(_clean(spark, sf_dir), horizon=6 * HOUR).select(
+    return plain(label(_clean_table(spark, sf_dir), horizon=6 * HOUR).select(
         "station_id", "timestamp_parsed", "aqi", "contaminacion_alta"))
 
 
@@ -250,7 +255,8 @@ def alert_totals_json(spark, sf_dir):
 
 
 def alert_digest(spark, sf_dir):
-    return al.digest(_alerts(spark, sf_dir), NOW, "station_id", REGION, SIGNATURE, part_size=20)
+    found = written(_alerts(spark, sf_dir), "alerts")
+    return al.digest(found, NOW, "station_id", REGION, SIGNATURE, part_size=20)
 
 
 def url_decode_keys(spark, sf_dir):
