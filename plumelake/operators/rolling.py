@@ -218,9 +218,20 @@ def _shorter_frame(cells: DataFrame, partials: dict[str, tuple], names: list[str
     )
 
 
-def _roll_cells(cells: DataFrame, partials: dict[str, tuple], needs: dict[int, list[str]],
-                with_trend: bool) -> DataFrame:
-    """Frame values, and with a trend ``_lagged``, for every cell.
+def _value(df: DataFrame, spec: RollingSpec, scale: int | None) -> Column:
+    """The result of one spec from the merged partial results of its frame."""
+    parts = [F.col(f"{p}_{spec.seconds}") for p in _parts_of(spec)]
+    units = None if _is_integral(df, spec.col) else scale
+    if spec.fn == "avg":
+        return ratio(*parts, units)
+    if spec.fn == "sum" and units is not None:
+        return ratio(parts[0], F.lit(1), units)
+    return parts[0]
+
+
+def _roll_cells(cells: DataFrame, partials: dict[str, tuple], values: dict[int, dict[str, Column]],
+                needs: dict[int, list[str]], with_trend: bool) -> DataFrame:
+    """Results per frame width, and with a trend ``_lagged``, for every cell.
 
     All windows below run on the one shuffle by (station, block of the longest
     frame); shorter blocks are parts of it. ``_block`` is kept.
@@ -235,9 +246,13 @@ def _roll_cells(cells: DataFrame, partials: dict[str, tuple], needs: dict[int, l
         main = main.withColumn("_lagged", F.lag(F.struct(F.col("_last").alias("v"))).over(in_block))
     if not needs:
         return main
-    main = _longest_frame(main, partials, needs[longest], longest)
-    for width in sorted(set(needs) - {longest}, reverse=True):
-        main = _shorter_frame(main, partials, needs[width], width, longest)
+    for width in sorted(needs, reverse=True):
+        if width == longest:
+            main = _longest_frame(main, partials, needs[width], width)
+        else:
+            main = _shorter_frame(main, partials, needs[width], width, longest)
+        # Results at once, so that the rows stay narrow for the windows that follow.
+        main = main.withColumns(values[width]).drop(*[f"{n}_{width}" for n in needs[width]])
     return main.where(~F.col("_visitor")).drop("_visitor")
 
 
@@ -281,32 +296,22 @@ def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
     cells = keyed.groupBy(*CELL).agg(*[e.alias(n) for n, e in states.items()])
 
     needs: dict[int, list[str]] = {}
-    for s in specs:
-        needs.setdefault(s.seconds, [])
-        needs[s.seconds] += [p for p in _parts_of(s) if p not in needs[s.seconds]]
-    rolled = _roll_cells(cells, partials, needs, bool(trend_col))
+    values: dict[int, dict[str, Column]] = {}
+    for spec in specs:
+        known = needs.setdefault(spec.seconds, [])
+        known += [p for p in _parts_of(spec) if p not in known]
+        values.setdefault(spec.seconds, {})[f"_out_{spec.out}"] = _value(df, spec, scale)
+    rolled = _roll_cells(cells, partials, values, needs, bool(trend_col))
     if trend_col:
         rolled = _add_carry(rolled, cells, max(needs, default=DAY))
-
-    values = {}
-    for s in specs:
-        parts = [F.col(f"{p}_{s.seconds}") for p in _parts_of(s)]
-        units = None if _is_integral(df, s.col) else scale
-        if s.fn == "avg":
-            values[s.out] = ratio(*parts, units)
-        elif s.fn == "sum" and units is not None:
-            values[s.out] = ratio(parts[0], F.lit(1), units)
-        else:
-            values[s.out] = parts[0]
-    carried = ["_before"] if trend_col else []
-    results = rolled.select(*CELL, *[e.alias(f"_out_{n}") for n, e in values.items()], *carried)
+    results = rolled.select(*CELL, *[f"_out_{s.out}" for s in specs], *(["_before"] if trend_col else []))
 
     if trend_col:
         # Order inside one second; in clean data nearly every cell has one reading.
         in_cell = Window.partitionBy(*CELL).orderBy(*_history_order(df, trend_col))
         keyed = keyed.withColumn(
             "_within", F.lag(F.struct(F.col(trend_col).alias("v"))).over(in_cell))
-    added = {n: F.col(f"_out_{n}") for n in values}
+    added = {s.out: F.col(f"_out_{s.out}") for s in specs}
     if trend_col:
         added[trend_out] = F.col(trend_col) - F.coalesce("_within", "_before")["v"]
     return keyed.join(results, CELL, "left").select(

@@ -462,6 +462,17 @@ def stream_feature_table(spark, sf_dir):
     return plain(readers.read_features(spark, feats))
 
 
+def stream_scores(spark, sf_dir):
+    source = shared_folder(spark, "features")
+    writers.write_features(_features(spark, sf_dir), source)
+    fixed = {"weights": WEIGHTS, "means": MEANS, "stds": STDS, "bias": BIAS}
+    scored = scoring.stream_score(readers.stream_features(spark, source), fixed, RUN_TS)
+    path = shared_folder(spark, "stream-predictions")
+    intake.append_parquet(scored, path, shared_folder(spark, "ckpt"),
+                          schemas.PREDICTION_PARTITIONS).awaitTermination()
+    return plain(_rounded(readers.read_predictions(spark, path).drop("source_file")))
+
+
 def stream_alerts(spark, sf_dir):
     pred = readers.stream_predictions(spark, _prediction_files(spark, sf_dir))
     found = scoring.stream_alerts(pred, NOW, mode="once", watermark=LATE)
@@ -485,7 +496,7 @@ REGISTERED: list[Query] = [
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings,
     pipeline_stage_counts, stream_dedup, stream_quarantine, stream_hourly_aqi,
-    stream_feature_table, stream_alerts,
+    stream_feature_table, stream_scores, stream_alerts,
 ]
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(app: str = "plumelake", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with UTC time and adaptive execution.
+    """A session with UTC time, adaptive execution and room for compiled code: the
+    feature job alone has more generated classes than the default cache of 100, and
+    would compile them again in every stage.
 
     Partition counts, memory and executors are left to the cluster; pass them
     in ``conf`` for a local run.
@@ -21,6 +23,7 @@ def build_session(app: str = "plumelake", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     if master:
         builder = builder.master(master)

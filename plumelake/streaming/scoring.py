@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumelake.operators.alerts import HOURS, THRESHOLD, alerts
-from plumelake.operators.model import score, training_frame
+from plumelake.operators.model import score, score_with, training_frame
 
 
-def stream_score(src: DataFrame, model: PipelineModel, run_ts: str) -> DataFrame:
-    """Predictions for new feature rows, row by row."""
-    return score(model, training_frame(src), run_ts)
+def stream_score(src: DataFrame, model: PipelineModel | Mapping, run_ts: str) -> DataFrame:
+    """Predictions for new feature rows, row by row, from a fitted model or from
+    coefficients as ``score_with`` takes them."""
+    frame = training_frame(src)
+    if isinstance(model, Mapping):
+        return score_with(frame, **model, run_ts=run_ts)
+    return score(model, frame, run_ts)
 
 
 def stream_alerts(src: DataFrame, now: str | datetime | Column | None = None, mode: str = "reference",
