@@ -33,7 +33,8 @@ def _place(axis: int) -> str:
                        str(ad.ELSEWHERE[axis])))
 
 
-def _ctes(station: str = "event_type", timed_only: bool = False) -> list[str]:
+def _ctes(station: str = "event_type", timed_only: bool = False,
+          order: str = "event_id, ingest_seq") -> list[str]:
     index = _cases(
         [(f"event_id % {ad.NO_INDEX} = 0", "NULL"), (f"event_id % {ad.ZERO_INDEX} = 0", "0")]
         + [(f"value < {lim}", str(i)) for lim, i in ad.INDEX_LIMITS], "5")
@@ -60,10 +61,10 @@ def _ctes(station: str = "event_type", timed_only: bool = False) -> list[str]:
         """kept AS (
   SELECT * FROM raw
   WHERE station_id IS NOT NULL AND timestamp IS NOT NULL AND pm25 IS NOT NULL)""",
-        """firsts AS (
+        f"""firsts AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY station_id, timestamp
-                                 ORDER BY event_id, ingest_seq) AS rn FROM kept)
+    SELECT *, row_number() OVER (PARTITION BY station_id, timestamp ORDER BY {order}) AS rn
+    FROM kept)
   WHERE rn = 1)""",
         f"""clean AS (
   SELECT station_id, station_name, latitude, longitude, aqi, {CATEGORY} AS aqi_category,
@@ -126,8 +127,14 @@ def _margin() -> str:
     return f"({expr} + {_dbl(q.BIAS)})"
 
 
-def _sql(body: str, station: str = "event_type", timed_only: bool = False) -> str:
-    return "WITH " + ",\n".join(_ctes(station, timed_only)) + "\n" + body
+def _sql(body: str, **variant) -> str:
+    return "WITH " + ",\n".join(_ctes(**variant)) + "\n" + body
+
+
+# Raw files do not tell the order of arrival: the values decide which of several
+# readings of one station and time survives.
+BY_VALUES = ", ".join(
+    f"{c} NULLS FIRST" for c in schemas.columns(schemas.RAW) if c not in ("station_id", "timestamp"))
 
 
 CLEAN_OUT = "* REPLACE (CAST(curated_date AS VARCHAR) AS curated_date)"
@@ -266,10 +273,11 @@ def statements() -> dict[str, str]:
         "rolling_pm25_6h": _sql(_rolling("pm25_prom_6h")),
         "rolling_aqi_24h_avg_max": _sql(_rolling("aqi_prom_24h", "aqi_max_24h")),
         "rolling_aqi_1h": _sql(_rolling("aqi_prom_1h")),
-        "rolling_bucketed_24h": _sql(_rolling(*many), "user_id"),
+        "rolling_bucketed_24h": _sql(_rolling(*many), station="user_id"),
         "aqi_trend": _sql("SELECT station_id, timestamp_parsed, aqi, tendencia_aqi FROM rolled"),
         "aqi_trend_many_stations": _sql(
-            "SELECT station_id, timestamp_parsed, aqi, tendencia_aqi FROM rolled", "user_id"),
+            "SELECT station_id, timestamp_parsed, aqi, tendencia_aqi FROM rolled",
+            station="user_id"),
         "calendar_features": _sql(
             "SELECT station_id, timestamp_parsed, hora_dia, dia_semana, es_fin_semana FROM rolled"),
         "high_pollution_label": _sql(
@@ -346,7 +354,7 @@ def statements() -> dict[str, str]:
             "+ INTERVAL 1 DAY THEN upper(station_name) ELSE station_name END AS station_name, "
             "count(*) AS lecturas FROM clean GROUP BY 1" % q.SELECTED_DAYS),
         "synthetic_readings": _synthetic(),
-        "pipeline_stage_counts": _sql(STAGES),
+        "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
         "stream_dedup": _sql(
             "SELECT station_id, timestamp_parsed FROM clean WHERE timestamp_parsed IS NOT NULL"),
         "stream_quarantine": _sql(QUARANTINE),
