@@ -15,7 +15,7 @@ from plumelake.functions.air import predicted_state
 from plumelake.functions.numbers import hash_percent, ratio
 from plumelake.functions.times import epoch_second
 from plumelake.operators.rolling import STATION, TIME
-from plumelake.session import written
+from plumelake.session import shared_folder, written
 from plumelake.sources import schemas
 
 # The model inputs in vector order, and the label.
@@ -71,8 +71,15 @@ def build_pipeline(reg: float = 0.01, max_iter: int = 100) -> Pipeline:
 
 
 def fit(train: DataFrame, reg: float = 0.01, max_iter: int = 100) -> PipelineModel:
-    """Standardise and fit. Only label and inputs travel through the iterations."""
-    return build_pipeline(reg, max_iter).fit(train.select(*INPUTS, LABEL))
+    """Standardise and fit. Only label and inputs travel through the iterations.
+
+    The model is stored and read back. That drops its training summary, which holds
+    the session, and Spark cannot ship that to tasks once a session has counted rows
+    with ``observe``.
+    """
+    path = shared_folder(train.sparkSession, "model")
+    save_model(build_pipeline(reg, max_iter).fit(train.select(*INPUTS, LABEL)), path)
+    return load_model(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

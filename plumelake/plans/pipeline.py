@@ -12,7 +12,7 @@ from plumelake.operators.alerts import HOURS, THRESHOLD, alerts, digest
 from plumelake.operators.curate import clean_nulls, dedup, parse_time, quarantine, shape_clean
 from plumelake.operators.features import features
 from plumelake.operators.model import (
-    PREDICTED, PROBABILITY, REAL, auc, fit, load_model, metrics, save_model, score, split, training_frame)
+    PREDICTED, PROBABILITY, REAL, auc, fit, metrics, save_model, score, split, training_frame)
 from plumelake.operators.rolling import choose_method
 from plumelake.session import use_utc
 from plumelake.sources.readers import read_clean, read_features, read_predictions, read_raw
@@ -63,8 +63,8 @@ def train_and_score(spark: SparkSession, places: Places, run_ts: str,
     """Fit on the training side, evaluate on the other, score all rows."""
     frame = training_frame(read_features(spark, places.features))
     train, test = split(frame, method=split_method)
-    save_model(fit(train), places.model)
-    model = load_model(places.model)
+    model = fit(train)
+    save_model(model, places.model)
 
     tested, n_test = _counted(
         score(model, test, run_ts).select(REAL, PREDICTED, PROBABILITY), "test")
