@@ -87,16 +87,18 @@ def _segments(dim: int, segments: int) -> list[slice]:
 
 
 def _frame(q, v, s) -> pd.DataFrame:
-    return pd.DataFrame({"query_id": q, "vec_id": v, "score": np.array([int(x) for x in s], np.int64)})
+    return pd.DataFrame({"query_id": q, "vec_id": v, "score": np.asarray(s).astype(np.int64)})
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best entries of each row number, by score and smaller id."""
-    order = np.lexsort((ids, -scores, rows))
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((ids, -scores.astype(np.int64), rows))
     sorted_rows = rows[order]
-    starts = np.concatenate([[0], np.nonzero(sorted_rows[1:] != sorted_rows[:-1])[0] + 1]) if len(rows) else [0]
-    rank = np.arange(len(rows)) - np.repeat(starts, np.diff(np.append(starts, len(rows)))) if len(rows) else []
-    return order[np.asarray(rank) < k] if len(rows) else order
+    starts = np.concatenate([[0], np.nonzero(sorted_rows[1:] != sorted_rows[:-1])[0] + 1])
+    rank = np.arange(len(rows)) - np.repeat(starts, np.diff(np.append(starts, len(rows))))
+    return order[rank < k]
 
 
 def _gather(k: int, segments: int):
@@ -107,7 +109,7 @@ def _gather(k: int, segments: int):
                 parts = [_product(q[:, s], c[:, s]) for s in _segments(pair.dim, segments)]
                 total = sum(parts[1:], parts[0])
                 take = min(k + 1, len(c_ids))       # one more, for the query itself
-                near = [np.argpartition(-p, take - 1, axis=1)[:, :take] for p in parts]
+                near = [np.argpartition(-p.astype(np.float64), take - 1, axis=1)[:, :take] for p in parts]
                 cols = np.sort(np.concatenate(near, axis=1), axis=1)
                 rows = np.repeat(np.arange(len(q_ids)), cols.shape[1])
                 first = np.concatenate([np.ones((len(cols), 1), bool), cols[:, 1:] != cols[:, :-1]], 1).ravel()
@@ -129,10 +131,10 @@ def _collect(k: int, segments: int):
                 parts = [_product(q[:, s], c[:, s]) for s in _segments(pair.dim, segments)]
                 enough = np.zeros(parts[0].shape, bool)
                 for p in parts:
-                    enough |= p >= cutoff / len(parts)
+                    enough |= p.astype(np.float64) >= cutoff / len(parts)
                 rows, cols = np.nonzero(enough)
                 total = sum(p[rows, cols] for p in parts)
-                keep = (total >= cutoff[rows, 0]) & (c_ids[cols] != q_ids[rows])
+                keep = (total.astype(np.float64) >= cutoff[rows, 0]) & (c_ids[cols] != q_ids[rows])
                 rows, cols, total = rows[keep], cols[keep], total[keep]
                 best = _best(rows, c_ids[cols], total, k)
                 yield _frame(q_ids[rows[best]], c_ids[cols[best]], total[best])
@@ -179,8 +181,10 @@ def top_k(vectors: DataFrame, k: int, is_query: Column, segments: int = SEGMENTS
     gathered = _meet(queries, blocks, salts).mapInPandas(_gather(k, segments), result)
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = gathered.withColumn("_n", F.row_number().over(best_first)).where(F.col("_n") <= k)
-    cutoffs = top.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).otherwise(
-        float("-inf")).alias("extra"))
+    # A score beyond 2^53 may be rounded up as a double: a little lower is still safe.
+    low = F.min("score").cast("double")
+    low = low - F.abs(low) * 2.0 ** -50
+    cutoffs = top.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, low).otherwise(float("-inf")).alias("extra"))
     with_cutoff = asked.join(cutoffs, asked["vec_id"] == cutoffs["query_id"], "left").select(
         "vec_id", "embedding", F.coalesce("extra", F.lit(float("-inf"))).alias("extra"))
     queries = written(_query_blocks(with_cutoff, n), "topk-cutoffs")
