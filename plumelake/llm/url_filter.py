@@ -70,10 +70,8 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column
     return F.greatest(*fitting) if len(fitting) > 1 else fitting[0]
 
 
-def _grams(text: Column, mark: str) -> Column:
-    """n-grams of one part, in time linear in its length."""
-    letters = F.split(text, "")
-
+def _grams(letters: Column, mark: str) -> Column:
+    """n-grams of one part, given as a column of letters: linear in its length."""
     def of_size(n: int) -> Column:
         last = F.size(letters) - n
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.concat(
@@ -83,8 +81,8 @@ def _grams(text: Column, mark: str) -> Column:
 
 
 def grams(df: DataFrame, host: str = "host", path: str = "path") -> DataFrame:
-    """``df`` plus ``_grams``; letters are split once per part."""
-    parts = df.withColumns({"_h": F.concat(F.lit("^"), host, F.lit("$")), "_p": F.col(path)})
+    """``df`` plus ``_grams``; letters are split once per part, in a step of their own."""
+    parts = df.withColumns({"_h": F.split(F.concat(F.lit("^"), host, F.lit("$")), ""), "_p": F.split(path, "")})
     return parts.withColumn("_grams", F.when(
         (F.col(host) == "") & (F.col(path) == ""), F.array().cast("array<string>")).otherwise(
         F.concat(_grams(F.col("_h"), "h"), _grams(F.col("_p"), "p")))).drop("_h", "_p")
