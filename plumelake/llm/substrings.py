@@ -56,6 +56,7 @@ _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _REACH = LENGTH - ANCHOR
 _AROUND = LENGTH + _REACH       # bytes of a neighbourhood
 _CHUNK = 1 << 20                # bytes ranked at once
+_ROWS = 1 << 12                 # neighbourhoods ranked at once
 
 _MESSAGE = "slice int, part long, kind int, payload binary"
 _REMOVAL = np.dtype([("id", "<i8"), ("start", "<i8"), ("mask", "<u4")])
@@ -203,19 +204,26 @@ def _send_neighbourhoods(slices: int):
                 place, rank, mask = anchors(flat[a:b])
                 kept.append((doc, flat[a:b], place, rank, mask))
         # Anchors seen twice in the part repeat too, whatever the other parts hold.
-        inside, n = np.unique(np.concatenate([np.unique(k[3]) for k in kept] + [wanted[:0]]), return_counts=True)
+        every = np.concatenate([k[3] for k in kept] + [wanted[:0]])
+        inside, n = np.unique(every, return_counts=True)
         wanted = np.union1d(wanted, inside[n > 1])
-        rows = []
+        again, at, rows = np.isin(every, wanted), 0, []
         for doc, data, place, rank, mask in kept:
-            at = np.nonzero(np.isin(rank, wanted))[0]
-            if len(at):
-                rows.append((np.full(len(at), doc, np.int64), place[at], rank[at], mask[at], _around(data, place[at])))
+            hit = np.nonzero(again[at:at + len(rank)])[0]
+            at += len(rank)
+            if len(hit):
+                rows.append((np.full(len(hit), doc, np.int64), place[hit], rank[hit], mask[hit],
+                             _around(data, place[hit])))
+        kept.clear()
         if not rows:
             return _message([])
         doc, place, rank, mask, near = (np.concatenate(c) for c in zip(*rows))
+        rows.clear()
         # One row per distinct neighbourhood and mask, its lowest document first.
         key_rows = np.concatenate([rank[:, None].view(np.uint8), mask[:, None].view(np.uint8), near], axis=1)
-        order = np.lexsort((doc, _mixed(ranks(key_rows, key_rows.shape[1])[:, 0]), rank))
+        whole = np.concatenate([ranks(key_rows[a:a + _ROWS], key_rows.shape[1])[:, 0]
+                                for a in range(0, len(key_rows), _ROWS)])
+        order = np.lexsort((doc, _mixed(whole), rank))
         doc, place, rank, mask, near, key_rows = (c[order] for c in (doc, place, rank, mask, near, key_rows))
         new = np.concatenate([[True], (key_rows[1:] != key_rows[:-1]).any(axis=1)])
         lowest = doc[np.nonzero(new)[0]][np.cumsum(new) - 1]
@@ -248,7 +256,7 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
         return _message(out)
     doc, place, mask, near = (np.concatenate(c) for c in zip(*parts))
     gone = np.zeros(len(doc), np.uint32)
-    step = 1 << 14
+    step = _ROWS
     codes, docs, rows, bits = [], [], [], []
     for a in range(0, len(doc), step):
         string = ranks(near[a:a + step], LENGTH)            # one per string around the anchor
