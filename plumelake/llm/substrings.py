@@ -36,6 +36,7 @@ range of ids, so sparse ids only mean smaller parts and more of them.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,7 +60,9 @@ _CHUNK = 1 << 20                # bytes ranked at once
 _ROWS = 1 << 12                 # neighbourhoods ranked at once
 
 _MESSAGE = "slice int, part long, kind int, payload binary"
-_REMOVAL = np.dtype([("id", "<i8"), ("start", "<i8"), ("mask", "<u4")])
+# ``spot`` is the place of an anchor, with a checksum of the text above it, which tells
+# rows with the same id apart.
+_REMOVAL = np.dtype([("id", "<i8"), ("spot", "<u8"), ("mask", "<u4")])
 
 
 def _power(n: int) -> np.uint64:
@@ -145,6 +148,10 @@ def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, slice]]:
             yield int(where[a]), slice(a, b)
 
 
+def _marked(data: bytes) -> np.uint64:
+    return np.uint64(zlib.crc32(data)) << np.uint64(32)
+
+
 def _message(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["slice", "part", "kind", "payload"])
 
@@ -212,30 +219,30 @@ def _send_neighbourhoods(slices: int):
             hit = np.nonzero(again[at:at + len(rank)])[0]
             at += len(rank)
             if len(hit):
-                rows.append((np.full(len(hit), doc, np.int64), place[hit], rank[hit], mask[hit],
-                             _around(data, place[hit])))
+                rows.append((np.full(len(hit), doc, np.int64), place[hit].astype(np.uint64) | _marked(data),
+                             rank[hit], mask[hit], _around(data, place[hit])))
         kept.clear()
         if not rows:
             return _message([])
-        doc, place, rank, mask, near = (np.concatenate(c) for c in zip(*rows))
+        doc, spot, rank, mask, near = (np.concatenate(c) for c in zip(*rows))
         rows.clear()
         # One row per distinct neighbourhood and mask, its lowest document first.
         key_rows = np.concatenate([rank[:, None].view(np.uint8), mask[:, None].view(np.uint8), near], axis=1)
         whole = np.concatenate([ranks(key_rows[a:a + _ROWS], key_rows.shape[1])[:, 0]
                                 for a in range(0, len(key_rows), _ROWS)])
         order = np.lexsort((doc, _mixed(whole), rank))
-        doc, place, rank, mask, near, key_rows = (c[order] for c in (doc, place, rank, mask, near, key_rows))
+        doc, spot, rank, mask, near, key_rows = (c[order] for c in (doc, spot, rank, mask, near, key_rows))
         new = np.concatenate([[True], (key_rows[1:] != key_rows[:-1]).any(axis=1)])
         lowest = doc[np.nonzero(new)[0]][np.cumsum(new) - 1]
         later = doc > lowest
         out = []
         if later.any():
             local = np.zeros(later.sum(), _REMOVAL)
-            local["id"], local["start"], local["mask"] = doc[later], place[later], mask[later]
+            local["id"], local["spot"], local["mask"] = doc[later], spot[later], mask[later]
             out.append((int(key[0] % slices), key[0], 3, local.tobytes()))
-        doc, place, rank, mask, near = (c[~later] for c in (doc, place, rank, mask, near))
+        doc, spot, rank, mask, near = (c[~later] for c in (doc, spot, rank, mask, near))
         for s, r in _by_slice(rank, slices):
-            body = doc[r].tobytes() + place[r].tobytes() + mask[r].tobytes() + near[r].tobytes()
+            body = doc[r].tobytes() + spot[r].tobytes() + mask[r].tobytes() + near[r].tobytes()
             out.append((s, key[0], 2, squeeze.compress(body)))
         return _message(out)
     return run
@@ -249,12 +256,12 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     for body in messages.loc[messages["kind"] == 2, "payload"]:
         raw = unpack.decompress(body)
         n = len(raw) // (20 + _AROUND)
-        parts.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int64, n, 8 * n),
+        parts.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.uint64, n, 8 * n),
                       np.frombuffer(raw, np.uint32, n, 16 * n),
                       np.frombuffer(raw, np.uint8, n * _AROUND, 20 * n).reshape(n, _AROUND)))
     if not parts:
         return _message(out)
-    doc, place, mask, near = (np.concatenate(c) for c in zip(*parts))
+    doc, spot, mask, near = (np.concatenate(c) for c in zip(*parts))
     gone = np.zeros(len(doc), np.uint32)
     step = _ROWS
     codes, docs, rows, bits = [], [], [], []
@@ -276,7 +283,7 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
         np.bitwise_or.at(gone, rows[order][later], np.uint32(1) << bits[order][later])
     hit = gone > 0
     found = np.zeros(int(hit.sum()), _REMOVAL)
-    found["id"], found["start"], found["mask"] = doc[hit], place[hit], gone[hit]
+    found["id"], found["spot"], found["mask"] = doc[hit], spot[hit], gone[hit]
     part = _part_of(found["id"])
     for p in np.unique(part):
         out.append((key[0], int(p), 3, found[part == p].tobytes()))
@@ -288,7 +295,8 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
 def _runs_of(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of bytes under the removed strings of one document."""
     bits = np.nonzero(found["mask"][:, None] >> np.arange(_REACH + 1, dtype=np.uint32) & np.uint32(1))
-    begin = np.unique(found["start"][bits[0]] - bits[1])
+    place = (found["spot"] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    begin = np.unique(place[bits[0]] - bits[1])
     new = np.concatenate([[True], begin[1:] > begin[:-1] + LENGTH])
     first = np.nonzero(new)[0]
     return begin[first], begin[np.append(first[1:], len(begin)) - 1] + LENGTH
@@ -307,8 +315,9 @@ def _cut(with_bytes: bool):
             flat, ends = unpack.decompress(blob), np.cumsum(sizes)
             for doc, a, b in zip(ids.tolist(), (ends - sizes).tolist(), ends.tolist()):
                 data = flat[a:b]
-                lo, hi = np.searchsorted(gone["id"], [doc, doc], "left")[0], np.searchsorted(gone["id"], doc, "right")
-                starts, stops = _runs_of(gone[lo:hi]) if hi > lo else (np.zeros(0, int), np.zeros(0, int))
+                own = gone[np.searchsorted(gone["id"], doc, "left"):np.searchsorted(gone["id"], doc, "right")]
+                own = own[own["spot"] >> np.uint64(32) << np.uint64(32) == _marked(data)] if len(own) else own
+                starts, stops = _runs_of(own) if len(own) else (np.zeros(0, int), np.zeros(0, int))
                 at, pieces = 0, []
                 for s, e in zip(starts.tolist(), stops.tolist()):
                     pieces.append(data[at:s])
