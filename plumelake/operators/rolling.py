@@ -354,19 +354,3 @@ def rolling_with_trend(df: DataFrame, specs: list[RollingSpec | tuple], col: str
     if method == "bucket":
         return _bucketed(df, _check(specs), scale, col, out)
     return trend(rolling(df, specs, method, scale), col, out, method)
-
-
-def choose_method(df: DataFrame, most_rows: int = 2_000_000, most_in_frame: int = 500) -> str:
-    """``range`` if every station is small and its days are sparse, else ``bucket``.
-
-    One narrow pass: readings per station and day, then the largest station and the
-    mean number of readings a 24-hour frame meets. Meant for tables, where it reads
-    two columns.
-    """
-    day = block_number(F.coalesce(epoch_second(TIME), F.lit(NO_TIME)), DAY).alias("_day")
-    per_day = df.groupBy(STATION, day).agg(F.count(F.lit(1)).alias("n"))
-    per_station = per_day.groupBy(STATION).agg(
-        F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * F.col("n")).alias("meets"))
-    row = per_station.agg(F.max("rows"), F.try_divide(F.sum("meets"), F.sum("rows"))).first()
-    small = row[0] is None or (row[0] <= most_rows and row[1] <= most_in_frame)
-    return "range" if small else "bucket"

@@ -340,6 +340,10 @@ def statements() -> dict[str, str]:
             f"BETWEEN TIMESTAMP '{q.NOW}' - INTERVAL 7 DAY AND TIMESTAMP '{q.NOW}'"),
         "raw_json_scan": _sql(readings),
         "concatenated_json_scan": _sql(readings),
+        "malformed_records": _sql(
+            "SELECT CASE event_id % 300 WHEN 0 THEN 'no reading ' || event_id WHEN 100 THEN "
+            "'\"station_id\":\"cut ' || event_id ELSE 'behind ' || event_id END AS record "
+            "FROM raw WHERE event_id % 100 = 0"),
         "clean_table_scan": _sql(clean_rows),
         "clean_table_range": _sql(CHOSEN_ROWS),
         "clean_table_count": _sql("SELECT count(*) AS lecturas FROM clean"),
@@ -357,6 +361,7 @@ def statements() -> dict[str, str]:
         "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
         "stream_dedup": _sql(
             "SELECT station_id, timestamp_parsed FROM clean WHERE timestamp_parsed IS NOT NULL"),
+        "stream_concatenated_intake": _sql(readings),
         "stream_quarantine": _sql(QUARANTINE),
         "stream_hourly_aqi": _sql(HOURLY),
         # a stream has no place in time for readings without one

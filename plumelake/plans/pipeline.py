@@ -13,9 +13,9 @@ from plumelake.operators.curate import clean_nulls, dedup, parse_time, quarantin
 from plumelake.operators.features import features
 from plumelake.operators.model import (
     PREDICTED, PROBABILITY, REAL, auc, fit, metrics, save_model, score, split, training_frame)
-from plumelake.operators.rolling import choose_method
-from plumelake.session import use_utc
+from plumelake.session import Workspace, use_utc
 from plumelake.sources.readers import read_clean, read_features, read_predictions, read_raw
+from plumelake.sources.schemas import CORRUPT, RAW, columns
 from plumelake.sources.writers import write_clean, write_features, write_predictions
 
 
@@ -38,22 +38,23 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def build_clean(spark: SparkSession, raw_path: str, places: Places,
-                concatenated: bool = False, touched_only: bool = False) -> dict[str, int]:
-    raw = read_raw(spark, raw_path, concatenated)
-    seen_raw, read = _counted(raw, "read")
-    clean, kept = _counted(shape_clean(parse_time(dedup(clean_nulls(
-        seen_raw.select(*[c for c in raw.columns if c not in ("year", "month", "day")]))))), "clean")
-    write_clean(clean, places.clean, touched_only)
-    quarantine(raw).write.mode("overwrite").parquet(places.quarantine)
+                touched_only: bool = False) -> dict[str, int]:
+    """Clean and quarantine tables. The JSON is parsed once, into a staged table that
+    both are made from."""
+    raw = read_raw(spark, raw_path)
+    staged, read = _counted(raw.select(*columns(RAW), CORRUPT), "read")
+    with Workspace(spark, "stage") as space:
+        raw = space.written(staged, "raw")
+        clean, kept = _counted(shape_clean(parse_time(dedup(clean_nulls(raw.select(*columns(RAW)))))), "clean")
+        write_clean(clean, places.clean, touched_only)
+        quarantine(raw).write.mode("overwrite").parquet(places.quarantine)
     return {"read": read.get["n"], "clean": kept.get["n"]}
 
 
-def build_features(spark: SparkSession, places: Places, method: str = "auto",
-                   scale: int | None = None, horizon: int | None = None) -> dict[str, int]:
+def build_features(spark: SparkSession, places: Places, scale: int | None = None,
+                   horizon: int | None = None) -> dict[str, int]:
     clean = read_clean(spark, places.clean)
-    if method == "auto":
-        method = choose_method(clean)
-    feats, made = _counted(features(clean, method, scale, horizon=horizon), "featured")
+    feats, made = _counted(features(clean, scale=scale, horizon=horizon), "featured")
     write_features(feats, places.features)
     return {"featured": made.get["n"]}
 
@@ -90,14 +91,13 @@ def raise_alerts(spark: SparkSession, places: Places, now: str, threshold: float
 
 
 def run_batch(spark: SparkSession, raw_path: str, out_path: str, now: str,
-              concatenated: bool = False, method: str = "auto", scale: int | None = None,
-              split_method: str = "hash", region: str = "", signature: str = "") -> dict:
+              scale: int | None = None, split_method: str = "hash", region: str = "", signature: str = "") -> dict:
     """All steps in order; an error ends the run. Returns row counts per stage and
     the quality of the model. Any outside scheduler can call it every two hours."""
     use_utc(spark)
     places = Places(out_path)
-    result = build_clean(spark, raw_path, places, concatenated)
-    result |= build_features(spark, places, method, scale)
+    result = build_clean(spark, raw_path, places)
+    result |= build_features(spark, places, scale)
     result |= train_and_score(spark, places, now, split_method)
     result |= raise_alerts(spark, places, now, region=region, signature=signature)
     return result

@@ -351,7 +351,7 @@ def raw_json_scan(spark, sf_dir):
     return readers.read_raw(spark, path).select(*schemas.columns(schemas.RAW))
 
 
-def concatenated_json_scan(spark, sf_dir):
+def _concatenated_files(spark: SparkSession, sf_dir: str) -> str:
     """A repeated reading on the same line as the first, without a separator."""
     objects = _raw(spark, sf_dir).select(
         *ARRIVAL, F.to_json(F.struct(*schemas.columns(schemas.RAW))).alias("object"))
@@ -360,7 +360,27 @@ def concatenated_json_scan(spark, sf_dir):
     path = shared_folder(spark, "lines")
     lines.select(F.array_join(F.transform("objects", lambda o: o["object"]), "").alias("value")
                  ).write.text(path)
-    return readers.read_raw(spark, path, concatenated=True).select(*schemas.columns(schemas.RAW))
+    return path
+
+
+def concatenated_json_scan(spark, sf_dir):
+    path = _concatenated_files(spark, sf_dir)
+    return readers.read_raw(spark, path).select(*schemas.columns(schemas.RAW))
+
+
+def malformed_records(spark, sf_dir):
+    """Every 100th event also leaves a text that is no reading: a line without an
+    object, an object without an end, or something behind an object."""
+    raw = _raw(spark, sf_dir)
+    whole = F.to_json(F.struct(*schemas.columns(schemas.RAW)))
+    kind = F.col("event_id") % 300
+    line = F.when(kind == 0, F.concat(F.lit("no reading "), "event_id", F.lit("\n"), whole)).when(
+        kind == 100, F.concat(whole, F.lit('{"station_id":"cut '), "event_id")).when(
+        kind == 200, F.concat(whole, F.lit(" behind "), "event_id")).otherwise(whole)
+    path = shared_folder(spark, "malformed")
+    raw.select(line.alias("value")).write.text(path)
+    bad = quarantine(readers.read_raw(spark, path)).where("reason = 'malformed'")
+    return bad.select(F.regexp_replace(F.trim(schemas.CORRUPT), r"^\{", "").alias("record"))
 
 
 def clean_table_scan(spark, sf_dir):
@@ -439,6 +459,13 @@ def stream_dedup(spark, sf_dir):
     return plain(readers.read_clean(spark, path).select("station_id", "timestamp_parsed"))
 
 
+def stream_concatenated_intake(spark, sf_dir):
+    raw = readers.stream_raw(spark, _concatenated_files(spark, sf_dir))
+    path = shared_folder(spark, "stream-raw")
+    intake.append_parquet(raw, path, shared_folder(spark, "ckpt")).awaitTermination()
+    return spark.read.schema(raw.schema).parquet(path).select(*schemas.columns(schemas.RAW))
+
+
 def stream_quarantine(spark, sf_dir):
     raw = readers.stream_raw(spark, _raw_files(spark, _readings(spark, sf_dir)))
     faulty = intake.stream_quarantine(raw)
@@ -492,10 +519,10 @@ REGISTERED: list[Query] = [
     alert_counts, alert_totals, alert_totals_json, alert_digest, url_decode_keys, kpi_summary,
     hourly_aqi, station_summary, category_counts, date_span, station_list, worst_10,
     latest_10_features, latest_10_predictions, filtered_readings, filtered_kpis,
-    last_7_days_export, raw_json_scan, concatenated_json_scan, clean_table_scan,
+    last_7_days_export, raw_json_scan, concatenated_json_scan, malformed_records, clean_table_scan,
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings,
-    pipeline_stage_counts, stream_dedup, stream_quarantine, stream_hourly_aqi,
+    pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_quarantine, stream_hourly_aqi,
     stream_feature_table, stream_scores, stream_alerts,
 ]
 

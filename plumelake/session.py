@@ -53,6 +53,30 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+class Workspace:
+    """Intermediate tables of one run, deleted when it ends, whether well or not.
+
+    ``with Workspace(spark, "run") as space: table = space.written(df, "name")``
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark = spark
+        self.path = shared_folder(spark, purpose)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: for intermediate
     results with several readers. Survives the loss of executors."""

@@ -8,50 +8,55 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from plumelake.functions.times import parse_text_time
 from plumelake.sources import schemas
 
-# Several flat objects may follow each other on one line without a separator.
-OBJECT_BOUNDARY = r"(?<=\})\s*(?=\{)"
+# A raw file is cut before every opening brace, so a row is one flat object, whatever
+# stands between objects: a line break, a blank or nothing.
+OPEN = "{"
 
 
 def _raw_with_corrupt() -> T.StructType:
     return T.StructType([*schemas.RAW.fields, T.StructField(schemas.CORRUPT, T.StringType())])
 
 
-def read_raw(spark: SparkSession, path: str | list[str], concatenated: bool = False) -> DataFrame:
-    """Raw readings from JSON lines, plus ``_corrupt_record`` for text that is
+def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw readings from JSON files, plus ``_corrupt_record`` for text that is
     malformed or has a field of the wrong type (that field is null).
 
-    ``concatenated=True`` also accepts several objects on one line, which the
-    plain reader would cut off after the first. Folder partitions are allowed.
+    Several objects may follow each other on one line. Files are split inside, at
+    objects. Folder partitions are allowed.
+    """
+    return split_objects(spark.read.text(path, lineSep=OPEN))
+
+
+def split_objects(cut: DataFrame) -> DataFrame:
+    """Text cut before every opening brace (column ``value``, without the brace) to raw
+    readings, one per object. Other columns, such as folder partitions, are kept.
+
+    Objects are flat and on one line. What is left of a line after an object, and any
+    line without one, is a malformed record of its own, so is an object without its
+    closing brace and each part of an object with a brace inside a text: nothing is
+    dropped, and no neighbour is lost with it.
     """
-    if concatenated:
-        return split_objects(spark.read.text(path))
-    return (
-        spark.read.schema(_raw_with_corrupt())
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .json(path)
-    )
-
-
-def split_objects(lines: DataFrame) -> DataFrame:
-    """Lines of text (column ``value``) to raw readings, one per JSON object.
-    Objects must be flat. Other columns, such as folder partitions, are kept."""
     parse_options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    pieces = lines.where(F.trim("value") != "").withColumn(
-        "value", F.explode(F.split(F.trim("value"), OBJECT_BOUNDARY)))
+    rest = [c for c in cut.columns if c != "value"]
+    lines = F.split("value", r"\r?\n")
+    first, later = F.get("_lines", F.lit(0)), F.slice("_lines", 2, F.size("_lines"))
+    ends = F.length(first) - F.instr(F.reverse(first), "}") + 1     # place of the last brace
+    whole = F.instr(first, "}") > 0
+    item = F.when(whole, F.concat(F.lit(OPEN), F.substring(first, F.lit(1), ends))).when(
+        F.trim(first) != "", F.concat(F.lit(OPEN), first))
+    tail = F.when(whole, F.substring(first, ends + 1, F.length(first)))
+    records = F.filter(F.concat(F.array(item, tail), later), lambda x: x.isNotNull() & (F.trim(x) != ""))
+    pieces = cut.select(lines.alias("_lines"), *rest).select(F.explode(records).alias("value"), *rest)
     parsed = F.from_json("value", _raw_with_corrupt(), parse_options)
-    rest = [c for c in lines.columns if c != "value"]
     return pieces.select(parsed.alias("_reading"), *rest).select("_reading.*", *rest)
 
 
 def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """New raw files as they arrive."""
-    reader = (
-        spark.readStream.schema(_raw_with_corrupt())
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-    )
+    """New raw files as they arrive, read like ``read_raw``."""
+    reader = spark.readStream.option("lineSep", OPEN)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return split_objects(reader.text(path))
 
 
 def _parquet(spark: SparkSession, schema: T.StructType, path: str | list[str],

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from plumelake.operators.features import FEATURE_SPECS, calendar, features, label
-from plumelake.operators.rolling import RollingSpec, choose_method, rolling, trend
+from plumelake.operators.rolling import RollingSpec, rolling, trend
 from plumelake.sources import schemas
 
 METHODS = ["range", "bucket"]
@@ -143,14 +143,18 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], schemas.CLEAN)
     for method in METHODS:
         assert features(empty, method).count() == 0
-    assert choose_method(empty) == "range"
 
 
-def test_method_is_chosen_by_size(clean_of):
-    df = clean_of(*random_readings(1))
-    assert choose_method(df) == "range"
-    assert choose_method(df, most_rows=10) == "bucket"
-    assert choose_method(df, most_in_frame=2) == "bucket"
+def test_bits_do_not_depend_on_the_amount_of_data(clean_of):
+    """Means of one station are the same next to a dense day of another station."""
+    own = [("a", float(n * 977 % 90_000), 1 + n % 5, n / 7) for n in range(60)]
+    dense = [("dense", float(n * 13 % 86_400), 1 + n % 5, n / 3) for n in range(3000)]
+    sparse = [(f"s{n}", 40.0 * n, 2, n / 9) for n in range(200)]
+
+    def of_a(df):
+        return rows(features(df).where("station_id = 'a'").select(
+            "timestamp_parsed", "pm25", "pm25_prom_24h", "pm25_prom_6h", "aqi_prom_24h"), "timestamp_parsed", "pm25")
+    assert of_a(clean_of(*own)) == of_a(clean_of(*own, *dense, *sparse))
 
 
 def test_bucket_plan_shuffles_aggregated_cells(clean_of):

@@ -27,7 +27,7 @@ def test_batch_from_raw_files_to_messages(spark, raw_of, tmp_path, concatenated)
          .agg(F.array_join(F.collect_list("value"), "").alias("value")).write.text(raw))
     else:
         df.write.json(raw)
-    result = run_batch(spark, raw, str(tmp_path / "out"), NOW, concatenated=concatenated)
+    result = run_batch(spark, raw, str(tmp_path / "out"), NOW)
     n = len(given)
     assert (result["read"], result["clean"], result["featured"]) == (n + 7, n + 1, n + 1)
     # without the first reading of each station; the one without a time has no hour
@@ -43,7 +43,7 @@ def test_batch_from_raw_files_to_messages(spark, raw_of, tmp_path, concatenated)
     messages = spark.read.parquet(places.messages)
     assert messages.agg(F.sum("alert_count")).first()[0] == result["alerts"]
     # a second run replaces everything
-    assert run_batch(spark, raw, str(tmp_path / "out"), NOW, concatenated=concatenated) == result
+    assert run_batch(spark, raw, str(tmp_path / "out"), NOW) == result
 
 
 def test_shared_folder_comes_from_the_session(spark):

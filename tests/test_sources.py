@@ -27,19 +27,34 @@ def test_plain_json_keeps_good_and_marks_bad(spark, tmp_path):
     assert got == [(None, None, None, True), ("001", None, 10.5, True), ("001", 2, 10.5, False)]
 
 
+FIVE = "".join(ONE.replace('"001"', f'"00{n}"') for n in range(5))
+
+
 def test_several_objects_on_one_line(spark, tmp_path):
-    path = put(tmp_path / "raw", f"{ONE}{TWO}\n\n{ONE} {TWO}\n")
-    assert readers.read_raw(spark, path).where("station_id is not null").count() == 2
-    df = readers.read_raw(spark, path, concatenated=True)
-    assert rows(df.groupBy("station_id").count(), "station_id") == [("001", 2), ("002", 2)]
+    path = put(tmp_path / "raw", f"{ONE}{TWO}\n\n{ONE} {TWO}\r\n{FIVE}")
+    df = readers.read_raw(spark, path)
+    assert rows(df.groupBy("station_id").count(), "station_id") == [
+        ("000", 1), ("001", 3), ("002", 3), ("003", 1), ("004", 1)]
     assert df.where("_corrupt_record is not null").count() == 0
 
 
-def test_malformed_piece_of_a_line_is_quarantined(spark, tmp_path):
-    path = put(tmp_path / "raw", ONE + "{broken}\n")
-    clean, bad = curate(readers.read_raw(spark, path, concatenated=True))
-    assert clean.count() == 1
-    assert rows(bad.select("reason", "_corrupt_record")) == [("malformed", "{broken}")]
+def test_five_objects_on_one_line_of_a_stream(spark, tmp_path):
+    path = put(tmp_path / "raw", FIVE)
+    query = readers.stream_raw(spark, path).writeStream.format("memory").queryName("five").option(
+        "checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("five").count() == 5
+
+
+@pytest.mark.parametrize("text,bad", [
+    ("{broken}", ["{broken}"]), ('{"station_id":"x"', ['{"station_id":"x"']), ("\nno json\n", ["no json"]),
+    (" behind", ["behind"]), ('{"station_id":"a{b","aqi":1}', ['{"station_id":"a', '{b","aqi":1}'])])
+def test_malformed_pieces_are_quarantined_and_take_nothing_with_them(spark, tmp_path, text, bad):
+    path = put(tmp_path / "raw", ONE + text + "\n" + TWO)
+    clean, faulty = curate(readers.read_raw(spark, path))
+    assert clean.count() == 2
+    assert sorted((r, c.strip()) for r, c in rows(faulty.select("reason", "_corrupt_record"))) == [
+        ("malformed", b) for b in sorted(bad)]
 
 
 def test_folder_partitions_do_not_disturb_the_clean_columns(spark, tmp_path):
