@@ -55,7 +55,7 @@ def main() -> None:
         "score_expression": lambda: scored,
         "metrics": lambda: ml.metrics(scored),
         "auc": lambda: ml.auc(scored),
-        "alert_digest": lambda: al.digest(al.alerts(scored, q.NOW), q.NOW, "station_id"),
+        "alert_digest": lambda: al.digest(al.alerts(scored, q.NOW), q.NOW, "station_id", part_size=500),
         "kpis": lambda: rp.kpis(few),
         "hourly": lambda: rp.hourly(few),
         "station_summary": lambda: rp.station_summary(few),

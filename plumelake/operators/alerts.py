@@ -65,9 +65,13 @@ def alert_counts(found: DataFrame, by: str | list[str]) -> DataFrame:
 
 
 def alert_totals(pred: DataFrame, now: str | datetime | Column, by: str = "source_file",
-                 threshold: float = THRESHOLD, hours: int = HOURS) -> DataFrame:
-    """Number of files (or other groups) looked at and of alerts in them. One row."""
+                 threshold: float = THRESHOLD, hours: int = HOURS,
+                 groups: DataFrame | None = None) -> DataFrame:
+    """Number of files (or other groups) looked at and of alerts in them. One row.
+    ``groups`` lists files in ``by`` that count even without a row."""
     flagged = pred.select(by, is_alert(pred, now, threshold, hours).alias("_alert"))
+    if groups is not None:
+        flagged = flagged.unionByName(groups.select(by, F.lit(False).alias("_alert")))
     per_group = flagged.groupBy(by).agg(F.count_if("_alert").alias("_n"))
     return per_group.agg(F.count(F.lit(1)).alias("files_processed"),
                          F.coalesce(F.sum("_n"), F.lit(0)).alias("alerts_sent"))
@@ -118,31 +122,44 @@ def subject(n: Column) -> Column:
     return F.left(F.format_string(SUBJECT, n, plural), F.lit(SUBJECT_LENGTH))
 
 
-def digest(found: DataFrame, now: str | datetime | Column, by: str | list[str] = "source_file",
-           region: str = "", signature: str = "", part_size: int = 500) -> DataFrame:
-    """Alert messages, one per file or station, with all its alerts in time order.
-
-    The number in header and subject is that of alert rows. A group of more than
-    ``part_size`` alerts is told in several messages (``part`` of ``parts``), so a
-    message has a bounded length and no alert is left out.
-    """
+def alert_lines(found: DataFrame, by: str | list[str] = "source_file") -> DataFrame:
+    """One row per alert: its group, ``position`` in the group by time, ``alert_count``
+    and ``station_count`` of the whole group, and ``block``, the lines about it."""
     keys = [by] if isinstance(by, str) else by
     ties = [c for c in ("station_id", "station_name", "aqi", "pm25", "probabilidad_alerta")
             if c in found.columns and c not in keys]
     lines = numbered(found, keys, ties).select(
-        *keys, "_nth", "_of", alert_block().alias("_block"), F.col("station_name").alias("_who"),
-        F.ceil(F.col("_nth") / part_size).cast("int").alias("part"))
+        *keys, F.col("_nth").alias("position"), F.col("_of").alias("alert_count"),
+        F.col("station_name"), alert_block().alias("block"))
+    stations = found.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count_distinct("station_name").alias("station_count"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return lines.join(stations, same).select(
+        *keys, "position", "alert_count", "station_count", "block")
+
+
+def digest(found: DataFrame, now: str | datetime | Column, by: str | list[str] = "source_file",
+           region: str = "", signature: str = "", *, part_size: int | None) -> DataFrame:
+    """Alert messages, one per file or station, with all its alerts in time order,
+    joined from ``alert_lines``.
+
+    The number in header and subject is that of alert rows. ``part_size`` is the most
+    alerts one message may tell; further ones follow in the next ``part`` of
+    ``parts``. With ``None`` a group is one message, as long as the group is.
+    """
+    keys = [by] if isinstance(by, str) else by
+    size = F.lit(part_size).cast("long") if part_size else F.col("alert_count")
+    lines = alert_lines(found, keys).withColumn("part", F.ceil(F.col("position") / size).cast("int"))
     messages = lines.groupBy(*keys, "part").agg(
-        F.max("_of").alias("alert_count"),
-        F.size(F.collect_set("_who")).alias("station_count"),
-        F.array_sort(F.collect_list(F.struct("_nth", "_block"))).alias("_blocks"))
+        F.max("alert_count").alias("alert_count"), F.max("station_count").alias("station_count"),
+        F.array_sort(F.collect_list(F.struct("position", "block"))).alias("_blocks"))
     title = F.lit(f"{TITLE} {region}".strip())
     stamp = F.date_format(instant(now), "yyyy-MM-dd HH:mm 'UTC'")
     body = F.concat(
         F.format_string(HEADER, title, stamp, F.col("alert_count")),
-        F.array_join(F.transform("_blocks", lambda b: b["_block"]), "\n"),
+        F.array_join(F.transform("_blocks", lambda b: b["block"]), "\n"),
         F.lit(FOOTER + (f"\n{signature}" if signature else "")))
     return messages.select(
-        *keys, "part", F.ceil(F.col("alert_count") / part_size).cast("int").alias("parts"),
-        "alert_count", "station_count", subject(F.col("alert_count")).alias("subject"),
-        body.alias("message"))
+        *keys, "part", F.ceil(F.col("alert_count") / size).cast("int").alias("parts"),
+        "alert_count", F.col("station_count").cast("int").alias("station_count"),
+        subject(F.col("alert_count")).alias("subject"), body.alias("message"))

@@ -15,7 +15,7 @@ from plumelake.functions.air import predicted_state
 from plumelake.functions.numbers import hash_percent, ratio
 from plumelake.functions.times import epoch_second
 from plumelake.operators.rolling import STATION, TIME
-from plumelake.session import shared_folder, written
+from plumelake.session import Workspace
 from plumelake.sources import schemas
 
 # The model inputs in vector order, and the label.
@@ -60,26 +60,26 @@ def scaler_stats(train: DataFrame) -> DataFrame:
     return stats.select(F.inline(F.array(*INPUTS)))
 
 
-def build_pipeline(reg: float = 0.01, max_iter: int = 100) -> Pipeline:
+def build_pipeline(reg: float = 0.01, max_iter: int = 100, tol: float = 1e-6) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=INPUTS, outputCol="features_vec"),
         StandardScaler(inputCol="features_vec", outputCol="features_scaled",
                        withMean=True, withStd=True),
         LogisticRegression(featuresCol="features_scaled", labelCol=LABEL, maxIter=max_iter,
-                           regParam=reg, elasticNetParam=0.0),
+                           regParam=reg, elasticNetParam=0.0, tol=tol),
     ])
 
 
-def fit(train: DataFrame, reg: float = 0.01, max_iter: int = 100) -> PipelineModel:
+def fit(train: DataFrame, reg: float = 0.01, max_iter: int = 100, tol: float = 1e-6) -> PipelineModel:
     """Standardise and fit. Only label and inputs travel through the iterations.
 
     The model is stored and read back. That drops its training summary, which holds
     the session, and Spark cannot ship that to tasks once a session has counted rows
     with ``observe``.
     """
-    path = shared_folder(train.sparkSession, "model")
-    save_model(build_pipeline(reg, max_iter).fit(train.select(*INPUTS, LABEL)), path)
-    return load_model(path)
+    with Workspace(train.sparkSession, "model") as space:
+        save_model(build_pipeline(reg, max_iter, tol).fit(train.select(*INPUTS, LABEL)), space.path)
+        return load_model(space.path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -193,17 +193,24 @@ def auc(scored: DataFrame, by: str = PROBABILITY, real: str = REAL,
     the right order, ties counting half. One row.
 
     Counts per distinct score come first. Scores are then cut into ``parts``
-    ranges of about equal size (by default one per million, 64 to 10,000), so that
-    the running count of negatives is taken per range and needs no global sort;
-    the totals of the ranges are one small row each. The cut points only decide
-    the balance, the result is exact for any of them. The distinct scores are
-    written once to the shared folder, since they are read three times.
+    ranges of about equal size (by default one per shuffle task, which a cluster sets
+    with its data), so that the running count of negatives is taken per range and
+    needs no global sort; the totals of the ranges are one small row each. The cut
+    points only decide the balance, the result is exact for any of them. The distinct
+    scores are stored once in the shared folder, since they are read three times, and
+    deleted with the one row of the result known.
     """
+    spark = scored.sparkSession
+    with Workspace(spark, "auc") as space:
+        row = _auc(space, scored, by, real, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return spark.createDataFrame([tuple(row.first())], "auc double")
+
+
+def _auc(space: Workspace, scored: DataFrame, by: str, real: str, parts: int) -> DataFrame:
     pos = F.count_if(F.col(real) == 1.0).cast("decimal(38,0)")
     neg = F.count_if(F.col(real) == 0.0).cast("decimal(38,0)")
     scores = scored.groupBy(F.col(by).alias("_s")).agg(pos.alias("_pos"), neg.alias("_neg"))
-    scores = written(scores, "scores")
-    parts = parts or min(max(scores.count() // 1_000_000, 64), 10_000)
+    scores = space.written(scores, "scores")
     cuts = sorted(set(scores.approxQuantile(
         "_s", [i / parts for i in range(1, parts)], min(0.001, 0.25 / parts))))
     if cuts:

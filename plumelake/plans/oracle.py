@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumelake.functions.air import AQI_LABELS, AQI_UNKNOWN
+from plumelake.functions.air import AQI_LABELS, AQI_UNKNOWN, STATE_DANGER, STATE_NORMAL
 from plumelake.operators import alerts as al, model as ml, reports as rp
 from plumelake.operators.synthetic import DAYS_BACK, HOURS_BACK, RANGES
 from plumelake.plans import adapter as ad, queries as q
@@ -253,6 +253,25 @@ UNION ALL SELECT 'train', count(*) FROM frame WHERE %(split)s < 80
 UNION ALL SELECT 'test', count(*) FROM frame WHERE %(split)s >= 80""" % {"split": SPLIT}
 
 
+def _descent(body: str, steps: int = 600, penalty: float = 0.01) -> str:
+    """Logistic regression by gradient steps of size 1 over the standardised training
+    rows: the penalty holds for the weights, not for the bias."""
+    n = len(ml.INPUTS)
+    stats = ", ".join(f"avg({_dbl(c)}) AS m{i}, stddev_samp({_dbl(c)}) AS s{i}" for i, c in enumerate(ml.INPUTS))
+    x = [f"(({_dbl(c)} - m{i}) / s{i})" for i, c in enumerate(ml.INPUTS)]
+    margin = " + ".join([f"w{i} * x{i}" for i in range(n)] + ["b"])
+    slope = f"(1 / (1 + exp(-({margin}))) - y)"
+    steps_sql = ", ".join(f"max(w{i}) - (avg({slope} * x{i}) + {penalty} * max(w{i})) AS w{i}" for i in range(n))
+    return "WITH RECURSIVE " + ",\n".join([*_ctes(), f"stats AS (SELECT {stats} FROM frame WHERE {SPLIT} < 80)",
+        f"xs AS (SELECT frame.*, {', '.join(f'{e} AS x{i}' for i, e in enumerate(x))}, "
+        f"CAST(contaminacion_alta AS DOUBLE) AS y FROM frame, stats)",
+        f"tr AS MATERIALIZED (SELECT {', '.join(f'x{i}' for i in range(n))}, y FROM xs WHERE {SPLIT} < 80)",
+        f"gd AS (SELECT 0 AS step, {', '.join(f'CAST(0 AS DOUBLE) AS w{i}' for i in range(n))}, CAST(0 AS DOUBLE) AS b "
+        f"UNION ALL SELECT max(step) + 1, {steps_sql}, max(b) - avg({slope}) FROM gd, tr "
+        f"HAVING max(step) < {steps})",
+        f"fitted AS (SELECT * FROM gd WHERE step = {steps})"]) + "\n" + body
+
+
 def statements() -> dict[str, str]:
     clean_rows = f"SELECT {CLEAN_OUT} FROM clean"
     feature_rows = f"SELECT {CLEAN_OUT} FROM feats"
@@ -344,6 +363,18 @@ def statements() -> dict[str, str]:
             "SELECT CASE event_id % 300 WHEN 0 THEN 'no reading ' || event_id WHEN 100 THEN "
             "'\"station_id\":\"cut ' || event_id ELSE 'behind ' || event_id END AS record "
             "FROM raw WHERE event_id % 100 = 0"),
+        "lr_coefficients": _descent(" UNION ALL ".join(
+            [f"SELECT '{c}' AS feature, round(w{i}, 3) AS weight FROM fitted" for i, c in enumerate(ml.INPUTS)]
+            + ["SELECT 'bias', round(b, 3) FROM fitted"])),
+        "lr_predictions": _descent(
+            "SELECT station_id, timestamp_parsed, y AS contaminacion_alta_real, "
+            "CASE WHEN m > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS contaminacion_alta_pred, "
+            f"CASE WHEN m > 0 THEN '{STATE_DANGER}' ELSE '{STATE_NORMAL}' END AS estado_predicho FROM (SELECT *, "
+            + " + ".join([f"w{i} * x{i}" for i in range(len(ml.INPUTS))] + ["b"]) + " AS m FROM xs, fitted)"),
+        "incomplete_alerts": _sql(
+            "SELECT station_id, count(*) AS alert_count, count(*) FILTER (s % 2 <> 0 OR station_name IS NULL) AS no_name, "
+            "count(*) FILTER (s % 3 <> 0 OR aqi IS NULL) AS no_index, count(*) FILTER (s % 5 <> 0 OR pm25 IS NULL) AS no_pm25 "
+            "FROM (SELECT *, CAST(floor(epoch(timestamp_parsed)) AS BIGINT) AS s FROM found) GROUP BY station_id"),
         "clean_table_scan": _sql(clean_rows),
         "clean_table_range": _sql(CHOSEN_ROWS),
         "clean_table_count": _sql("SELECT count(*) AS lecturas FROM clean"),

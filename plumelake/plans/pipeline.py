@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from plumelake.operators.alerts import HOURS, THRESHOLD, alerts, digest
+from plumelake.operators.alerts import HOURS, THRESHOLD, alert_lines, alerts, digest
 from plumelake.operators.curate import clean_nulls, dedup, parse_time, quarantine, shape_clean
 from plumelake.operators.features import features
 from plumelake.operators.model import (
@@ -26,7 +26,7 @@ class Places:
 
     def __getattr__(self, name: str) -> str:
         if name in ("clean", "quarantine", "features", "model", "predictions", "test_scores",
-                    "alerts", "messages"):
+                    "alerts", "alert_lines", "messages"):
             return f"{self.out.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -81,12 +81,15 @@ def train_and_score(spark: SparkSession, places: Places, run_ts: str,
 
 def raise_alerts(spark: SparkSession, places: Places, now: str, threshold: float = THRESHOLD,
                  hours: int = HOURS, by: str = "source_file", region: str = "",
-                 signature: str = "") -> dict[str, int]:
+                 signature: str = "", part_size: int | None = None) -> dict[str, int]:
+    """The alerts, a table of one line each, and the messages made from them, one per
+    file unless ``part_size`` divides them."""
     found, raised = _counted(
         alerts(read_predictions(spark, places.predictions), now, threshold, hours), "alerts")
     found.write.mode("overwrite").parquet(places.alerts)
     table = spark.read.schema(found.schema).parquet(places.alerts)
-    digest(table, now, by, region, signature).write.mode("overwrite").parquet(places.messages)
+    alert_lines(table, by).write.mode("overwrite").parquet(places.alert_lines)
+    digest(table, now, by, region, signature, part_size=part_size).write.mode("overwrite").parquet(places.messages)
     return {"alerts": raised.get["n"]}
 
 

@@ -230,10 +230,35 @@ def predicted_state(spark, sf_dir):
         F.count(F.lit(1)).alias("count"))
 
 
+def _tight_fit(frame: DataFrame):
+    """A model so close to the optimum that any other way to it agrees."""
+    return ml.fit(ml.split(frame, method="hash")[0], max_iter=500, tol=1e-12)
+
+
+def lr_coefficients(spark, sf_dir):
+    """Weights and bias of the fitted, stored and reloaded model."""
+    known = ml.model_coefficients(_tight_fit(written(_frame(spark, sf_dir), "frame")))
+    rows = [*known["weights"].items(), ("bias", known["bias"])]
+    return spark.createDataFrame([(n, round(w, 3)) for n, w in rows], "feature string, weight double")
+
+
 def lr_predictions(spark, sf_dir):
     frame = written(_frame(spark, sf_dir), "frame")
-    train, _ = ml.split(frame, method="hash")
-    return plain(ml.score(ml.fit(train), frame, RUN_TS))
+    return plain(ml.score(_tight_fit(frame), frame, RUN_TS)).select(
+        "station_id", "timestamp_parsed", "contaminacion_alta_real", "contaminacion_alta_pred", "estado_predicho")
+
+
+def incomplete_alerts(spark, sf_dir):
+    """Lines about alerts whose name, index or PM2.5 is missing."""
+    found = _alerts(spark, sf_dir)
+    second = F.unix_timestamp("timestamp_parsed")
+    holes = {"station_name": F.when(second % 2 == 0, F.col("station_name")),
+             "aqi": F.when(second % 3 == 0, F.col("aqi")), "pm25": F.when(second % 5 == 0, F.col("pm25"))}
+    lines = al.alert_lines(found.withColumns(holes), "station_id")
+    return lines.groupBy("station_id", "alert_count").agg(
+        F.count_if(F.contains("block", F.lit(f"Estacion: {al.NO_NAME}"))).alias("no_name"),
+        F.count_if(F.contains("block", F.lit(f"AQI actual:    {al.NO_VALUE}"))).alias("no_index"),
+        F.count_if(F.contains("block", F.lit(f"PM2.5:         {al.NO_VALUE}"))).alias("no_pm25"))
 
 
 # --- alerts -----------------------------------------------------------------
@@ -515,8 +540,8 @@ REGISTERED: list[Query] = [
     rolling_aqi_1h, rolling_bucketed_24h, aqi_trend, aqi_trend_many_stations, calendar_features,
     high_pollution_label, label_six_hours_ahead, feature_table, training_rows, class_balance,
     hash_split_counts, scaler_stats, fixed_weight_scores, confusion_matrix,
-    classification_metrics, auc_exact, predicted_state, lr_predictions, danger_alerts,
-    alert_counts, alert_totals, alert_totals_json, alert_digest, url_decode_keys, kpi_summary,
+    classification_metrics, auc_exact, predicted_state, lr_coefficients, lr_predictions, danger_alerts,
+    alert_counts, alert_totals, alert_totals_json, alert_digest, incomplete_alerts, url_decode_keys, kpi_summary,
     hourly_aqi, station_summary, category_counts, date_span, station_list, worst_10,
     latest_10_features, latest_10_predictions, filtered_readings, filtered_kpis,
     last_7_days_export, raw_json_scan, concatenated_json_scan, malformed_records, clean_table_scan,

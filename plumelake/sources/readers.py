@@ -91,6 +91,14 @@ def read_predictions(spark: SparkSession, paths: str | list[str],
                      F.col("_metadata.file_path").alias("source_file"))
 
 
+def list_files(spark: SparkSession, path: str, suffix: str = "*.parquet") -> DataFrame:
+    """The files below a folder in ``source_file``, also those without rows; none is
+    opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).option(
+        "recursiveFileLookup", True).load(path)
+    return files.select(F.col("path").alias("source_file"))
+
+
 def _parquet_stream(spark: SparkSession, schema: T.StructType, path: str,
                     max_files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)

@@ -8,8 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from plumelake.operators.curate import IDENTITY, clean_nulls, parse_time, quarantine, shape_clean
 from plumelake.sources import schemas
 
-EVERY = "2 hours"   # fixed value: the period of the batch runs
-
 
 def stream_curate(src: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Clean readings, the first arrival per station and timestamp.

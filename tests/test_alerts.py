@@ -85,17 +85,17 @@ Alerta generada automaticamente por el pipeline."""
 
 def test_message_text(predictions_of):
     df = predictions_of(("a", "2024-01-29 12:30:00.25", 1.0, 1.0), ("a", "2024-01-29 12:00:00", 1.0, 0.876))
-    got = al.digest(df, NOW, "station_id").first()
+    got = al.digest(df, NOW, "station_id", part_size=None).first()
     assert got["message"] == MESSAGE
     assert got["subject"] == "Alerta Calidad del Aire (2 estaciones)"
-    named = al.digest(df, NOW, "station_id", region="VALLE", signature="Equipo").first()["message"]
+    named = al.digest(df, NOW, "station_id", region="VALLE", signature="Equipo", part_size=None).first()["message"]
     assert named.startswith("ALERTA - CALIDAD DEL AIRE VALLE\n") and named.endswith("pipeline.\nEquipo")
 
 
 def test_message_defaults_and_singular(predictions_of):
     df = predictions_of(("a", "2024-01-29 12:00:00", 1.0, 0.9), aqi=None, pm25=None).withColumn(
         "station_name", F.lit(None).cast("string"))
-    got = al.digest(df, NOW, "station_id").first()
+    got = al.digest(df, NOW, "station_id", part_size=None).first()
     assert "Estacion: desconocida\n" in got["message"]
     assert "AQI actual:    n/a\n  PM2.5:         n/a\n" in got["message"]
     assert got["subject"] == "Alerta Calidad del Aire (1 estacion)"
@@ -115,4 +115,21 @@ def test_big_groups_are_told_in_parts_and_nothing_is_lost(predictions_of):
 
 
 def test_no_alerts_no_message(predictions_of):
-    assert al.digest(predictions_of(("a", NOW, 1.0, 0.9)).limit(0), NOW, "station_id").count() == 0
+    assert al.digest(predictions_of(("a", NOW, 1.0, 0.9)).limit(0), NOW, "station_id", part_size=None).count() == 0
+
+
+def test_counts_are_those_of_the_whole_group(predictions_of):
+    """50 alerts of 7 stations in one file, told in parts of 5."""
+    many = [(f"s{i % 7}", f"2024-01-29 00:{i:02d}:00", 1.0, 0.9) for i in range(50)]
+    df = predictions_of(*many).withColumn("source_file", F.lit("f"))
+    got = al.digest(df, NOW, part_size=5)
+    assert rows(got.select("alert_count", "station_count", "parts").distinct()) == [(50, 7, 10)]
+    lines = al.alert_lines(df)
+    assert [r["position"] for r in lines.orderBy("position").collect()] == list(range(1, 51))
+    assert {(r["alert_count"], r["station_count"]) for r in lines.collect()} == {(50, 7)}
+
+
+def test_files_without_rows_count(predictions_of):
+    df = predictions_of(("a", NOW, 1.0, 0.9)).withColumn("source_file", F.lit("f"))
+    files = df.select("source_file").union(df.select(F.lit("empty")))
+    assert rows(al.alert_totals(df, NOW, groups=files)) == [(2, 1)]
