@@ -181,7 +181,9 @@ def find_all(docs: DataFrame, keep: list[str], text: str = "text", **how) -> tup
     hits = hits.groupBy("_digest", "s", "e").agg(F.max("share").alias("share"))
     terms = hits.groupBy("_digest").agg(F.sort_array(F.collect_list(     # terms of one text
         F.struct("s", "e", "share"))).alias("_terms"))
-    return base, terms
+    # Stored, so that the join with all rows is one of two plain tables: Spark sends the
+    # spans along if they are few, and splits a text with very many copies if not.
+    return base, written(terms, "pii-spans")
 
 
 def spans_text(base: Column, terms: Column | None = None) -> Column:
