@@ -16,7 +16,7 @@ things keep the work small without changing the result:
   position in fourteen). Equal strings choose the same positions, so a string that
   repeats has an anchor that repeats at the same place in it.
 
-Round 1 gathers the ranks of anchors by range of rank and returns those seen in more
+Round 1 gathers the ranks of anchors by slice of the ranks and returns those seen in more
 than one part of the corpus; all others are unique and leave. Round 2 gathers the
 bytes around the remaining anchors and ranks, by pairs of ranks at growing offsets, the
 strings of ``LENGTH`` bytes that hold them; a string with a lower document in its rank
@@ -24,7 +24,7 @@ class is removed. The exact number of removed bytes follows from the union of st
 
 Documents travel in parts of consecutive ids. A part sends each distinct rank or
 neighbourhood once, with its lowest document, so a line that a third of all documents
-share is one row per part. Ranges and parts are groups of a bounded size; their number
+share is one row per part. Slices and parts are groups of a bounded size; their number
 follows the number of shuffle tasks and the ids. Nothing is collected to the driver.
 
 Defined results: a null text is empty; a null id comes after all ids, and such rows
@@ -49,7 +49,7 @@ from plumelake.llm.common import partitions, written
 LENGTH = 50
 ANCHOR = 24
 PART = 512              # consecutive ids in a part of the corpus
-SLICES = 4              # ranges of ranks per shuffle task
+SLICES = 4              # slices of the ranks per shuffle task
 NO_ID = np.iinfo(np.int64).max
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -132,24 +132,23 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _slice_of(rank: np.ndarray, slices: int) -> np.ndarray:
-    return ((rank >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+    """Ranks of anchors are low ones: they are mixed again to be dealt out evenly."""
+    return ((_mixed(rank) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
 
 
 def _part_of(ids: np.ndarray) -> np.ndarray:
     return np.floor_divide(ids, PART)
 
 
-def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, slice]]:
-    """Runs of sorted ranks that belong to one slice."""
+def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the ranks of each slice, in their order."""
     where = _slice_of(rank, slices)
+    order = np.argsort(where, kind="stable")
+    where = where[order]
     starts = np.concatenate([[0], np.nonzero(where[1:] != where[:-1])[0] + 1])
     for a, b in zip(starts, np.append(starts[1:], len(where))):
         if b > a:
-            yield int(where[a]), slice(a, b)
-
-
-def _marked(data: bytes) -> np.uint64:
-    return np.uint64(zlib.crc32(data)) << np.uint64(32)
+            yield int(where[a]), order[a:b]
 
 
 def _message(rows: list) -> pd.DataFrame:
