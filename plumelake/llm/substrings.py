@@ -151,6 +151,10 @@ def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]
             yield int(where[a]), order[a:b]
 
 
+def _marked(data: np.ndarray) -> np.uint64:
+    return np.uint64(zlib.crc32(data)) << np.uint64(32)
+
+
 def _message(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["slice", "part", "kind", "payload"])
 
