@@ -390,8 +390,8 @@ def statements() -> dict[str, str]:
             "count(*) AS lecturas FROM clean GROUP BY 1" % q.SELECTED_DAYS),
         "synthetic_readings": _synthetic(),
         "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
-        "stream_dedup": _sql(
-            "SELECT station_id, timestamp_parsed FROM clean WHERE timestamp_parsed IS NOT NULL"),
+        "stream_dedup": _sql(f"SELECT {CLEAN_OUT} FROM clean WHERE timestamp_parsed IS NOT NULL", order=BY_VALUES),
+        "stream_pipeline_predictions": _sql(f"SELECT {SCORED_OUT} FROM scored", timed_only=True, order=BY_VALUES),
         "stream_concatenated_intake": _sql(readings),
         "stream_quarantine": _sql(QUARANTINE),
         "stream_hourly_aqi": _sql(HOURLY),

@@ -25,6 +25,7 @@ from plumelake.plans.pipeline import run_batch
 from plumelake.session import shared_folder, use_utc, written
 from plumelake.sources import readers, schemas, writers
 from plumelake.streaming import features as sf, hourly as sh, intake, scoring
+from plumelake.streaming.chain import run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -477,11 +478,23 @@ def pipeline_stage_counts(spark, sf_dir):
 # --- streams ----------------------------------------------------------------
 
 def stream_dedup(spark, sf_dir):
-    raw = readers.stream_raw(spark, _raw_files(spark, _readings(spark, sf_dir)))
     path = shared_folder(spark, "stream-clean")
-    intake.append_clean(intake.stream_curate(raw, LATE), path,
+    intake.follow_clean(spark, _raw_files(spark, _readings(spark, sf_dir)), path,
                         shared_folder(spark, "ckpt")).awaitTermination()
-    return plain(readers.read_clean(spark, path).select("station_id", "timestamp_parsed"))
+    return plain(readers.read_clean(spark, path))
+
+
+def stream_pipeline_predictions(spark, sf_dir):
+    """The chain over three deliveries: each holds readings of all days, so those of the
+    later ones are late, and the second is delivered twice."""
+    raw, out, ckpt = (shared_folder(spark, n) for n in ("raw", "chain", "ckpt"))
+    fixed = {"weights": WEIGHTS, "means": MEANS, "stds": STDS, "bias": BIAS}
+    readings = _raw(spark, sf_dir)
+    for delivery in (0, 1, 1, 2):
+        part = readings.where(F.pmod("event_id", F.lit(3)) == delivery).select(*schemas.columns(schemas.RAW))
+        part.write.mode("append").json(raw)
+        run_stream(spark, raw, out, ckpt, fixed, RUN_TS, NOW, scale=2).awaitTermination()
+    return plain(_rounded(readers.read_predictions(spark, f"{out}/predictions").drop("source_file")))
 
 
 def stream_concatenated_intake(spark, sf_dir):
@@ -548,7 +561,7 @@ REGISTERED: list[Query] = [
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings,
     pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_quarantine, stream_hourly_aqi,
-    stream_feature_table, stream_scores, stream_alerts,
+    stream_feature_table, stream_scores, stream_alerts, stream_pipeline_predictions,
 ]
 
 

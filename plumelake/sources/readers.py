@@ -75,6 +75,16 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return _in_order(_parquet(spark, schemas.CLEAN, path), schemas.CLEAN)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_clean_if_there(spark: SparkSession, path: str) -> DataFrame:
+    """The clean table, empty before the first write."""
+    return read_clean(spark, path) if exists(spark, path) else spark.createDataFrame([], schemas.CLEAN)
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     return _in_order(_parquet(spark, schemas.FEATURES, path), schemas.FEATURES)
 

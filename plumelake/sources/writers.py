@@ -35,6 +35,11 @@ def write_predictions(df: DataFrame, path: str, touched_only: bool = False) -> N
     _write_partitioned(df, path, schemas.PREDICTION_PARTITIONS, touched_only)
 
 
+def write_by_day(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
+    """Tables of a stream: the days in ``df`` replace what was there of them."""
+    _write_partitioned(df, path, ["curated_date", *(keys or [])], touched_only=True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

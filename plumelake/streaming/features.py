@@ -18,22 +18,30 @@ from pyspark.sql.streaming import StreamingQuery
 from plumelake.functions.times import DAY
 from plumelake.operators.features import FEATURE_SPECS, features
 from plumelake.sources import schemas
-from plumelake.sources.readers import read_clean, stream_clean
-from plumelake.sources.writers import write_features
+from plumelake.session import Workspace
+from plumelake.sources.readers import exists, read_clean, stream_clean
+from plumelake.sources.writers import write_by_day, write_features
+from plumelake.streaming.intake import on_days
 
 REACH_DAYS = -(-max(s.seconds for s in FEATURE_SPECS) // DAY)
 
 
-def _on_days(df: DataFrame, days: list) -> DataFrame:
-    """Readings of some days, by the folder columns of the clean table, so other
-    days are not listed or read. The list is bounded by the calendar."""
-    folder = F.make_date(*[F.col(c).cast("int") for c in schemas.CLEAN_PARTITIONS])
-    return df.where(folder.isin(days))
+def note_days(space: Workspace, new: DataFrame, days_path: str) -> None:
+    """Add the stations and days of new readings to the table of station days: one row
+    each, in a folder per day that is written over, so it does not grow with batches."""
+    spark = new.sparkSession
+    fresh = space.written(new.where(F.col("curated_date").isNotNull()).select(
+        "station_id", "curated_date").distinct(), "days")
+    touched = [r[0] for r in fresh.select("curated_date").distinct().collect()]    # bounded by the calendar
+    if touched and exists(spark, days_path):
+        known = spark.read.schema(schemas.STATION_DAY).parquet(days_path).where(F.col("curated_date").isin(touched))
+        fresh = space.written(fresh.unionByName(known).distinct(), "days-merged")
+    write_by_day(fresh, days_path)
 
 
 def _station_days(spark: SparkSession, path: str) -> DataFrame:
     """Days with readings per station, with the day of the next reading."""
-    known = spark.read.schema(schemas.STATION_DAY).parquet(path).select("station_id", "curated_date").distinct()
+    known = spark.read.schema(schemas.STATION_DAY).parquet(path)
     in_time = Window.partitionBy("station_id").orderBy("curated_date")
     return known.withColumn("_next", F.lead("curated_date").over(in_time))
 
@@ -42,7 +50,7 @@ def touched_days(new: DataFrame, days_path: str) -> list:
     """Days whose features new readings (as station and day) can change: their own
     days, the days their frames reach into, and the day of each station's next
     reading."""
-    own = new.select(F.explode(F.sequence(
+    own = new.where(F.col("curated_date").isNotNull()).select(F.explode(F.sequence(
         "curated_date", F.date_add("curated_date", REACH_DAYS))).alias("curated_date"))
     following = _station_days(new.sparkSession, days_path).join(
         new, ["station_id", "curated_date"], "left_semi")
@@ -65,8 +73,9 @@ def refresh_features(spark: SparkSession, clean_path: str, features_path: str, d
         F.date_add("curated_date", n).isin(rebuilt) for n in range(REACH_DAYS + 1)])
     wanted = _station_days(spark, days_path).where(reaches | F.col("_next").isin(rebuilt)).select(
         "station_id", "curated_date")
+    # A list of days, bounded by the calendar.
     listed = sorted(r[0] for r in wanted.select("curated_date").distinct().collect())
-    source = _on_days(read_clean(spark, clean_path), listed).join(
+    source = on_days(read_clean(spark, clean_path), listed).join(
         wanted, ["station_id", "curated_date"], "left_semi")
     rows = features(source, scale=scale).where(F.col("curated_date").isin(rebuilt))
     write_features(rows, features_path, touched_only=True)
@@ -77,16 +86,16 @@ def stream_features(spark: SparkSession, clean_path: str, features_path: str, da
                     max_files: int | None = None) -> StreamingQuery:
     """Follow the clean table and keep the feature table current.
 
-    A batch may run twice after a failure; the result is the same, since it is
-    rebuilt from the clean table and ``days_path`` is read as a set.
+    For a clean table that only gets new files; where days are written over, the chain
+    (``run_stream``) keeps both tables. A batch may run twice after a failure; the
+    result is the same, since it is rebuilt from the clean table.
     """
     def update(batch: DataFrame, number: int) -> None:
-        folder = f"{days_path}/batch={number}"
-        timed = batch.where(F.col("curated_date").isNotNull())
-        timed.select("station_id", "curated_date").distinct().write.mode("overwrite").parquet(folder)
-        new = spark.read.schema(schemas.STATION_DAY).parquet(folder)
-        refresh_features(spark, clean_path, features_path, days_path,
-                         touched_days(new, days_path), scale)
+        with Workspace(spark, "batch") as space:
+            new = space.written(batch.select("station_id", "curated_date").distinct(), "new")
+            note_days(space, new, days_path)
+            days = touched_days(new, days_path) if exists(spark, days_path) else []
+        refresh_features(spark, clean_path, features_path, days_path, days, scale)
 
     writer = (
         stream_clean(spark, clean_path, max_files).writeStream

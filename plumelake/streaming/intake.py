@@ -2,24 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from plumelake.operators.curate import IDENTITY, clean_nulls, parse_time, quarantine, shape_clean
+from plumelake.operators.curate import IDENTITY, clean_nulls, dedup, parse_time, quarantine, shape_clean
+from plumelake.session import Workspace
 from plumelake.sources import schemas
+from plumelake.sources.readers import read_clean_if_there, stream_raw
+from plumelake.sources.writers import write_clean
 
 
-def stream_curate(src: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Clean readings, the first arrival per station and timestamp.
+# Which of several readings of one station and instant survives: the values decide, as in
+# the batch form without an order of arrival.
+SURVIVOR = [c for c in schemas.columns(schemas.RAW) if c not in IDENTITY]
 
-    State is kept for ``watermark`` of event time. A reading later than that is
-    left out here; it stays in the raw files, where the batch form finds it.
-    Readings without a readable time have no event time to expire by, so they do
-    not enter the state: ``stream_quarantine`` lists them.
+
+def merge_clean(space: Workspace, raw: DataFrame, clean_path: str) -> DataFrame:
+    """Add raw readings to the clean table and return them, cleaned.
+
+    Only the days they fall on are read and written. The survivor of several readings
+    of one station and instant is the same in any order of arrival, so a late or
+    repeated delivery, or a second run of a batch, changes nothing.
     """
-    timed = parse_time(clean_nulls(src)).where(F.col("timestamp_parsed").isNotNull())
-    first = timed.withWatermark("timestamp_parsed", watermark).dropDuplicatesWithinWatermark(IDENTITY)
-    return shape_clean(first)
+    spark = raw.sparkSession
+    timed = shape_clean(parse_time(clean_nulls(raw)).where(F.col("timestamp_parsed").isNotNull()))
+    key = ["station_id", "timestamp_parsed"]
+    new = space.written(dedup(timed, key, SURVIVOR), "new")
+    days = [r[0] for r in new.select("curated_date").distinct().collect()]     # bounded by the calendar
+    if days:
+        both = on_days(read_clean_if_there(spark, clean_path), days).unionByName(new)
+        write_clean(space.written(dedup(both, key, SURVIVOR), "merged"), clean_path, touched_only=True)
+    return new
+
+
+def on_days(df: DataFrame, days: list) -> DataFrame:
+    """Readings of some days, by the folder columns of the clean table, so other
+    days are not listed or read. The list is bounded by the calendar."""
+    folder = F.make_date(*[F.col(c).cast("int") for c in schemas.CLEAN_PARTITIONS])
+    return df.where(folder.isin(days))
+
+
+def follow_clean(spark: SparkSession, raw_path: str, clean_path: str, checkpoint: str,
+                 every: str | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Keep the clean table current while raw files arrive."""
+    def put(batch: DataFrame, number: int) -> None:
+        with Workspace(spark, "batch") as space:
+            merge_clean(space, space.written(batch.select(*schemas.columns(schemas.RAW)), "raw"), clean_path)
+
+    writer = stream_raw(spark, raw_path, max_files).writeStream.option(
+        "checkpointLocation", checkpoint).foreachBatch(put)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def stream_quarantine(src: DataFrame) -> DataFrame:
@@ -39,7 +72,3 @@ def append_parquet(df: DataFrame, path: str, checkpoint: str, keys: list[str] |
         writer = writer.partitionBy(*keys)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
-
-
-def append_clean(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    return append_parquet(df, path, checkpoint, schemas.CLEAN_PARTITIONS, every)

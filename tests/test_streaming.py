@@ -18,11 +18,8 @@ def deliver(df, folder, name):
     df.coalesce(1).write.mode("append").json(f"{folder}/{name}")
 
 
-def curated(spark, raw, out, watermark):
-    query = intake.append_clean(
-        intake.stream_curate(readers.stream_raw(spark, f"{raw}/*"), watermark), f"{out}/clean", f"{out}/c1")
-    query.awaitTermination()
-    return query
+def curated(spark, raw, out):
+    intake.follow_clean(spark, f"{raw}/*", f"{out}/clean", f"{out}/c1").awaitTermination()
 
 
 def readings(seed, n=60, days=4):
@@ -39,9 +36,9 @@ def test_intake_in_several_deliveries_equals_batch(spark, raw_of, tmp_path):
     repeat = [{**given[0], "pm25": 999.0}]
     raw, out = str(tmp_path / "raw"), str(tmp_path)
     deliver(raw_of(*given[:30], *faulty), raw, "one")
-    curated(spark, raw, out, "40 days")
+    curated(spark, raw, out)
     deliver(raw_of(*given[30:], *repeat), raw, "two")
-    curated(spark, raw, out, "40 days")
+    curated(spark, raw, out)
     got = readers.read_clean(spark, f"{out}/clean")
     want = curate(raw_of(*given, *faulty))[0].where("timestamp_parsed is not null")
     assert rows(got, *got.columns) == rows(want, *want.columns)
@@ -52,18 +49,45 @@ def test_intake_in_several_deliveries_equals_batch(spark, raw_of, tmp_path):
         "bad timestamp", "no pm25", "no station"]
 
 
-def test_rows_later_than_the_watermark_are_left_to_the_batch(spark, raw_of, tmp_path):
-    at = lambda h: {"timestamp": f"2024-01-01T{h:02d}:00:00"}
+def test_late_readings_and_batch_repair(spark, raw_of, tmp_path):
+    """A late reading enters its day; a batch run may write over streamed days, and the
+    stream goes on after it."""
+    at = lambda h, **more: {"timestamp": f"2024-01-01T{h:02d}:00:00", **more}
     raw, out = str(tmp_path / "raw"), str(tmp_path)
     for i, h in enumerate([12, 15, 16, 10]):
         deliver(raw_of(at(h)), raw, f"d{i}")
-        last = curated(spark, raw, out, "1 hour")
-    hours = [r[0] for r in rows(readers.read_clean(spark, f"{out}/clean").select(F.hour("timestamp_parsed")), "timestamp_parsed")]
-    assert hours == [12, 15, 16]
-    dropped = sum(s["numRowsDroppedByWatermark"] for p in last.recentProgress for s in p["stateOperators"])
-    assert dropped == 1
+        curated(spark, raw, out)
+    hours = lambda: [r[0] for r in rows(readers.read_clean(spark, f"{out}/clean").select(
+        F.hour("timestamp_parsed").alias("h")), "h")]
+    assert hours() == [10, 12, 15, 16]
     again, _ = curate(readers.read_raw(spark, f"{raw}/*"))
-    assert again.count() == 4
+    writers.write_clean(again.where("hour(timestamp_parsed) > 10"), f"{out}/clean", touched_only=True)
+    assert hours() == [12, 15, 16]
+    deliver(raw_of(at(9), at(12, pm25=1.0)), raw, "d9")
+    curated(spark, raw, out)
+    assert hours() == [9, 12, 15, 16]
+    assert [r[0] for r in rows(readers.read_clean(spark, f"{out}/clean").where("hour(timestamp_parsed) = 12").select("pm25"))] == [1.0]
+
+
+def test_chain_equals_batch_and_leaves_nothing_behind(spark, raw_of, tmp_path):
+    from pathlib import Path
+    from plumelake.streaming.chain import run_stream
+    given, fixed = readings(3), {
+        "weights": {c: 0.5 for c in ml.INPUTS}, "means": {c: 1.0 for c in ml.INPUTS}, "stds": {c: 2.0 for c in ml.INPUTS}, "bias": 0.1}
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    for n, part in enumerate((given[:25], given[25:], given[10:40])):
+        deliver(raw_of(*part), raw, f"d{n}")
+        run_stream(spark, f"{raw}/*", out, str(tmp_path / "c"), fixed, "t", NOW).awaitTermination()
+    want = ml.score_with(ml.training_frame(features(curate(raw_of(*given))[0])), **fixed, run_ts="t")
+    got = readers.read_predictions(spark, f"{out}/predictions").drop("source_file")
+    order = ["station_id", "timestamp_parsed"]
+    assert rows(got, *order) == rows(want, *order)
+    found = spark.read.parquet(f"{out}/alerts")
+    assert found.count() == al.alerts(want, NOW).count()
+    assert len(list(Path(f"{out}/days").glob("curated_date=*"))) == 4
+    assert set(shared.iterdir()) == before
 
 
 def test_hourly_stream_equals_batch(spark, clean_of, tmp_path):
