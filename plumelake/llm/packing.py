@@ -15,7 +15,7 @@ Sequences of a tier are numbered into step groups of equal tokens: a step takes
 short sequences than long ones.
 
 Sequence numbers begin with the task and group, so they are unique. Bounded memory:
-one group of tokens, one batch of texts and a bounded cache of words per Python worker.
+one group of tokens, one batch of texts and a bounded cache of words per task.
 
 Defined results: a null or empty text is the single end id; repeated documents are
 packed one by one, with their own pieces; a null id stays null; an empty table gives
@@ -109,14 +109,8 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
-_words: dict[str, WordIds] = {}     # per Python worker
-
-
-def token_ids(text: str | None, path: str) -> bytes:
+def token_ids(text: str | None, words: WordIds) -> bytes:
     """Ids of a text with the end id, as little-endian unsigned 32-bit numbers."""
-    words = _words.get(path)
-    if words is None:
-        words = _words[path] = WordIds(path)
     return b"".join(map(words.__getitem__, (text or "").encode().split())) + struct.pack("<I", END)
 
 
@@ -182,12 +176,12 @@ def _packer(path: str, tiers: tuple[int, ...], group_tokens: int, step_tokens: i
         return out.astype({"doc_id": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task = TaskContext.get()
+        task, words = TaskContext.get(), WordIds(path)
         group, steps = (task.partitionId() if task else 0) << 40, {}
         ids, docs, held = [], [], 0
         for batch in batches:
             for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
-                ids.append(token_ids(text, path))
+                ids.append(token_ids(text, words))
                 docs.append(doc)
                 held += len(ids[-1]) // 4
                 if held >= group_tokens:

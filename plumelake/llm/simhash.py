@@ -238,9 +238,13 @@ def first_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", *
     The ids that stay meet the texts in a semi-join; both are unique or nearly so.
     """
     found = near_duplicates(docs.select(id_col, text), text, id_col, **how)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_stay")).distinct()
-    rows = docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stay")).distinct()
+    rows = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col("_stay"), "left_semi")
     one = Window.partitionBy(id_col).orderBy(F.xxhash64(text))
-    return rows.withColumn("_n", F.when(F.col(id_col).isNull(), 1).otherwise(F.row_number().over(one))).where(
-        F.col("_n") == 1).select(*docs.columns)
+    rows = rows.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1).select(*docs.columns)
+    # Rows without an id are told apart by their fingerprint.
+    nameless = found.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(
+        F.col("fp").alias("_stay")).distinct()
+    prints = docs.where(F.col(id_col).isNull()).withColumn(
+        "_fp", fingerprint(F.col(text), how.get("shingle", SHINGLE)))
+    return rows.unionByName(prints.join(nameless, F.col("_fp") == F.col("_stay"), "left_semi").select(*docs.columns))

@@ -171,7 +171,7 @@ def tokenizer_ids(text):
     "<|endoftext|> a<|startoftext|>b", "a\x1cb \x85 \xa0c d", "a_b-c __ $$$ ###", "日本語 テスト 한국어 🙂🙂", "\x00 \x7f"])
 def test_token_ids(text):
     import public_tokenizers
-    got = packing.token_ids(text, public_tokenizers.path(packing.TOKENIZER))
+    got = packing.token_ids(text, packing.WordIds(public_tokenizers.path(packing.TOKENIZER)))
     assert [int.from_bytes(got[i:i + 4], "little") for i in range(0, len(got), 4)] == tokenizer_ids(text)
 
 
