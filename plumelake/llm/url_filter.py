@@ -23,6 +23,7 @@ SIZES = (3, 4, 5)       # characters of an n-gram
 BUCKETS = 1 << 14
 PENALTY = 0.01
 BLOCK, ALLOW = "block", "allow"
+BLOCK_AT = 0.8          # probability from which a url is blocked: one of unknown words is not
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -102,7 +103,7 @@ def fit_urls(table: DataFrame, buckets: int = BUCKETS, penalty: float = PENALTY)
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], model: PipelineModel,
-               url: str = "url", keep: list[str] | None = None) -> DataFrame:
+               url: str = "url", keep: list[str] | None = None, block_at: float = BLOCK_AT) -> DataFrame:
     """``keep`` columns plus host, path, rule, verdict and the model's score."""
     keep = ["page_id"] if keep is None else keep
     host, path = host_and_path(F.col(url))
@@ -112,5 +113,5 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], model: PipelineMo
     scored = model.transform(grams(rows))
     bad = vector_to_array("_probability")[1]
     return scored.select(*keep, "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(
-        F.col("_rule.verdict"), F.when(bad >= 0.5, BLOCK).otherwise(ALLOW)).alias("verdict"),
+        F.col("_rule.verdict"), F.when(bad >= block_at, BLOCK).otherwise(ALLOW)).alias("verdict"),
         F.round(bad, 6).alias("score"))
