@@ -72,7 +72,7 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products: doubles hold them up to 2^53, longs, slower, beyond."""
     most = (np.abs(a).max(initial=0) + 1) * (np.abs(b).max(initial=0) + 1) * max(a.shape[1], 1)
     if most < 2 ** 53:
-        return a @ b.T
+        return (a @ b.T).astype(np.int64)
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
