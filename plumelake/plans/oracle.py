@@ -389,6 +389,7 @@ def statements() -> dict[str, str]:
             "+ INTERVAL 1 DAY THEN upper(station_name) ELSE station_name END AS station_name, "
             "count(*) AS lecturas FROM clean GROUP BY 1" % q.SELECTED_DAYS),
         "synthetic_readings": _synthetic(),
+        "synthetic_csv_scan": _synthetic(),
         "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
         "stream_dedup": _sql(f"SELECT {CLEAN_OUT} FROM clean WHERE timestamp_parsed IS NOT NULL", order=BY_VALUES),
         "stream_pipeline_predictions": _sql(f"SELECT {SCORED_OUT} FROM scored", timed_only=True, order=BY_VALUES),
@@ -399,4 +400,5 @@ def statements() -> dict[str, str]:
         "stream_feature_table": _sql(feature_rows, timed_only=True),
         "stream_scores": _sql(f"SELECT {SCORED_OUT} FROM scored"),
         "stream_alerts": _sql(found_rows),
+        "stream_alerts_reference": _sql(found_rows),
     }

@@ -423,7 +423,9 @@ def clean_table_count(spark, sf_dir):
     name = f"clean_{uuid.uuid4().hex}"
     writers.register_table(spark, name, _clean_files(spark, sf_dir), schemas.CLEAN,
                            schemas.CLEAN_PARTITIONS)
-    return spark.sql(f"SELECT COUNT(*) AS lecturas FROM {name}")
+    counted = spark.sql(f"SELECT COUNT(*) AS lecturas FROM {name}").first()     # one row
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([tuple(counted)], "lecturas long")
 
 
 def feature_table_scan(spark, sf_dir):
@@ -467,6 +469,12 @@ def synthetic_readings(spark, sf_dir):
     return synthesize(events(spark, sf_dir), "event_id", STATIONS, NOW, SEED)
 
 
+def synthetic_csv_scan(spark, sf_dir):
+    path = shared_folder(spark, "synthetic")
+    writers.write_csv(synthetic_readings(spark, sf_dir), path)
+    return spark.read.schema(schemas.RAW).option("header", True).csv(path)
+
+
 def pipeline_stage_counts(spark, sf_dir):
     """The whole batch run from raw files; rows per stage."""
     path = _raw_files(spark, _readings(spark, sf_dir))
@@ -517,7 +525,7 @@ def stream_hourly_aqi(spark, sf_dir):
     path = shared_folder(spark, "stream-hourly")
     sh.write_hourly(sh.stream_hourly(clean, LATE), path,
                     shared_folder(spark, "ckpt")).awaitTermination()
-    return plain(sh.read_hourly(spark, path))
+    return plain(sh.read_hourly(spark, path).drop("curated_date"))
 
 
 def stream_feature_table(spark, sf_dir):
@@ -538,15 +546,19 @@ def stream_scores(spark, sf_dir):
     return plain(_rounded(readers.read_predictions(spark, path).drop("source_file")))
 
 
-def stream_alerts(spark, sf_dir):
+def stream_alerts(spark, sf_dir, mode="once"):
     pred = readers.stream_predictions(spark, _prediction_files(spark, sf_dir))
-    found = scoring.stream_alerts(pred, NOW, mode="once", watermark=LATE)
+    found = scoring.stream_alerts(pred, NOW, mode=mode, watermark=LATE)
     path = shared_folder(spark, "stream-alerts")
     intake.append_parquet(found, path, shared_folder(spark, "ckpt")).awaitTermination()
     table = spark.read.schema(found.schema).parquet(path).drop("source_file")
     return plain(_rounded(table))
 
 
+def stream_alerts_reference(spark, sf_dir):
+    return stream_alerts(spark, sf_dir, "reference")
+
+
 REGISTERED: list[Query] = [
     curated_readings, required_fields, quarantined_readings, dedup_readings, aqi_category_map,
     timestamp_parsing, rolling_pm25_24h, rolling_pm25_6h, rolling_aqi_24h_avg_max,
@@ -559,9 +571,10 @@ REGISTERED: list[Query] = [
     latest_10_features, latest_10_predictions, filtered_readings, filtered_kpis,
     last_7_days_export, raw_json_scan, concatenated_json_scan, malformed_records, clean_table_scan,
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
-    prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings,
+    prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings, synthetic_csv_scan,
     pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_quarantine, stream_hourly_aqi,
-    stream_feature_table, stream_scores, stream_alerts, stream_pipeline_predictions,
+    stream_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
+    stream_pipeline_predictions,
 ]
 
 

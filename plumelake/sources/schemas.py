@@ -47,7 +47,7 @@ EXTRACT = _struct(
     "aqi int, aqi_category string, pm25 double, pm10 double, o3 double"
 )
 
-HOURLY = _struct("timestamp_parsed timestamp, station_name string, aqi double, batch long")
+HOURLY = _struct("timestamp_parsed timestamp, station_name string, aqi double, curated_date date")
 
 STATION_DAY = _struct("station_id string, curated_date date")
 

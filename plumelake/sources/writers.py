@@ -76,3 +76,9 @@ def schema_ddl(schema: T.StructType) -> str:
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """A few rows, in no particular order."""
     return df.limit(n)
+
+
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The columns of a table with type and whether they may be null, in order."""
+    rows = [(n, f.name, f.dataType.simpleString(), f.nullable) for n, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")

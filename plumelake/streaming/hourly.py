@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plumelake.session import Workspace
 from plumelake.sources import schemas
+from plumelake.sources.readers import exists
+from plumelake.sources.writers import write_by_day
 
 
 def stream_hourly(src: DataFrame, watermark: str = "1 day") -> DataFrame:
@@ -21,18 +24,33 @@ def stream_hourly(src: DataFrame, watermark: str = "1 day") -> DataFrame:
 
 
 def write_hourly(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Write only the hours that changed, one folder per batch. Append mode would
-    hold back the latest hours until the watermark passes them, complete mode
-    would write all hours every time."""
+    """Keep a table of hours by day: the hours that changed replace what was there, in the
+    folders of their days only, so there is one folder per day after any number of
+    batches. Append mode would hold back the latest hours until the watermark passes
+    them, complete mode would write all hours every time."""
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        with Workspace(batch.sparkSession, "hours") as space:
+            dated = batch.withColumn("curated_date", F.to_date("timestamp_parsed"))
+            new = space.written(dated.select(*schemas.columns(schemas.HOURLY)), "new")
+            days = [r[0] for r in new.select("curated_date").distinct().collect()]   # bounded by the calendar
+            if days and exists(batch.sparkSession, path):
+                known = read_hourly(batch.sparkSession, path).where(F.col("curated_date").isin(days))
+                rest = known.join(new, ["timestamp_parsed", "station_name"], "left_anti")
+                new = space.written(rest.select(*new.columns).unionByName(new), "merged")
+            write_by_day(new, path)
 
     writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def repair_hours(clean: DataFrame, path: str, days: list) -> None:
+    """Compute some days again from the clean table: readings later than the watermark
+    are missing in the stream and found here."""
+    chosen = stream_hourly(clean.where(F.col("curated_date").isin(days)))
+    dated = chosen.withColumn("curated_date", F.to_date("timestamp_parsed"))
+    write_by_day(dated.select(*schemas.columns(schemas.HOURLY)), path)
+
+
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
-    """The latest value of each hour and station."""
-    versions = spark.read.schema(schemas.HOURLY).parquet(path)
-    return versions.groupBy("timestamp_parsed", "station_name").agg(F.max_by("aqi", "batch").alias("aqi"))
+    return spark.read.schema(schemas.HOURLY).parquet(path)

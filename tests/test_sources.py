@@ -139,3 +139,8 @@ def test_empty_tables(spark, tmp_path, schema, reader):
     path = str(tmp_path / "empty")
     (writers.write_clean if schema is schemas.CLEAN else writers.write_features)(empty, path)
     assert reader(spark, path).count() == 0
+
+
+def test_schema_rows(clean_of):
+    got = rows(writers.schema_rows(clean_of(("a", 0.0, 1, 1.0))), "position")
+    assert got[0] == (0, "station_id", "string", True) and len(got) == len(schemas.CLEAN.fields)

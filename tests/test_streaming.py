@@ -101,6 +101,11 @@ def test_hourly_stream_equals_batch(spark, clean_of, tmp_path):
     got, want = sh.read_hourly(spark, out), rp.hourly(clean_of(*given))
     order = ["timestamp_parsed", "station_name"]
     assert rows(got.select(*order, "aqi"), *order) == rows(want.select(*order, "aqi"), *order)
+    from pathlib import Path
+    assert len(list(Path(out).glob("curated_date=*"))) == 1       # three batches of one day
+    sh.repair_hours(clean_of(*given[:20]), out, [got.first()["curated_date"]])
+    assert rows(sh.read_hourly(spark, out).select(*order, "aqi"), *order) == rows(
+        rp.hourly(clean_of(*given[:20])).select(*order, "aqi"), *order)
 
 
 @pytest.mark.parametrize("seed", [3, 4])
