@@ -229,6 +229,12 @@ def test_constant_text_is_template(spark):
     assert templates.main_text(pages.limit(0)).count() == 0
 
 
+def test_line_that_all_articles_share_stays(spark):
+    pages = spark.createDataFrame([(n, f"http://h.org/{n}", f"<nav>menu</nav><article><p>Shared line.</p><p>{n}</p></article>")
+                                   for n in range(20)], "page_id long, url string, html string")
+    assert {r["text"] for r in templates.main_text(pages).collect()} == {f"Shared line.\n{n}" for n in range(20)}
+
+
 def test_equal_vectors_make_a_class(spark):
     rows = spark.createDataFrame([(n, "h", f"<nav><a>x</a></nav>{'<p>t' * (n % 4)}") for n in range(12)],
                                  "page long, host string, html string")
