@@ -241,3 +241,15 @@ def test_equal_vectors_make_a_class(spark):
     tokens = rows.mapInPandas(templates._count_tokens, templates._TOKENS)
     vector = {r["path"]: r["vector"] for r in templates.token_classes(tokens).where("text = ''").collect()}
     assert vector["nav"] == vector["nav/#text"] != vector["p"] == vector["p/#text"]
+
+
+def texts_of(spark, *rows):
+    pages = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in templates.main_text(pages).orderBy("page_id").collect()]
+
+
+def test_pages_without_article_on_a_mixed_host_keep_their_text(spark):
+    rows = [("http://m.org/", f"<body><article><p>A {n}</p></article></body>" if n % 5 else
+             f"<body><div><p>Plain {n}</p></div></body>") for n in range(40)]
+    rows += [("http://one.org/", "<body><div><p>Single</p></div></body>")]
+    assert texts_of(spark, *rows) == [f"A {n}" if n % 5 else f"Plain {n}" for n in range(40)] + ["Single"]
