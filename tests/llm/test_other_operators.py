@@ -253,3 +253,10 @@ def test_pages_without_article_on_a_mixed_host_keep_their_text(spark):
              f"<body><div><p>Plain {n}</p></div></body>") for n in range(40)]
     rows += [("http://one.org/", "<body><div><p>Single</p></div></body>")]
     assert texts_of(spark, *rows) == [f"A {n}" if n % 5 else f"Plain {n}" for n in range(40)] + ["Single"]
+
+
+def test_small_host_has_its_own_template(spark):
+    rows = [(f"http://{host}.org/", f"<div><p>Banner of {host}</p><p>Own {n}</p></div>")
+            for host in ("two", "three") for n in range(2 if host == "two" else 3)]
+    rows += [("http://one.org/", "<div><p>Banner of one</p></div>")]
+    assert texts_of(spark, *rows) == ["Own 0", "Own 1", "Own 0", "Own 1", "Own 2", "Banner of one"]
