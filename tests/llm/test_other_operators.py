@@ -260,3 +260,11 @@ def test_small_host_has_its_own_template(spark):
             for host in ("two", "three") for n in range(2 if host == "two" else 3)]
     rows += [("http://one.org/", "<div><p>Banner of one</p></div>")]
     assert texts_of(spark, *rows) == ["Own 0", "Own 1", "Own 0", "Own 1", "Own 2", "Banner of one"]
+
+
+def test_repeated_rows_are_no_constant_text(spark):
+    rows = [(n // 2, "http://h.org/", f"<div><p>Own {n // 2}</p></div>") for n in range(16)]
+    rows += [(None, "http://h.org/", f"<div><p>Nameless {n}</p></div>") for n in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter(r["text"] for r in templates.main_text(pages).collect())
+    assert got == Counter({f"Own {n}": 2 for n in range(8)} | {f"Nameless {n}": 1 for n in range(3)})
