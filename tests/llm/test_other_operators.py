@@ -268,3 +268,26 @@ def test_repeated_rows_are_no_constant_text(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = Counter(r["text"] for r in templates.main_text(pages).collect())
     assert got == Counter({f"Own {n}": 2 for n in range(8)} | {f"Nameless {n}": 1 for n in range(3)})
+
+
+def test_classes_in_fixed_order_are_template(spark):
+    """The menu of a section, in an unnamed container, is a class in one arrangement;
+    texts with equal vectors in changing order are none."""
+    menu = "<div class=x1><i>North</i><p>East</p><p>South</p></div>"
+    lines = ["First line", "Second line", "Third line"]
+    rows = [("http://h.org/", "<p>lead</p>" * (n % 3) + (menu if n % 2 else "<div class=x2>" + "".join(
+        f"<p>{lines[(n // 2 * k + k) % 3]}</p><p>{n} {k}</p>" for k in range(3)) + "</div>") + f"<p>Own {n}</p>")
+        for n in range(40)]
+    got = texts_of(spark, *rows)
+    assert not any("North" in t or "East" in t or "South" in t for t in got)
+    assert all(f"Own {n}" in t for n, t in enumerate(got))
+    assert "First line" in got[0]
+
+
+def test_recurring_slot_is_template_and_names_give_way(spark):
+    rows = [("http://ads.org/", f"<div class=q7><p>Buy {n % 4}</p></div><div><p>Own {n}</p></div>") for n in range(40)]
+    rows += [("http://w.org/", f"<nav>menu</nav><div class=widget><p>Story {n}</p></div>") for n in range(40)]
+    rows += [("http://mix.org/", "<div>" + "".join(f"<p>Line {n % 4} {k}</p>" for k in range(20)) + f"<p>Own {n}</p></div>")
+             for n in range(40)]
+    assert texts_of(spark, *rows) == [f"Own {n}" for n in range(40)] + [f"Story {n}" for n in range(40)] + [
+        f"Own {n}" for n in range(40)]
