@@ -1,20 +1,21 @@
 """Personal data: patterns, and terms that reveal what the patterns found.
 
-Values found by the patterns are protected entities. A word beside one may give it
-away although it is no personal data in itself. How much it gives away is estimated
+Values found by the patterns are protected entities. A word of their documents may give
+them away although it is no personal data in itself. How much it gives away is estimated
 from the corpus: with N documents, of which n_c hold the entity, n_t the term and
-n_ct both side by side, the term discloses
+n_ct both, the term discloses
 
     PMI(c; t) = log2(n_ct N / (n_c n_t))    of    IC(c) = log2(N / n_c)
 
-bits. Terms that were seen beside the entity in at least ``SUPPORT`` documents and
-disclose ``GENERALISE`` of its information are generalised to a placeholder, from
-``REMOVE`` on they are removed. All counts are over all documents.
+bits. Terms of at least ``SUPPORT`` documents with the entity that disclose
+``GENERALISE`` of its information are flagged. Flagged terms are generalised to a placeholder; those that disclose
+``REMOVE`` by the plain counts are removed. Every occurrence in a text with the entity
+is marked. All counts are over all documents.
 
 Only column expressions and joins. Word counts are partial sums before the shuffle;
-pairs exist only around entities; the spans of a text are keyed by its digest, so
-copies of a text are worked out once, and a hot value or text is a skewed join that
-adaptive execution splits.
+pairs exist only in texts with entities, once per distinct text; the spans of a text
+are keyed by its digest, and a hot value or text is a skewed join that adaptive
+execution splits.
 
 Defined results: a null text is empty and has no spans; copies have equal spans;
 the spans of a kind do not overlap; term spans overlap no span of a pattern.
@@ -22,7 +23,7 @@ the spans of a kind do not overlap; term spans overlap no span of a pattern.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumelake.llm.common import written
 
@@ -39,12 +40,10 @@ KINDS = list(PATTERNS)
 # A cheap test that a text can hold the kind at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 
-REACH = 60              # code points around a span in which terms are looked for
-NEAR = 3                # terms on each side
 SUPPORT = 3             # documents
 GENERALISE, REMOVE = 0.8, 0.95
 TERM = r"\p{L}{3,}"
-SPAN = "array<struct<kind:string,s:int,e:int,value:string,left:string,right:string>>"
+SPAN = "array<struct<kind:string,s:int,e:int,value:string>>"
 PLACEHOLDER = "[{}]"
 
 
@@ -92,18 +91,16 @@ def _placed(matches: Column, pieces: Column) -> Column:
 
 
 def _described(kind: str, matches: Column, pieces: Column) -> Column:
-    """The valid matches with position, value and the text close by."""
+    """The valid matches with position and value."""
     def span(x: Column, i: Column) -> Column:
         return F.when(_valid(kind, F.get(matches, i)), F.struct(
-            F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.get(matches, i).alias("value"),
-            F.right(F.get(pieces, i), F.lit(REACH)).alias("left"),
-            F.left(F.get(pieces, i + 1), F.lit(REACH)).alias("right")))
+            F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.get(matches, i).alias("value")))
     return F.filter(F.transform(_placed(matches, pieces), span), lambda x: x.isNotNull())
 
 
 def find_base(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``_spans``: kind, start, end, value and the text close by
-    on both sides, for every valid match, by kind and start."""
+    """``keep`` columns plus ``_spans``: kind, start, end and value of every valid match,
+    by kind and start."""
     whole = F.coalesce(F.col(text), F.lit(""))
     plain = df.select(*keep, whole.alias("_text"))
     for kind in KINDS:
@@ -121,64 +118,75 @@ def find_base(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return plain.select(*keep, F.concat(*parts).alias("_spans"))
 
 
-def _near(span: Column, left: bool) -> Column:
-    """Terms beside a span with their positions. A word cut by the reach is left out."""
-    text = span["left" if left else "right"]
-    words, pieces = F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.split(text, TERM, -1)
-    begin = span["s"] - F.length(text) if left else span["e"]
-    full = F.length(text) >= REACH
-    cut = (lambda x: full & (x["s"] == 0)) if left else (lambda x: full & (x["e"] == F.length(text)))
-    found = F.filter(F.transform(_placed(words, pieces), lambda x, i: F.when(~cut(x), F.struct(
-        F.lower(F.get(words, i)).alias("term"), (begin + x["s"]).alias("s"), (begin + x["e"]).alias("e")))),
-        lambda x: x.isNotNull())
-    n = F.size(found)
-    near = F.slice(found, F.greatest(n - NEAR + 1, F.lit(1)), F.lit(NEAR)) if left else F.slice(found, 1, NEAR)
-    return near.cast("array<struct<term:string,s:int,e:int>>")
-
-
-def mentions(base: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per entity of a text and term beside it: entity, term, s, e."""
-    one = base.where(F.size("_spans") > 0).select(*keep, "_spans", F.explode("_spans").alias("_x"))
-    near = one.select(*keep, "_spans", F.lower("_x.value").alias("entity"), F.explode(F.concat(
-        _near(F.col("_x"), True), _near(F.col("_x"), False))).alias("_t"))
-    free = ~F.exists("_spans", lambda b: (b["s"] < F.col("_t.e")) & (F.col("_t.s") < b["e"]))
-    return near.where(free).select(*keep, "entity", "_t.term", "_t.s", "_t.e")
-
-
-def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", support: int = SUPPORT,
-               generalise: float = GENERALISE) -> DataFrame:
+def _words(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def held_texts(base: DataFrame) -> DataFrame:
+    """The distinct texts with entities: _digest, how many ``copies`` it has, its
+    ``entities``, and the text with blanks in place of the spans (``free``)."""
+    once = base.where(F.size("_spans") > 0).groupBy("_digest").agg(
+        F.first("_spans").alias("_spans"), F.first("_held").alias("_held"), F.count(F.lit(1)).alias("copies"))
+    free = F.aggregate("_spans", F.col("_held"), lambda t, x: F.overlay(
+        t, F.repeat(F.lit(" "), x["e"] - x["s"]), x["s"] + 1, x["e"] - x["s"]))
+    return once.select("_digest", "copies", free.alias("free"), F.array_distinct(
+        F.transform("_spans", lambda x: F.lower(x["value"]))).alias("entities"))
+
+
+def mentions(held: DataFrame) -> DataFrame:
+    """One row per text, entity and term of it: _digest, copies, entity, term."""
+    return held.select("_digest", "copies", _words(F.col("free")).alias("_t"), F.explode("entities").alias(
+        "entity")).select("_digest", "copies", "entity", F.explode("_t").alias("term"))
+
+
+def occurrences(held: DataFrame) -> DataFrame:
+    """Every term of the texts with its place: _digest, term, s, e."""
+    zipped = F.arrays_zip(F.regexp_extract_all("free", F.lit(TERM), F.lit(0)).alias("m"),
+                          F.split("free", TERM, -1).alias("p"))
+    rows = held.repartition("_digest").select("_digest", F.posexplode(zipped).alias("n", "x")).where(
+        F.col("x.m").isNotNull())
+    end = F.sum(F.length("x.p") + F.length("x.m")).over(
+        Window.partitionBy("_digest").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    placed = rows.select("_digest", F.col("x.m").alias("_m"), end.alias("e"))
+    return placed.select("_digest", F.lower("_m").alias("term"), (F.col("e") - F.length("_m")).alias("s"), "e")
+
+
+def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", generalise: float = GENERALISE,
+               held: DataFrame | None = None) -> DataFrame:
     """Pairs of entity and term with the share of the entity's information that the
-    term discloses. ``base`` is a stored result of ``find_base`` with ``_copy``, a
-    number that tells documents apart."""
+    term discloses. ``base`` is the stored result of ``find_all``, ``held`` its
+    ``held_texts``."""
     n_docs = base.count()
-    found = mentions(base, ["_copy"])
-    pairs = found.select("_copy", "entity", "term").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= support)
-    pairs = written(pairs, "pii-pairs")
+    pairs = mentions(held if held is not None else held_texts(base)).groupBy("entity", "term").agg(
+        F.sum("copies").alias("n_ct"))
     entities = base.select(F.explode(F.array_distinct(F.transform(
         "_spans", lambda x: F.lower(x["value"])))).alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_c"))
-    letters = F.split(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+", " "), " ")
-    terms = docs.select(F.explode(F.array_distinct(letters)).alias("term")).groupBy("term").agg(
+    terms = docs.select(F.explode(_words(F.coalesce(F.col(text), F.lit("")))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_t"))
     known = pairs.join(entities, "entity").join(terms, "term")
     information = F.log2(n_docs / F.col("n_c"))
-    pmi = F.log2(F.col("n_ct") * n_docs / (F.col("n_c") * F.col("n_t")))
-    share = F.when(information > 0, pmi / information).otherwise(0.0)
-    return known.withColumn("share", share).where(F.col("share") >= generalise)
+
+    def share(chance: Column) -> Column:
+        return F.when(information > 0, F.log2(chance * n_docs / F.col("n_c")) / information).otherwise(0.0)
+    return known.withColumn("share", share(F.col("n_ct") / F.col("n_t"))).where(
+        (F.col("n_ct") >= SUPPORT) & (F.col("share") >= generalise))
 
 
 def find_all(docs: DataFrame, keep: list[str], text: str = "text", **how) -> tuple[DataFrame, DataFrame]:
-    """The stored base spans of every row (``keep``, _digest, _spans), and per digest
-    of a text the revealing terms (_digest, _terms: s, e, share)."""
-    rows = docs.select(*keep, text).withColumns({
+    """The stored base spans of every row (``keep``, _digest, _spans, and the text as
+    _held if it has spans), and per digest of a text the revealing terms (_digest,
+    _terms: s, e, share)."""
+    rows = docs.select(*keep, text, F.col(text).alias("_held")).withColumns({
         "_digest": F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))})
-    base = find_base(rows, text, [*keep, "_digest"]).withColumn("_copy", F.monotonically_increasing_id())
-    base = written(base, "pii-base")
-    flagged = written(disclosing(docs, base, text, **how).select("entity", "term", "share"), "pii-terms")
-    once = base.where(F.size("_spans") > 0).dropDuplicates(["_digest"])
-    hits = mentions(once, ["_digest"]).join(flagged, ["entity", "term"])
-    hits = hits.groupBy("_digest", "s", "e").agg(F.max("share").alias("share"))
+    base = find_base(rows, text, [*keep, "_digest", "_held"])
+    base = written(base.withColumn("_held", F.when(F.size("_spans") > 0, F.col("_held"))), "pii-base")
+    held = written(held_texts(base), "pii-texts")
+    flagged = written(disclosing(docs, base, text, held=held, **how).select("entity", "term", "share"), "pii-terms")
+    marked = mentions(held).join(flagged, ["entity", "term"]).groupBy("_digest", "term").agg(
+        F.max("share").alias("share"))
+    hits = occurrences(held).join(marked, ["_digest", "term"])
     terms = hits.groupBy("_digest").agg(F.sort_array(F.collect_list(     # terms of one text
         F.struct("s", "e", "share"))).alias("_terms"))
     # Stored, so that the join with all rows is one of two plain tables: Spark sends the

@@ -226,6 +226,15 @@ def test_terms_that_disclose(spark):
     assert kept[101] == "write to office of [TERM] [EMAIL] before llll"
 
 
+def test_term_far_from_its_entity_goes_everywhere(spark):
+    """The name stands in the title and far behind the address, in every document of it."""
+    filler = "plain words between them all the time " * 4
+    rows = [(n, f"{filler} {'abcdefgh'[n % 8] * 4}") for n in range(200)]
+    rows += [(300 + n, f"Vendrik {filler} person1@ex.org {filler} vendrik. {filler}") for n in range(4)]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[300] == f" {filler} [EMAIL] {filler} . {filler}" and out[0] == rows[0][1]
+
+
 def test_sanitise_odd_tables(spark, crowded, no_docs):
     docs = spark.createDataFrame([(n, t, "x") for n, t in enumerate(ODD)], "doc_id long, text string, share string")
     out = pii.sanitise(docs)
