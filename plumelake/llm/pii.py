@@ -7,8 +7,10 @@ n_ct both, the term discloses
 
     PMI(c; t) = log2(n_ct N / (n_c n_t))    of    IC(c) = log2(N / n_c)
 
-bits. Terms of at least ``SUPPORT`` documents with the entity that disclose
-``GENERALISE`` of its information are flagged. Flagged terms are generalised to a placeholder; those that disclose
+bits. There is no least number of documents: a term is flagged if it discloses
+``GENERALISE`` of the entity's information even when the chance of the entity beside the
+term, n_ct / n_t, is estimated with one more document of the term that holds the entity
+by chance only. Flagged terms are generalised to a placeholder; those that disclose
 ``REMOVE`` by the plain counts are removed. Every occurrence in a text with the entity
 is marked. All counts are over all documents.
 
@@ -40,7 +42,6 @@ KINDS = list(PATTERNS)
 # A cheap test that a text can hold the kind at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 
-SUPPORT = 3             # documents
 GENERALISE, REMOVE = 0.8, 0.95
 TERM = r"\p{L}{3,}"
 SPAN = "array<struct<kind:string,s:int,e:int,value:string>>"
@@ -170,8 +171,8 @@ def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", generalise:
 
     def share(chance: Column) -> Column:
         return F.when(information > 0, F.log2(chance * n_docs / F.col("n_c")) / information).otherwise(0.0)
-    return known.withColumn("share", share(F.col("n_ct") / F.col("n_t"))).where(
-        (F.col("n_ct") >= SUPPORT) & (F.col("share") >= generalise))
+    careful = share((F.col("n_ct") + F.col("n_c") / n_docs) / (F.col("n_t") + 1))
+    return known.withColumn("share", share(F.col("n_ct") / F.col("n_t"))).where(careful >= generalise)
 
 
 def find_all(docs: DataFrame, keep: list[str], text: str = "text", **how) -> tuple[DataFrame, DataFrame]:

@@ -235,6 +235,17 @@ def test_term_far_from_its_entity_goes_everywhere(spark):
     assert out[300] == f" {filler} [EMAIL] {filler} . {filler}" and out[0] == rows[0][1]
 
 
+def test_rare_pair_is_flagged(spark):
+    """A name and an address that one document holds, among many."""
+    rows = [(n, f"plain office text number {'abcdefgh'[n % 8] * 4}") for n in range(400)]
+    rows += [(500, "plain text of vendrik at person1@ex.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base, _ = pii.find_all(docs, ["doc_id"])
+    assert [(r["entity"], r["term"]) for r in pii.disclosing(docs, base).collect()] == [("person1@ex.org", "vendrik")]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert out[500] == "plain text of  at [EMAIL]"
+
+
 def test_sanitise_odd_tables(spark, crowded, no_docs):
     docs = spark.createDataFrame([(n, t, "x") for n, t in enumerate(ODD)], "doc_id long, text string, share string")
     out = pii.sanitise(docs)
