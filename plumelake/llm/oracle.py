@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumelake.llm import quality_rules as qr, substrings, topk
+from plumelake.llm import hard_negatives as hn, quality_rules as qr, repeated_windows, substrings, topk, vectors
 
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -127,6 +127,56 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM n WHERE rank <= {k}"""
 
 
+def repeated_word_windows() -> str:
+    n = repeated_windows.LENGTH
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS o,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+  SELECT r, o, i, array_to_string(w[i:i + {n - 1}], ' ') AS g
+  FROM (SELECT r, o, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d)
+), gone AS (
+  SELECT r, i FROM (
+    SELECT r, o, i, min(o) OVER (PARTITION BY g) AS low, min(i) OVER (PARTITION BY g, r) AS first FROM win)
+  WHERE low < o OR first < i
+), under AS (
+  SELECT DISTINCT r, unnest(range(i, i + {n})) AS k FROM gone
+), left_over AS (
+  SELECT r, string_agg(x, ' ' ORDER BY k) AS t, count(*) AS n
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d) ANTI JOIN under USING (r, k) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (r)"""
+
+
+def hard_negatives(every: int = 100) -> str:
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor({vectors.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * v.e[i])) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.r <> v.r AND len(a.e) = len(v.e) WHERE a.vec_id % {every} = 0
+), p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM s WHERE same)
+  WHERE n <= {hn.POSITIVES}
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score, row_number() OVER (PARTITION BY p.r, p.n ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.r = s.r AND NOT s.same AND {hn.LOWEST} * p.score <= 100 * s.score
+    AND 100 * s.score <= {hn.HIGHEST} * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= {hn.NEGATIVES}"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules(), "op3_remove_repeated_substrings": repeated_substrings(),
+    return {"op11_remove_repeated_windows": repeated_word_windows(), "op13_hard_negatives": hard_negatives(),
+            "op1_quality_rules": quality_rules(), "op3_remove_repeated_substrings": repeated_substrings(),
             "op9_top_k": top_k()}

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumelake.llm import (
-    mixing, oracle, packing, pii, quality_classifier as qc, quality_rules as qr, simhash, substrings, templates,
-    topk, url_filter)
+    alignment, hard_negatives as hn, mixing, oracle, packing, pii, quality_classifier as qc, quality_rules as qr,
+    repeated_windows, simhash, substrings, templates, topk, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,9 +80,23 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("score")
 
 
+def op11_remove_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_windows.remove_windows(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))[0]
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hn.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 REGISTERED: list[Query] = [
     op1_quality_rules, op2_quality_classifier, op3_remove_repeated_substrings, op4_simhash_components, op5_packing,
-    op6_personal_data, op7_main_text, op8_mixing, op9_top_k, op10_url_verdicts]
+    op6_personal_data, op7_main_text, op8_mixing, op9_top_k, op10_url_verdicts,
+    op11_remove_repeated_windows, op12_token_alignment, op13_hard_negatives]
 
 
 def registered() -> dict[str, Query]:

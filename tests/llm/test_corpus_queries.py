@@ -17,7 +17,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered():
     names = list(compare.contract.queries())
-    assert [n.split("_")[0] for n in queries.registered()] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.registered()] == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in names and set(queries.registered()) <= set(names)
 
 
