@@ -359,6 +359,7 @@ def statements() -> dict[str, str]:
             f"BETWEEN TIMESTAMP '{q.NOW}' - INTERVAL 7 DAY AND TIMESTAMP '{q.NOW}'"),
         "raw_json_scan": _sql(readings),
         "concatenated_json_scan": _sql(readings),
+        "nested_json_scan": _sql(f"SELECT {RAW}, false AS malformed FROM raw"),
         "malformed_records": _sql(
             "SELECT CASE event_id % 300 WHEN 0 THEN 'no reading ' || event_id WHEN 100 THEN "
             "'\"station_id\":\"cut ' || event_id ELSE 'behind ' || event_id END AS record "
@@ -394,6 +395,7 @@ def statements() -> dict[str, str]:
         "stream_dedup": _sql(f"SELECT {CLEAN_OUT} FROM clean WHERE timestamp_parsed IS NOT NULL", order=BY_VALUES),
         "stream_pipeline_predictions": _sql(f"SELECT {SCORED_OUT} FROM scored", timed_only=True, order=BY_VALUES),
         "stream_concatenated_intake": _sql(readings),
+        "stream_nested_intake": _sql(readings),
         "stream_quarantine": _sql(QUARANTINE),
         "stream_hourly_aqi": _sql(HOURLY),
         # a stream has no place in time for readings without one

@@ -394,6 +394,26 @@ def concatenated_json_scan(spark, sf_dir):
     return readers.read_raw(spark, path).select(*schemas.columns(schemas.RAW))
 
 
+def _nested_files(spark: SparkSession, sf_dir: str) -> str:
+    """Readings as an API forwards them: with fields of objects and lists that the schema
+    does not name, with braces and quotes in texts, and repeated ones on the same line."""
+    place = F.struct("latitude", F.array(F.struct(F.col("event_id").alias("seen"))).alias("log"))
+    note = F.concat(F.lit('{"'), "event_id", F.lit("\\} }{ "), "station_name")
+    raw = _raw(spark, sf_dir).withColumns({"coord": place, "note": note})
+    extra = ["coord", *schemas.columns(schemas.RAW), "note"]
+    objects = raw.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct(      # one or two each
+        "ingest_seq", F.to_json(F.struct(*extra)).alias("object")))).alias("objects"))
+    path = shared_folder(spark, "nested")
+    objects.select(F.array_join("objects.object", " ").alias("value")).write.text(path)
+    return path
+
+
+def nested_json_scan(spark, sf_dir):
+    """Also tells how many records could not be read."""
+    raw = readers.read_raw(spark, _nested_files(spark, sf_dir))
+    return raw.select(*schemas.columns(schemas.RAW), F.col(schemas.CORRUPT).isNotNull().alias("malformed"))
+
+
 def malformed_records(spark, sf_dir):
     """Every 100th event also leaves a text that is no reading: a line without an
     object, an object without an end, or something behind an object."""
@@ -512,6 +532,13 @@ def stream_concatenated_intake(spark, sf_dir):
     return spark.read.schema(raw.schema).parquet(path).select(*schemas.columns(schemas.RAW))
 
 
+def stream_nested_intake(spark, sf_dir):
+    raw = readers.stream_raw(spark, _nested_files(spark, sf_dir))
+    path = shared_folder(spark, "stream-nested")
+    intake.append_parquet(raw, path, shared_folder(spark, "ckpt")).awaitTermination()
+    return spark.read.schema(raw.schema).parquet(path).select(*schemas.columns(schemas.RAW))
+
+
 def stream_quarantine(spark, sf_dir):
     raw = readers.stream_raw(spark, _raw_files(spark, _readings(spark, sf_dir)))
     faulty = intake.stream_quarantine(raw)
@@ -569,10 +596,10 @@ REGISTERED: list[Query] = [
     alert_counts, alert_totals, alert_totals_json, alert_digest, incomplete_alerts, url_decode_keys, kpi_summary,
     hourly_aqi, station_summary, category_counts, date_span, station_list, worst_10,
     latest_10_features, latest_10_predictions, filtered_readings, filtered_kpis,
-    last_7_days_export, raw_json_scan, concatenated_json_scan, malformed_records, clean_table_scan,
+    last_7_days_export, raw_json_scan, concatenated_json_scan, nested_json_scan, malformed_records, clean_table_scan,
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings, synthetic_csv_scan,
-    pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_quarantine, stream_hourly_aqi,
+    pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_nested_intake, stream_quarantine, stream_hourly_aqi,
     stream_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
     stream_pipeline_predictions,
 ]

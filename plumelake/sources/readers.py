@@ -3,40 +3,105 @@ partition values such as ``001`` keep their text form."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumelake.functions.times import parse_text_time
 from plumelake.sources import schemas
 
-# A raw file is cut before every opening brace, so a row is one flat object, whatever
-# stands between objects: a line break, a blank or nothing.
+# Flat files may also be cut before every opening brace, so that a file without line
+# breaks is no single row.
 OPEN = "{"
 
+# Characters that stand for marks inside texts while a line is cut. Unicode
+# sets them aside for such inner use, so no text holds them.
+_OPEN_TEXT, _CLOSE_TEXT, _SLASHES, _QUOTE = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+_FLAT = r"^\s*\{[^{}]*\}\s*$"        # one object without another brace
+_SOMETHING = r"[^\s,\[\]]"          # more than what stands between the objects of a list
+_BORDER = r"(?<=\})(?=\s*\{)"        # between two objects; never inside one
+
 
 def _raw_with_corrupt() -> T.StructType:
     return T.StructType([*schemas.RAW.fields, T.StructField(schemas.CORRUPT, T.StringType())])
 
 
-def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], flat: bool = False) -> DataFrame:
     """Raw readings from JSON files, plus ``_corrupt_record`` for text that is
     malformed or has a field of the wrong type (that field is null).
 
-    Several objects may follow each other on one line. Files are split inside, at
-    objects. Folder partitions are allowed.
+    Several objects may follow each other on one line; their fields may hold objects,
+    lists and braces in texts, as with the plain JSON reader. Folder partitions are
+    allowed. A line is read by one task. ``flat`` is for large files without line breaks
+    whose objects hold no other brace: they are split inside, at objects.
     """
-    return split_objects(spark.read.text(path, lineSep=OPEN))
-
+    if flat:
+        return _parsed(_flat_records(spark.read.text(path, lineSep=OPEN)))
+    return split_objects(spark.read.text(path))
+
+
+def _masked(line: Column) -> Column:
+    """A line whose braces all stand outside texts; those inside are replaced, and so are
+    escaped quotes. What stands between two quotes is a text."""
+    plain = F.replace(F.replace(line, F.lit("\\\\"), F.lit(_SLASHES)), F.lit('\\"'), F.lit(_QUOTE))
+    parts = F.transform(F.split(plain, '"'), lambda x, i: F.when(
+        i % 2 == 1, F.translate(x, "{}", _OPEN_TEXT + _CLOSE_TEXT)).otherwise(x))
+    return F.array_join(parts, '"')
+
+
+def _unmasked(text: Column) -> Column:
+    braces = F.translate(text, _OPEN_TEXT + _CLOSE_TEXT, "{}")
+    return F.replace(F.replace(braces, F.lit(_QUOTE), F.lit('\\"')), F.lit(_SLASHES), F.lit("\\\\"))
+
+
+def _by_depth(chunk: Column) -> Column:
+    """Objects of a masked text and what stands between them, by the depth of braces."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done"))
+
+    def step(at: Column, piece: Column) -> Column:
+        """``piece``: from an opening brace, or the start, to before the next one."""
+        opens = F.startswith(piece, F.lit("{"))
+        ends = F.length(piece) - F.length(F.replace(piece, F.lit("}")))
+        depth = at["depth"] + F.when(opens, 1).otherwise(0)
+        closed = (depth > 0) & (ends >= depth)
+        head = F.array_join(F.slice(F.split(piece, r"\}"), F.lit(1), F.greatest(depth, F.lit(1))), "}")
+        tail = F.substring(piece, F.length(head) + 2, F.length(piece))
+        whole = F.array(F.concat(at["open"], head, F.lit("}")), tail)
+        return F.struct(
+            F.when(closed, 0).when(depth == 0, 0).otherwise(depth - ends).alias("depth"),
+            F.when(closed | (depth == 0), "").otherwise(F.concat(at["open"], piece)).alias("open"),
+            F.when(closed, F.concat(at["done"], whole)).when(
+                depth == 0, F.concat(at["done"], F.array(piece))).otherwise(at["done"]).alias("done"))
+
+    def finish(at: Column) -> Column:
+        return F.concat(at["done"], F.array(at["open"]))
+    return F.aggregate(F.split(chunk, r"(?=\{)"), start, step, finish)
+
+
+def _records(line: Column) -> Column:
+    """The records of a line. Two objects that stand side by side outside of texts are
+    always two records, which a pattern finds in one pass; only a record that holds another
+    object, or has something before or behind it, is looked at brace by brace."""
+    chunks = F.split(_masked(line), _BORDER)
+    found = F.flatten(F.transform(chunks, lambda c: F.when(F.rlike(c, F.lit(_FLAT)), F.array(c)).otherwise(_by_depth(c))))
+    return F.when(F.rlike(line, F.lit(_FLAT)), F.array(line)).otherwise(
+        F.filter(F.transform(found, _unmasked), lambda x: F.rlike(x, F.lit(_SOMETHING))))
+
+
+def split_objects(lines: DataFrame) -> DataFrame:
+    """Lines (column ``value``) to raw readings, one per object. Other columns, such as
+    folder partitions, are kept.
+
+    What stands before, between or behind objects is a malformed record of its own, so is
+    an object without its end, up to the end of its line: nothing is dropped, and other
+    objects are not lost with it. The work is in proportion to the length of a line and,
+    inside a record, to its length times the objects it holds.
+    """
+    rest = [c for c in lines.columns if c != "value"]
+    blank = ~F.rlike("value", F.lit(r"\S"))
+    return _parsed(lines.where(~blank).select(F.explode(_records(F.col("value"))).alias("value"), *rest))
 
-def split_objects(cut: DataFrame) -> DataFrame:
-    """Text cut before every opening brace (column ``value``, without the brace) to raw
-    readings, one per object. Other columns, such as folder partitions, are kept.
 
-    Objects are flat and on one line. What is left of a line after an object, and any
-    line without one, is a malformed record of its own, so is an object without its
-    closing brace and each part of an object with a brace inside a text: nothing is
-    dropped, and no neighbour is lost with it.
-    """
-    parse_options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+def _flat_records(cut: DataFrame) -> DataFrame:
+    """Text cut before every opening brace (without the brace) to records."""
     rest = [c for c in cut.columns if c != "value"]
     lines = F.split("value", r"\r?\n")
     first, later = F.get("_lines", F.lit(0)), F.slice("_lines", 2, F.size("_lines"))
@@ -46,14 +111,19 @@ def split_objects(cut: DataFrame) -> DataFrame:
         F.trim(first) != "", F.concat(F.lit(OPEN), first))
     tail = F.when(whole, F.substring(first, ends + 1, F.length(first)))
     records = F.filter(F.concat(F.array(item, tail), later), lambda x: x.isNotNull() & (F.trim(x) != ""))
-    pieces = cut.select(lines.alias("_lines"), *rest).select(F.explode(records).alias("value"), *rest)
+    return cut.select(lines.alias("_lines"), *rest).select(F.explode(records).alias("value"), *rest)
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    parse_options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    rest = [c for c in records.columns if c != "value"]
     parsed = F.from_json("value", _raw_with_corrupt(), parse_options)
-    return pieces.select(parsed.alias("_reading"), *rest).select("_reading.*", *rest)
+    return records.select(parsed.alias("_reading"), *rest).select("_reading.*", *rest)
 
 
 def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New raw files as they arrive, read like ``read_raw``."""
-    reader = spark.readStream.option("lineSep", OPEN)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return split_objects(reader.text(path))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators import alerts as al
 from plumelake.sources import schemas
 

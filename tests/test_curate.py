@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.functions.times import clock_text, tolerant_time
 from plumelake.operators.curate import clean_nulls, curate, dedup, quarantine
 from plumelake.sources import schemas

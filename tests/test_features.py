@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators.features import FEATURE_SPECS, calendar, features, label
 from plumelake.operators.rolling import RollingSpec, rolling, trend
 from plumelake.sources import schemas

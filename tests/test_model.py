@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators import model as ml
 from plumelake.operators.features import features
 from plumelake.sources import schemas

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators.alerts import alerts
 from plumelake.plans.pipeline import Places, run_batch
 from plumelake.session import shared_folder

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators import reports as rp
 from plumelake.sources import readers, schemas, writers
 

@@ -1,9 +1,11 @@
+import json
+import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators.curate import curate
 from plumelake.operators.synthetic import synthetic_readings
 from plumelake.sources import readers, schemas, writers
@@ -48,15 +50,85 @@ def test_five_objects_on_one_line_of_a_stream(spark, tmp_path):
 
 @pytest.mark.parametrize("text,bad", [
     ("{broken}", ["{broken}"]), ('{"station_id":"x"', ['{"station_id":"x"']), ("\nno json\n", ["no json"]),
-    (" behind", ["behind"]), ('{"station_id":"a{b","aqi":1}', ['{"station_id":"a', '{b","aqi":1}'])])
+    (" behind", ["behind"]), ('{"a":{"b":1}', ['{"a":{"b":1}']), ("} ]", ["} ]"]), (' {"a":"b{"} x', ["x"])])
 def test_malformed_pieces_are_quarantined_and_take_nothing_with_them(spark, tmp_path, text, bad):
     path = put(tmp_path / "raw", ONE + text + "\n" + TWO)
     clean, faulty = curate(readers.read_raw(spark, path))
     assert clean.count() == 2
+    faulty = faulty.where("reason = 'malformed'")
     assert sorted((r, c.strip()) for r, c in rows(faulty.select("reason", "_corrupt_record"))) == [
         ("malformed", b) for b in sorted(bad)]
 
 
+def objects_of(line):
+    """Records of a line, character by character."""
+    out, depth, text, escaped, at = [], 0, False, False, ""
+    for c in line:
+        if text:
+            at += c
+            text, escaped = escaped or c != '"', c == "\\" and not escaped
+            continue
+        if c == "{" and not depth:
+            out, at = [*out, at], ""
+        at, text = at + c, c == '"'
+        if c == "{":
+            depth += 1
+        elif c == "}" and depth:
+            depth -= 1
+            if not depth:
+                out, at = [*out, at], ""
+    return [x.strip() for x in [*out, at] if x.strip(" \t,[]")]
+
+
+def test_records_equal_a_scan_by_character(spark):
+    """Nested fields, lists, braces and escapes in texts, many objects on a line, and
+    something before, between and behind them."""
+    draw = random.Random(1)
+
+    def value(depth):
+        kind = draw.randrange(7 if depth < 4 else 4)
+        if kind == 4:
+            return [value(depth + 1) for _ in range(draw.randrange(4))]
+        if kind > 4:
+            return {f"k{i}": value(depth + 1) for i in range(draw.randrange(3))}
+        return draw.choice([7, True, None, "a{b", "}{", 'x\\y', 'q"{', "", "}", '\\"', "\u00e9{", "\n{"])
+    lines = []
+    for _ in range(800):
+        parts = [json.dumps({"station_id": value(3), "v": value(0)}, separators=draw.choice([(",", ":"), (", ", ": ")]))
+                 + draw.choice(["", "", " ", "  ", ", ", " junk ", " }", " ]"]) for _ in range(draw.randrange(1, 6))]
+        lines.append(draw.choice(["", "x ", "[", " "]) + "".join(parts))
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, value string")
+    got = df.select("n", readers._records(F.col("value")).alias("r")).collect()
+    assert {r.n: [x.strip() for x in r.r] for r in got} == {n: objects_of(x) for n, x in enumerate(lines)}
+
+
+NESTED = ONE.replace('"aqi":2', '"coord":{"lat":1,"at":{"x":[{},{"y":"}"}]}},"note":"a { \\" }{ b","aqi":2')
+
+
+def test_nested_fields_and_braces_in_texts(spark, tmp_path):
+    """As many readings as the plain JSON reader finds, which reads one object a line."""
+    lines = [ONE, NESTED, NESTED.replace('"001"', '"0{1"'), "[" + ONE + ", " + NESTED + "]"]
+    path = put(tmp_path / "raw", "\n".join(lines) + "\n" + NESTED + NESTED)
+    plain = spark.read.schema(schemas.RAW).json(put(tmp_path / "plain", "\n".join([*lines, NESTED, NESTED])))
+    df = readers.read_raw(spark, path)
+    assert df.where("_corrupt_record is not null").count() == 0
+    names = schemas.columns(schemas.RAW)
+    assert rows(df.select(*names), *names) == rows(plain.select(*names), *names)
+    assert df.count() == 7 and df.where("station_id = '0{1'").count() == 1
+
+
+def test_files_without_line_breaks_are_split_inside_if_flat(spark, tmp_path):
+    path = put(tmp_path / "raw", FIVE * 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = readers.read_raw(spark, path, flat=True)
+        assert df.rdd.getNumPartitions() > 5 and df.count() == 10_000
+        assert readers.read_raw(spark, path).count() == 10_000
+        assert df.where("_corrupt_record is not null").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_folder_partitions_do_not_disturb_the_clean_columns(spark, tmp_path):
     put(tmp_path / "raw/year=2024/month=01/day=01", ONE)
     put(tmp_path / "raw/year=2024/month=01/day=02", TWO)

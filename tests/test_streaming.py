@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from plumelake.operators.curate import curate
 from plumelake.operators.features import features
 from plumelake.operators import alerts as al, model as ml, reports as rp
