@@ -14,6 +14,7 @@ from plumelake.operators.rolling import TIME
 THRESHOLD = 0.70
 HOURS = 24
 SUBJECT_LENGTH = 100
+READING = ["station_id", TIME]     # what an alert is about
 
 # The wording of an alert message. The place and the signature of
 # the sender are arguments of ``digest``.
@@ -43,12 +44,12 @@ def is_alert(df: DataFrame, now: str | datetime | Column, threshold: float = THR
     time = F.col(TIME)
     if isinstance(df.schema[TIME].dataType, T.StringType):
         time = tolerant_time(TIME)
-    test = (
-        (F.col("contaminacion_alta_pred") == 1.0)
-        & (F.coalesce("probabilidad_alerta", F.lit(0.0)) >= threshold)
-        & F.col("probabilidad_alerta").isNotNull()
-        & (time >= hours_before(now, hours))
-    )
+    return is_danger(threshold) & F.coalesce(time >= hours_before(now, hours), F.lit(False))
+
+
+def is_danger(threshold: float = THRESHOLD) -> Column:
+    """True for a positive prediction with enough probability, however old."""
+    test = (F.col("contaminacion_alta_pred") == 1.0) & (F.col("probabilidad_alerta") >= threshold)
     return F.coalesce(test, F.lit(False))
 
 
@@ -58,6 +59,26 @@ def alerts(pred: DataFrame, now: str | datetime | Column, threshold: float = THR
     return pred.where(is_alert(pred, now, threshold, hours))
 
 
+def standing_alerts(pred: DataFrame, raised: DataFrame, now: str | datetime | Column, threshold: float = THRESHOLD,
+                    hours: int = HOURS) -> DataFrame:
+    """The predictions that raise an alert now, and those that raised one before (in
+    ``raised``) and still tell of danger, however old they have become."""
+    before = raised.select(*[F.col(c).alias(f"_{c}") for c in READING])
+    same = [F.col(c) == F.col(f"_{c}") for c in READING]
+    held = pred.where(is_danger(threshold) & ~is_alert(pred, now, threshold, hours)).join(before, same, "left_semi")
+    return alerts(pred, now, threshold, hours).unionByName(held)
+
+
+def alert_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What became of each reading's alert: ``raised``, ``kept`` or ``withdrawn``, with its
+    probability before and after."""
+    sides = [df.select(*READING, F.col("probabilidad_alerta").alias(name), F.lit(True).alias(f"_{name}"))
+             for df, name in ((old, "before"), (new, "after"))]
+    both = sides[0].join(sides[1], READING, "full_outer")
+    change = F.when(F.col("_before").isNull(), "raised").when(F.col("_after").isNull(), "withdrawn").otherwise("kept")
+    return both.select(*READING, change.alias("change"), "before", "after")
+
+
 def alert_counts(found: DataFrame, by: str | list[str]) -> DataFrame:
     """Alerts per file or station; none with zero."""
     keys = [by] if isinstance(by, str) else by

@@ -34,7 +34,7 @@ def _place(axis: int) -> str:
 
 
 def _ctes(station: str = "event_type", timed_only: bool = False,
-          order: str = "event_id, ingest_seq") -> list[str]:
+          order: str = "event_id, ingest_seq", given: str = "true") -> list[str]:
     index = _cases(
         [(f"event_id % {ad.NO_INDEX} = 0", "NULL"), (f"event_id % {ad.ZERO_INDEX} = 0", "0")]
         + [(f"value < {lim}", str(i)) for lim, i in ad.INDEX_LIMITS], "5")
@@ -42,9 +42,10 @@ def _ctes(station: str = "event_type", timed_only: bool = False,
     return [
         f"""src AS (
   SELECT event_id, 0 AS ingest_seq, ts, user_id, event_type, value FROM events
+  WHERE {given}
   UNION ALL
   SELECT event_id, 1, ts, user_id, event_type, value + 1 FROM events
-  WHERE event_id % {ad.REPEAT} = 0)""",
+  WHERE {given} AND event_id % {ad.REPEAT} = 0)""",
         f"""raw AS (
   SELECT event_id, ingest_seq,
     CASE WHEN event_id % {ad.NO_STATION} <> 0 THEN CAST({station} AS VARCHAR) END AS station_id,
@@ -245,6 +246,45 @@ ASOF LEFT JOIN (
     AS aqi FROM rolled WHERE sec IS NOT NULL GROUP BY 1, 2) b
   ON a.station_id = b.station_id AND a.due <= b.sec"""
 
+def _state(body: str, delivery: int, upto: bool = True) -> str:
+    """A query over the readings of a delivery and, if ``upto``, of those before it."""
+    sign = "<=" if upto else "="
+    return "(" + _sql(body, timed_only=True, order=BY_VALUES, given=f"event_id % {q.DELIVERIES} {sign} {delivery}") + ")"
+
+
+def _changes() -> str:
+    """Differences of the alerts after each delivery."""
+    key = "SELECT station_id, timestamp_parsed FROM "
+    parts = []
+    for n in range(q.DELIVERIES):
+        after = _state(f"{key}found", n)
+        before = _state(f"{key}found", n - 1)
+        parts += [f"SELECT *, '{word}' AS change, {n} AS delivery FROM ({a} EXCEPT {b})"
+                  for word, a, b in (("raised", after, before), ("withdrawn", before, after))]
+    parts.append(f"SELECT *, 'stands' AS change, {q.DELIVERIES} AS delivery FROM {_state(f'{key}found', q.DELIVERIES - 1)}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _stage_counts() -> str:
+    """The last delivery comes twice: the second time it is read, but changes nothing."""
+    parts = []
+    for batch, n in enumerate([*range(q.DELIVERIES), q.DELIVERIES - 1]):
+        key = "SELECT station_id, timestamp_parsed FROM found"
+        before = n if batch > n else n - 1
+        after, old = _state(key, n), _state(key, before)
+        counts = {
+            "read": f"SELECT count(*) FROM {_state('SELECT * FROM raw', n, False)}",
+            "quarantined": f"SELECT count(*) FROM {_state(QUARANTINE, n, False)}",
+            "new": f"SELECT count(*) FROM {_state('SELECT * FROM clean', n, False)}",
+            "featured": f"SELECT count(*) FROM {_state('SELECT * FROM feats', n)}",
+            "scored": f"SELECT count(*) FROM {_state('SELECT * FROM scored', n)}",
+            "raised": f"SELECT count(*) FROM ({after} EXCEPT {old})",
+            "kept": f"SELECT count(*) FROM ({after} INTERSECT {old})",
+            "withdrawn": f"SELECT count(*) FROM ({old} EXCEPT {after})"}
+        parts += [f"SELECT {batch} AS batch, '{stage}' AS stage, ({sql}) AS n" for stage, sql in counts.items()]
+    return "\nUNION ALL ".join(parts)
+
+
 STAGES = """SELECT 'read' AS stage, count(*) AS n FROM raw
 UNION ALL SELECT 'clean', count(*) FROM clean
 UNION ALL SELECT 'featured', count(*) FROM feats
@@ -394,6 +434,8 @@ def statements() -> dict[str, str]:
         "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
         "stream_dedup": _sql(f"SELECT {CLEAN_OUT} FROM clean WHERE timestamp_parsed IS NOT NULL", order=BY_VALUES),
         "stream_pipeline_predictions": _sql(f"SELECT {SCORED_OUT} FROM scored", timed_only=True, order=BY_VALUES),
+        "stream_withdrawn_alerts": _changes(),
+        "stream_stage_counts": _stage_counts(),
         "stream_concatenated_intake": _sql(readings),
         "stream_nested_intake": _sql(readings),
         "stream_quarantine": _sql(QUARANTINE),

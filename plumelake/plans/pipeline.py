@@ -26,7 +26,7 @@ class Places:
 
     def __getattr__(self, name: str) -> str:
         if name in ("clean", "quarantine", "features", "model", "predictions", "test_scores",
-                    "alerts", "alert_lines", "messages", "days"):
+                    "alerts", "alert_changes", "alert_lines", "messages", "days", "stages", "ledger"):
             return f"{self.out.rstrip('/')}/{name}"
         raise AttributeError(name)
 

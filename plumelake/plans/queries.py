@@ -21,11 +21,11 @@ from plumelake.operators.features import calendar, features, label
 from plumelake.operators.rolling import RollingSpec, rolling, trend
 from plumelake.operators.synthetic import synthesize
 from plumelake.plans.adapter import ARRIVAL, events, raw_readings
-from plumelake.plans.pipeline import run_batch
+from plumelake.plans.pipeline import Places, run_batch
 from plumelake.session import shared_folder, use_utc, written
 from plumelake.sources import readers, schemas, writers
 from plumelake.streaming import features as sf, hourly as sh, intake, scoring
-from plumelake.streaming.chain import run_stream
+from plumelake.streaming.chain import read_by_batch, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -512,17 +512,41 @@ def stream_dedup(spark, sf_dir):
     return plain(readers.read_clean(spark, path))
 
 
-def stream_pipeline_predictions(spark, sf_dir):
-    """The chain over three deliveries: each holds readings of all days, so those of the
-    later ones are late, and the second is delivered twice."""
+FIXED = {"weights": WEIGHTS, "means": MEANS, "stds": STDS, "bias": BIAS}
+DELIVERIES = 3
+
+
+def _delivered(spark: SparkSession, sf_dir: str, order: tuple[int, ...] = (0, 1, 2)) -> Places:
+    """The chain over deliveries that each hold readings of all days."""
     raw, out, ckpt = (shared_folder(spark, n) for n in ("raw", "chain", "ckpt"))
-    fixed = {"weights": WEIGHTS, "means": MEANS, "stds": STDS, "bias": BIAS}
     readings = _raw(spark, sf_dir)
-    for delivery in (0, 1, 1, 2):
-        part = readings.where(F.pmod("event_id", F.lit(3)) == delivery).select(*schemas.columns(schemas.RAW))
+    for delivery in order:
+        part = readings.where(F.pmod("event_id", F.lit(DELIVERIES)) == delivery).select(*schemas.columns(schemas.RAW))
         part.write.mode("append").json(raw)
-        run_stream(spark, raw, out, ckpt, fixed, RUN_TS, NOW, scale=2).awaitTermination()
-    return plain(_rounded(readers.read_predictions(spark, f"{out}/predictions").drop("source_file")))
+        run_stream(spark, raw, out, ckpt, FIXED, RUN_TS, NOW, scale=2).awaitTermination()
+    return Places(out)
+
+
+def stream_pipeline_predictions(spark, sf_dir):
+    """Later deliveries are late, and the second comes twice."""
+    places = _delivered(spark, sf_dir, (0, 1, 1, 2))
+    return plain(_rounded(readers.read_predictions(spark, places.predictions).drop("source_file")))
+
+
+def stream_withdrawn_alerts(spark, sf_dir):
+    """Alerts that each delivery raised and withdrew, and those that stand at the end."""
+    places = _delivered(spark, sf_dir)
+    changed = read_by_batch(spark, places.alert_changes).where("change <> 'kept'").select(
+        "station_id", "timestamp_parsed", "change", F.col("batch").cast("int").alias("delivery"))
+    standing = spark.read.parquet(places.alerts).select(
+        "station_id", "timestamp_parsed", F.lit("stands").alias("change"), F.lit(DELIVERIES).alias("delivery"))
+    return plain(changed.unionByName(standing))
+
+
+def stream_stage_counts(spark, sf_dir):
+    """Rows of each step by micro-batch; a delivery that comes twice changes nothing."""
+    places = _delivered(spark, sf_dir, (0, 1, 2, 2))
+    return read_by_batch(spark, places.stages).select(F.col("batch").cast("int").alias("batch"), "stage", "n")
 
 
 def stream_concatenated_intake(spark, sf_dir):
@@ -565,8 +589,7 @@ def stream_feature_table(spark, sf_dir):
 def stream_scores(spark, sf_dir):
     source = shared_folder(spark, "features")
     writers.write_features(_features(spark, sf_dir), source)
-    fixed = {"weights": WEIGHTS, "means": MEANS, "stds": STDS, "bias": BIAS}
-    scored = scoring.stream_score(readers.stream_features(spark, source), fixed, RUN_TS)
+    scored = scoring.stream_score(readers.stream_features(spark, source), FIXED, RUN_TS)
     path = shared_folder(spark, "stream-predictions")
     intake.append_parquet(scored, path, shared_folder(spark, "ckpt"),
                           schemas.PREDICTION_PARTITIONS).awaitTermination()
@@ -601,7 +624,7 @@ REGISTERED: list[Query] = [
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings, synthetic_csv_scan,
     pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_nested_intake, stream_quarantine, stream_hourly_aqi,
     stream_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
-    stream_pipeline_predictions,
+    stream_pipeline_predictions, stream_withdrawn_alerts, stream_stage_counts,
 ]
 
 

@@ -51,6 +51,8 @@ HOURLY = _struct("timestamp_parsed timestamp, station_name string, aqi double, c
 
 STATION_DAY = _struct("station_id string, curated_date date")
 
+STAGES = _struct("stage string, n long")
+
 CLEAN_PARTITIONS = ["year", "month", "day"]
 FEATURE_PARTITIONS = ["curated_date"]
 PREDICTION_PARTITIONS = ["station_id"]

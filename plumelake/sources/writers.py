@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plumelake.sources import schemas
+from plumelake.sources.readers import exists
 
 
 def _write_partitioned(df: DataFrame, path: str, keys: list[str], touched_only: bool) -> None:
@@ -40,6 +41,30 @@ def write_by_day(df: DataFrame, path: str, keys: list[str] | None = None) -> Non
     _write_partitioned(df, path, ["curated_date", *(keys or [])], touched_only=True)
 
 
+def replace_days(df: DataFrame, path: str, days: list, keys: list[str] | None = None) -> None:
+    """Write ``df``, all rows that some days have now, over what was there of them.
+
+    Dynamic overwrite leaves a partition alone that has no rows any more; its folder is
+    deleted here. A second run after a failure gives the same. ``df`` should be stored: it
+    is read twice. Only the folders to delete come to the driver.
+    """
+    spark, by = df.sparkSession, ["curated_date", *(keys or [])]
+    write_by_day(df, path, keys)
+    if not exists(spark, path):
+        return
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
+    stored = spark.read.schema(df.schema).parquet(path).where(F.col("curated_date").isin(days)).select(*by, folder)
+    for row in stored.distinct().join(df.select(*by).distinct(), by, "left_anti").select("_folder").distinct().collect():
+        remove(spark, row[0])
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    """Delete a folder with all it holds."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -90,6 +90,48 @@ def test_chain_equals_batch_and_leaves_nothing_behind(spark, raw_of, tmp_path):
     assert set(shared.iterdir()) == before
 
 
+def test_alerts_are_withdrawn_with_their_prediction(spark, raw_of, tmp_path):
+    """Late readings lower a prediction: its alert goes, with the folder of its day, and the
+    change is listed. A second run of a batch lists the same."""
+    from pathlib import Path
+    from plumelake.plans.pipeline import Places
+    from plumelake.streaming.chain import read_by_batch, run_stream, update
+    fixed = {"weights": {c: float(c == "pm25_prom_6h") for c in ml.INPUTS}, "means": {c: 40.0 for c in ml.INPUTS},
+             "stds": {c: 1.0 for c in ml.INPUTS}, "bias": 0.0}
+    raw, places = str(tmp_path / "raw"), Places(str(tmp_path / "out"))
+    def step(name, *given):
+        deliver(raw_of(*given), raw, name)
+        run_stream(spark, f"{raw}/*", places.out, str(tmp_path / "c"), fixed, "t", NOW).awaitTermination()
+        return sorted((r.station_id, r.timestamp_parsed.day) for r in spark.read.parquet(places.alerts).collect()
+                      ) if list(Path(places.alerts).glob("curated_date=*")) else []
+    high = lambda t, s="a": {"station_id": s, "timestamp": f"2024-01-{t}:00:00", "pm25": 90.0}
+    low = lambda t: {"station_id": "a", "timestamp": f"2024-01-{t}:30:00", "pm25": 1.0}     # noqa: E731
+    assert step("one", high("04T10"), high("04T11"), high("04T12", "b"), high("04T13", "b")) == [("a", 4), ("b", 4)]
+    assert step("two", *[low(f"04T{h:02d}") for h in (6, 7, 8, 9, 10)]) == [("b", 4)]
+    assert step("three", *[dict(low(f"04T{h:02d}"), station_id="b") for h in (8, 9, 10, 11, 12)]) == []
+    changes = {(r.batch, r.station_id, r.change) for r in read_by_batch(spark, places.alert_changes).collect()}
+    assert {c for c in changes if c[2] != "kept"} == {(0, "a", "raised"), (0, "b", "raised"), (1, "a", "withdrawn"),
+                                                      (2, "b", "withdrawn")}
+    stages = {(r.batch, r.stage): r.n for r in read_by_batch(spark, places.stages).collect()}
+    assert [stages[b, "withdrawn"] for b in range(3)] == [0, 1, 1] and stages[1, "read"] == 5
+    again = readers.read_raw(spark, f"{raw}/three")
+    update(spark, again, 2, places, fixed, "t", NOW)
+    assert {(r.batch, r.station_id, r.change) for r in read_by_batch(spark, places.alert_changes).collect()} == changes
+    assert not list(Path(places.alerts).glob("curated_date=*"))
+
+
+def test_an_alert_outlasts_its_window(spark, clean_of):
+    """Not its age but its prediction withdraws an alert."""
+    feats = features(clean_of(*[("a", h * 3600.0, 3, 90.0) for h in range(30)]), "range")
+    fixed = {"weights": {c: 1.0 for c in ml.INPUTS}, "means": {c: 0.0 for c in ml.INPUTS},
+             "stds": {c: 1.0 for c in ml.INPUTS}, "bias": 0.0}
+    scored = ml.score_with(ml.training_frame(feats), **fixed, run_ts="t")
+    first = al.alerts(scored, "2024-01-02 00:00:00")
+    later = al.standing_alerts(scored, first, "2024-01-20 00:00:00")
+    assert later.count() == first.count() == 29
+    assert al.standing_alerts(scored.where("false"), first, "2024-01-02 00:00:00").count() == 0
+
+
 def test_hourly_stream_equals_batch(spark, clean_of, tmp_path):
     draw = random.Random(2)
     given = [(draw.choice("ab"), float(draw.randrange(4 * 3600)), draw.choice([None, 1, 3, 5]), 1.0) for _ in range(60)]
