@@ -15,12 +15,13 @@ How it is laid out:
   returns one bit per code. Short codes can only let too much through. Their number in a
   slice is bounded by the number of shuffle tasks, so chance hits do not grow with input.
 * What survives travels as segments of text, so later levels never see the rest.
-* The last level sends codes of 128 bits with the lowest id of the part. It returns a bit
+* The last level sends codes of 96 bits with the lowest id of the part. It returns a bit
   where a lower id holds the same window; the order inside a part is decided there.
 * A passage that a third of all documents share is one code per part, never a group.
 
-Equal words have equal codes of 64 bits (XXH3), and windows equal codes of 128 bits from
-them; unequal windows would need both to collide.
+Words have codes of 64 bits (XXH3), and windows of the last level 96 bits from them. Two
+unequal windows of n that repeat share all of them with a chance of about n²/2^97, below
+one in ten thousand for n = 4e12.
 
 Defined results: a null text has no words; texts shorter than ``length`` words are kept
 whole; a null id counts as the largest; rows with equal ids (or none) remove nothing from
@@ -31,6 +32,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -41,12 +43,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from plumelake.llm.common import partitions, written
+from plumelake.llm.packed import distinct, spread, squeeze
 from plumelake.session import Workspace
 
 LENGTH, BASE = 20, 5
 PART = 2 << 20          # bytes of words in a part
 SLICES = 2              # slices of the codes per shuffle task
-CACHED = 300_000        # words whose code a task remembers
 NO_ID = np.iinfo(np.int64).max
 
 # A row is the state of a part (slice -1, ``payload`` its words) or a message of a part to
@@ -69,28 +71,6 @@ def levels(length: int, base: int) -> list[int]:
     return out
 
 
-class _Codes(dict):
-    """Codes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        code = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHED and len(word) <= 64:
-            self[word] = code
-        return code
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together, which compresses numbers better."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
-    return zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def _spread(body: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
-
-
 def _pair(a: np.ndarray, b: np.ndarray, seed: int = 0) -> np.ndarray:
     """Codes of joined windows; the order counts."""
     x = (a + np.uint64(seed)) * _A + (b ^ (b >> np.uint64(31))) * _B
@@ -122,12 +102,12 @@ def _frame(rows: list) -> pd.DataFrame:
 class _State:
     """The words of a part that are still of interest, in segments of one document each."""
 
-    def __init__(self, row, codes: _Codes) -> None:
+    def __init__(self, row) -> None:
         self.part = int(row.part)
         self.rows, self.ids = np.frombuffer(row.rows, np.int32), np.frombuffer(row.ids, np.int64)
         self.at, self.sizes = np.frombuffer(row.at, np.int64), np.frombuffer(row.sizes, np.int64)
         self.words = zstandard.ZstdDecompressor().decompress(row.payload).split()
-        self.codes = np.fromiter(map(codes.__getitem__, self.words), np.uint64, len(self.words))
+        self.codes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
         ends = np.cumsum(self.sizes)
         self.segment = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.left = np.repeat(ends, self.sizes) - np.arange(len(self.words))    # words to the end
@@ -169,13 +149,13 @@ def _short_messages(part: int, keys: np.ndarray) -> list:
     out = []
     for s, a, b in _cuts((keys >> np.uint64(32)).astype(np.int64)):
         own = keys[a:b].astype(np.uint32)
-        out.append(_message(part, s, _squeeze(np.diff(own, prepend=np.uint32(0)).astype(np.uint32))))
+        out.append(_message(part, s, squeeze(np.diff(own, prepend=np.uint32(0)).astype(np.uint32))))
     return out
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order that sorts the keys (stable), first place of each group, group of each place."""
-    order = np.argsort(keys, kind="stable")
+    """Order that sorts the keys, first place of each group, group of each place."""
+    order = np.argsort(keys)
     ordered = keys[order]
     new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, bool)
     return order, np.nonzero(new)[0], np.cumsum(new) - 1
@@ -197,7 +177,7 @@ def _pack(part_bytes: int):
         counts = np.array(sizes, np.int64)
         return _frame([(uuid.uuid4().int >> 65, _STATE, np.arange(len(ids), dtype=np.int32).tobytes(),
                         np.array(ids, np.int64).tobytes(), (np.cumsum(counts) - counts).tobytes(), counts.tobytes(),
-                        None, zstandard.ZstdCompressor(level=3).compress(b" ".join(t for t in texts if t)))])
+                        None, zstandard.ZstdCompressor(level=6).compress(b" ".join(t for t in texts if t)))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, texts, sizes, held = [], [], [], 0
@@ -220,12 +200,11 @@ def _pack(part_bytes: int):
 
 def _send_base(length: int, slices: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = _Codes()
         for batch in batches:
             for row in batch.itertuples():
-                state = _State(row, codes)
+                state = _State(row)
                 every = _windows(state.codes, length)
-                found = _short_messages(state.part, np.unique(_short(every[state.candidates(length)], slices)))
+                found = _short_messages(state.part, distinct(_short(every[state.candidates(length)], slices)))
                 if found:
                     yield _frame(found)
     return run
@@ -233,12 +212,14 @@ def _send_base(length: int, slices: int):
 
 def _count(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     """Of each message, one bit per code: whether another part sent it too."""
-    sent = [np.cumsum(_spread(p, np.uint32), dtype=np.uint32) for p in messages["payload"]]
+    sent = [np.cumsum(spread(p, np.uint32), dtype=np.uint32) for p in messages["payload"]]
     every = np.sort(np.concatenate(sent))
-    many = np.unique(every[1:][every[1:] == every[:-1]])
+    many = distinct(every[1:][every[1:] == every[:-1]])
     out = []
     for part, own in zip(messages["part"], sent):
-        hit = np.isin(own, many, assume_unique=True)
+        hit = np.zeros(len(own), bool)
+        if len(many):
+            hit = many[np.minimum(np.searchsorted(many, own), len(many) - 1)] == own
         if hit.any():
             out.append(_message(part, key[0], np.packbits(hit).tobytes()))
     return _frame(out)
@@ -266,39 +247,34 @@ def _narrowed(state: _State, at: np.ndarray, length: int) -> tuple:
     sizes = np.diff(np.append(np.nonzero(new)[0], len(kept))).astype(np.int64)
     mask = np.zeros(len(state.words), bool)
     mask[at] = True
-    squeeze = zstandard.ZstdCompressor(level=3)
+    zstd = zstandard.ZstdCompressor(level=3)
     words = state.words
     return (state.part, _STATE, state.rows[state.segment[first]].tobytes(), state.ids[state.segment[first]].tobytes(),
             state.place(first).astype(np.int64).tobytes(), sizes.tobytes(),
-            squeeze.compress(np.packbits(mask[kept]).tobytes()),
-            squeeze.compress(b" ".join([words[i] for i in kept.tolist()])))
-
-
-def _full_codes(state: _State, at: np.ndarray, length: int) -> np.ndarray:
-    out = np.zeros(len(at), np.dtype([("a", "<u8"), ("b", "<u8")]))
-    out["a"], out["b"] = _windows(state.codes, length)[at], _windows(state.codes, length, 1)[at]
-    return out
+            zstd.compress(np.packbits(mask[kept]).tobytes()),
+            zstd.compress(b" ".join([words[i] for i in kept.tolist()])))
 
 
 def _full_groups(state: _State, at: np.ndarray, length: int, slices: int):
     """Groups of equal windows in the order of their slices: order, first place of each
-    group, group of each place, full codes, slices of the groups."""
-    full = _full_codes(state, at, length)
-    order = np.lexsort((at, full["b"], full["a"]))
-    ordered = full[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(at) else np.zeros(0, bool)
+    group, group of each place, both halves of the codes, slices of the groups."""
+    a = _windows(state.codes, length)[at]
+    b = (_windows(state.codes, length, 1)[at] >> np.uint64(32)).astype(np.uint32)
+    order = np.lexsort((at, b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(at) else np.zeros(0, bool)
     first = np.nonzero(new)[0]
-    slice_of = (_short(ordered["a"][first], slices) >> np.uint64(32)).astype(np.int64)
-    return order, first, np.cumsum(new) - 1, ordered, slice_of
+    slice_of = (_short(a[first], slices) >> np.uint64(32)).astype(np.int64)
+    return order, first, np.cumsum(new) - 1, a[first], b[first], slice_of
 
 
 def _extend(length: int, last: bool, slices: int):
     """From the windows of ``length`` that repeat to the candidates of twice that length,
     which are sent to be counted."""
     def run(key: tuple, parts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        codes, out = _Codes(), []
+        out = []
         for row in parts.itertuples():
-            state = _State(row, codes)
+            state = _State(row)
             there = np.zeros(len(state.words) + length, bool)
             there[_survivors(state, known, length, slices)] = True
             n = len(state.words)
@@ -308,25 +284,25 @@ def _extend(length: int, last: bool, slices: int):
             out.append(_narrowed(state, at, 2 * length))
             if not last:
                 keys = _short(_windows(state.codes, 2 * length)[at], slices)
-                out += _short_messages(state.part, np.unique(keys))
+                out += _short_messages(state.part, distinct(keys))
                 continue
-            order, first, group, full, slice_of = _full_groups(state, at, 2 * length, slices)
+            order, first, _, high, low, slice_of = _full_groups(state, at, 2 * length, slices)
             lowest = np.minimum.reduceat(state.ids[state.segment[at[order]]], first)
-            for s, a, b in _cuts(slice_of):
-                body = full[first[a:b]]
-                body = body["a"].tobytes() + body["b"].tobytes() + lowest[a:b].tobytes()
-                out.append(_message(state.part, s, zstandard.ZstdCompressor(level=1).compress(body)))
+            for s, x, y in _cuts(slice_of):
+                bodies = [squeeze(np.diff(high[x:y], prepend=np.uint64(0))), squeeze(low[x:y]), squeeze(lowest[x:y])]
+                out.append(_message(state.part, s, struct.pack("<3I", *map(len, bodies)) + b"".join(bodies)))
         return _frame(out)
     return run
 
 
 def _lowest(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     """Of each message, one bit per window: whether a lower id than the part's own holds it."""
-    unpack, sent = zstandard.ZstdDecompressor(), []
+    sent = []
     for body in messages["payload"]:
-        raw = unpack.decompress(body)
-        n = len(raw) // 24
-        sent.append([np.frombuffer(raw, kind, n, 8 * n * i) for i, kind in enumerate((np.uint64, np.uint64, np.int64))])
+        ends = np.cumsum([12, *struct.unpack_from("<3I", body)]).tolist()
+        high, low, lowest = (spread(body[x:y], kind) for x, y, kind in zip(
+            ends, ends[1:], (np.uint64, np.uint32, np.int64)))
+        sent.append((np.cumsum(high, dtype=np.uint64), low, lowest))
     a, b, ids = (np.concatenate(c) for c in zip(*sent))
     order = np.lexsort((b, a))
     new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
@@ -349,7 +325,7 @@ _KEPT = "_id long, n_words long, n_removed long, kept_sha256 string, kept string
 def _gone(state: _State, known: pd.DataFrame, length: int, slices: int) -> np.ndarray:
     """Places in the part of the first words of removed windows."""
     at = state.candidates(length)
-    order, first, group, _, slice_of = _full_groups(state, at, length, slices)
+    order, first, group, _, _, slice_of = _full_groups(state, at, length, slices)
     lower = _bits(known, _cuts(slice_of), len(first))
     word = at[order]
     ids, rows = state.ids[state.segment[word]], state.rows[state.segment[word]]
@@ -360,14 +336,14 @@ def _gone(state: _State, known: pd.DataFrame, length: int, slices: int) -> np.nd
 
 def _cut(length: int, slices: int, with_text: bool):
     def run(key: tuple, parts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        known, codes, out = found[found["slice"] != _STATE], _Codes(), []
+        known, out = found[found["slice"] != _STATE], []
         states = found[found["slice"] == _STATE]
         for row in parts.itertuples():
             ids, sizes = np.frombuffer(row.ids, np.int64), np.frombuffer(row.sizes, np.int64)
             words = zstandard.ZstdDecompressor().decompress(row.payload).split()
             gone = np.zeros(len(words) + 1, np.int64)
             for state in states.itertuples():
-                at = _gone(_State(state, codes), known, length, slices)
+                at = _gone(_State(state), known, length, slices)
                 np.add.at(gone, at, 1)
                 np.add.at(gone, at + length, -1)
             stay = np.cumsum(gone[:-1]) == 0
