@@ -15,11 +15,13 @@ In a task, for the documents of a part:
 * Every end of either side closes one link, so the links of a document are as many as its
   distinct ends. ``Table.group_by`` counts them per pair of ids.
 
-The partial counts of the parts are merged by Spark, which also finds the highest count of
-each B id. The counts of the pairs that a part holds go back to it, and a second pass over
-its documents sums them up. So what a task holds is one part; a pair that every document
-holds is one row per part; the counts are joined by a shuffle, never sent whole. A part
-longer than ``PART`` is one document, which is worked off in pieces.
+A first pass encodes the texts in parts of ``PART`` bytes and stores for each part its
+distinct chunks as ids, its documents as numbers of chunks, and the partial counts, for
+which a chunk is aligned once. Spark merges the counts and finds the highest of each B id.
+The counts of the pairs that a part holds go back to it, and a second pass aligns its
+documents. So what a task holds is one part; a pair that every document holds is one row per
+part; the counts are joined by a shuffle, never sent whole. A document longer than ``PART``
+is a part of several pieces, which are worked off one after the other.
 
 Defined results: null and empty texts, and texts that a tokenizer does not give back byte
 by byte, have no tokens, zeros and an empty digest; repeated rows and rows without an id
@@ -33,21 +35,24 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plumelake.llm.common import written
+from plumelake.llm.packed import distinct, spread, squeeze
 from plumelake.session import Workspace
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-PART = 4 << 20          # bytes of texts in a part
+PART = 1 << 20          # characters of texts in a part
 
-_PARTS = "part long, ids array<long>, sizes array<long>, texts binary"
-_PAIRS = "part long, a int, b int, n long"
+# A row is the list of the documents of a part (``ids``), a piece of it (``piece``), or a
+# pair of ids with its count in the part (``a``, ``b``, ``n``).
+_PARTS = ("part long, ids array<long>, piece int, docs binary, chunks binary, per_doc binary, sizes binary, "
+          "ids_a binary, per_a binary, ids_b binary, per_b binary, a int, b int, n long")
 _DOCS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
          "groups_sha256 string")
 _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -82,6 +87,29 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def token_bytes(path_a: str, path_b: str) -> tuple[list[bytes], list[bytes]]:
+    """The bytes of each token of A and of B by its id; none where it stands for no text."""
+    import sentencepiece
+    with open(path_a, encoding="utf-8") as f:
+        content = json.load(f)
+    vocabulary, letters = content["model"]["vocab"], _byte_letters()
+    special = {t["content"] for t in content["added_tokens"]}
+    a = [b""] * (max([*vocabulary.values(), *(t["id"] for t in content["added_tokens"])]) + 1)
+    for token, i in vocabulary.items():
+        if token not in special:
+            a[i] = bytes(letters[c] for c in token)
+    model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    if any(re.search("[^▁]▁", p) for p in pieces):
+        raise ValueError("a piece of B goes across words")
+    return a, [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
+               for i, p in enumerate(pieces)]
+
+
+def token_lengths(path_a: str, path_b: str) -> tuple[pa.Array, ...]:
+    return tuple(pa.array([len(t) for t in side], pa.int64()) for side in token_bytes(path_a, path_b))
+
+
 class Coders:
     """Both tokenizers, with the bytes of each of their tokens."""
 
@@ -93,104 +121,131 @@ class Coders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path_a)
         self.whole.encode_special_tokens = True
-        with open(path_a, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        letters = _byte_letters()
-        special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
-        ranks = {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if token not in special}
+        self.bytes_a, self.bytes_b = token_bytes(path_a, path_b)
+        self.lengths_a, self.lengths_b = (pa.array([len(t) for t in side], pa.int64())
+                                          for side in (self.bytes_a, self.bytes_b))
+        ranks = {t: i for i, t in enumerate(self.bytes_a) if t}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        size = max([*vocabulary.values(), *self.whole.get_added_tokens_decoder()]) + 1
-        self.bytes_a = [b""] * size
-        for token, rank in ranks.items():
-            self.bytes_a[rank] = token
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any(re.search("[^▁]▁", p) for p in pieces):
-            raise ValueError("a piece of B goes across words")
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
         self.blank = self.b.piece_to_id("▁")
-        self.lengths_a, self.lengths_b = (pa.array([len(t) for t in side], pa.int64())
-                                          for side in (self.bytes_a, self.bytes_b))
 
-    def encode(self, distinct: list[str]) -> tuple[list, np.ndarray, np.ndarray]:
-        """Lists of the ids of A and of B for each chunk, whether both give the chunk back,
-        and its length in bytes."""
-        raw = [b" " + c.encode() for c in distinct]
+    def encode(self, chunks: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+        """Of A and B the ids of all chunks and how many each chunk has; whether both give
+        the chunk back; and its length in bytes."""
+        raw = [b" " + c.encode() for c in chunks]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        b = self.b.encode(distinct, num_threads=1) if distinct else []
-        b = [ids if c else [self.blank] for c, ids in zip(distinct, b)]
-        plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in distinct), bool, len(distinct))
-        at = np.nonzero(plain)[0]
-        joined = self.fast.encode_ordinary("".join(" " + distinct[i] for i in at.tolist()))
-        flat = np.array(joined, np.int32)
+        found = [ids if c else [self.blank] for c, ids in zip(chunks, self.b.encode(chunks, num_threads=1))] if raw else []
+        per_b = np.fromiter(map(len, found), np.int32, len(found))
+        ids_b = np.fromiter(chain.from_iterable(found), np.int32, int(per_b.sum()))
+        ids_a, per_a = self._encode_a(chunks, sizes)
+        ok = np.ones(len(raw), bool)
+        for ids, per, known in ((ids_a, per_a, self.bytes_a), (ids_b, per_b, self.bytes_b)):
+            tokens = list(map(known.__getitem__, ids.tolist()))
+            ends = np.cumsum(per).tolist()
+            if b"".join(tokens) != b"".join(raw) or np.any(self._bytes(ids, per, known) != sizes):
+                ok &= np.fromiter((b"".join(tokens[e - n:e]) == r for e, n, r in zip(ends, per.tolist(), raw)), bool, len(raw))
+        return [ids_a, ids_b], [per_a, per_b], ok, sizes
+
+    def _bytes(self, ids: np.ndarray, per: np.ndarray, known: list) -> np.ndarray:
+        lengths = (self.lengths_a if known is self.bytes_a else self.lengths_b).to_numpy()
+        total = np.concatenate([[0], np.cumsum(lengths[ids])])
+        ends = np.cumsum(per)
+        return total[ends] - total[ends - per]
+
+    def _encode_a(self, chunks: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
+        own = [c for c, p in zip(chunks, plain.tolist()) if p]
+        flat = np.array(self.fast.encode_ordinary(" " + " ".join(own)) if own else [], np.int32)
         ends = np.cumsum(self.lengths_a.to_numpy()[flat])
-        cuts = np.searchsorted(ends, np.cumsum(sizes[at]), "right")
-        a = [None] * len(distinct)
-        for i, x, y in zip(at.tolist(), [0, *cuts.tolist()], cuts.tolist()):
-            a[i] = joined[x:y]
+        cuts = np.searchsorted(ends, np.cumsum(sizes[plain]), "right")
+        per = np.zeros(len(chunks), np.int32)
+        per[plain] = np.diff(cuts, prepend=0)
+        if plain.all():
+            return flat, per
         odd = np.nonzero(~plain)[0].tolist()
-        for i, e in zip(odd, self.whole.encode_batch([" " + distinct[i] for i in odd], add_special_tokens=False)):
-            a[i] = e.ids
-        ok = np.ones(len(distinct), bool)
-        for side, known in ((a, self.bytes_a), (b, self.bytes_b)):
-            ok &= np.fromiter((b"".join([known[t] for t in ids]) == r for ids, r in zip(side, raw)), bool, len(raw))
-        return [pa.array(side, pa.list_(pa.int32())) for side in (a, b)], ok, sizes
+        others = [e.ids for e in self.whole.encode_batch([" " + chunks[i] for i in odd], add_special_tokens=False)]
+        per[odd] = list(map(len, others))
+        ids, begin = np.zeros(int(per.sum()), np.int32), np.cumsum(per) - per
+        rest = np.ones(len(ids), bool)
+        for at, own_ids in zip(begin[odd].tolist(), others):
+            ids[at:at + len(own_ids)] = own_ids
+            rest[at:at + len(own_ids)] = False
+        ids[rest] = flat
+        return ids, per
 
 
-class _Piece:
-    """Documents, or a stretch of a long one, as Arrow lists of distinct chunks."""
+def _lists(per: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(_offsets(np.cumsum(per)), pa.array(values))
 
-    def __init__(self, coders: Coders, docs: list[tuple[int, list[str]]]):
-        numbers: dict[str, int] = {}
-        self.docs = np.array([d for d, _ in docs], np.int64)
-        own = [[numbers.setdefault(c, len(numbers)) for c in cs] for _, cs in docs]
-        self.chunks = pa.array(own, pa.list_(pa.int32()))
-        self.coders = coders
-        self.ids, self.ok, self.sizes = coders.encode(list(numbers))
-        flat, parent = pc.list_flatten(self.chunks).to_numpy(), pc.list_parent_indices(self.chunks).to_numpy()
-        bad = np.bincount(parent, ~self.ok[flat], len(docs)) > 0 if len(flat) else np.zeros(len(docs), bool)
-        self.bad = set(self.docs[bad].tolist())
 
-    def without(self, bad: set[int]) -> None:
-        """Leave out documents that have no tokens."""
-        keep = np.array([d not in bad for d in self.docs.tolist()], bool)
-        self.chunks, self.docs = self.chunks.filter(pa.array(keep)), self.docs[keep]
+def _offsets(ends: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], ends]).astype(np.int32))
+
+
+class _Piece:
+    """Documents, or a stretch of a long one, as Arrow lists of numbers of chunks, and the
+    ids of A and of B for each chunk."""
+
+    def __init__(self, docs: np.ndarray, chunks: pa.Array, ids: list[np.ndarray], per: list[np.ndarray], sizes: np.ndarray):
+        self.docs, self.chunks, self.raw, self.sizes = docs, chunks, (ids, per), sizes
+        self.ids = [_lists(p, i) for p, i in zip(per, ids)]
+
+    def row(self, part: int, piece: int) -> dict:
+        (ids_a, ids_b), (per_a, per_b) = self.raw
+        flat, per_doc = pc.list_flatten(self.chunks).to_numpy(), pc.list_value_length(self.chunks).to_numpy()
+        numbers = {"docs": self.docs.astype(np.int64), "chunks": flat.astype(np.int32), "per_doc": per_doc.astype(np.int32),
+                   "sizes": self.sizes, "ids_a": ids_a, "per_a": per_a, "ids_b": ids_b, "per_b": per_b}
+        return {"part": part, "piece": piece, **{k: squeeze(v) for k, v in numbers.items()}}
+
+
+def _read_piece(row: dict) -> _Piece:
+    def numbers(name: str, kind=np.int32) -> np.ndarray:
+        return spread(row[name], kind)
+    return _Piece(numbers("docs", np.int64), _lists(numbers("per_doc"), numbers("chunks")),
+                  [numbers("ids_a"), numbers("ids_b")], [numbers("per_a"), numbers("per_b")], numbers("sizes", np.int64))
+
+
+def _encoded(coders: Coders, docs: list[tuple[int, list[str]]]) -> tuple[_Piece, set[int]]:
+    """A piece of the documents that have tokens, and the others."""
+    numbers: dict[str, int] = {}
+    flat = [numbers.setdefault(c, len(numbers)) for _, own in docs for c in own]
+    flat, per = np.array(flat, np.int32), np.array([len(own) for _, own in docs], np.int32)
+    ids, per_chunk, ok, sizes = coders.encode(list(numbers))
+    at = np.array([d for d, _ in docs], np.int64)
+    lists = _lists(per, flat)
+    bad = np.zeros(len(docs), bool)
+    if not ok.all():
+        bad = np.bincount(pc.list_parent_indices(lists).to_numpy(), ~ok[flat], len(docs)) > 0
+        lists = lists.filter(pa.array(~bad))
+    return _Piece(at[~bad], lists, ids, per_chunk, sizes), set(at[bad].tolist())
 
 
 def _side(lists: pa.Array, lengths: pa.Array, chosen: pa.Array, doc_of: pa.Array, base: pa.Array) -> pa.Table:
-    """Tokens of the chosen lists in order: number, id, document, end in the document, and
-    end in the whole piece."""
+    """Tokens of the chosen lists in order: number, id, document, end in the whole piece, and
+    the key of document and end in it."""
     taken = lists.take(chosen)
     ids, parent = pc.list_flatten(taken), pc.list_parent_indices(taken)
     doc = doc_of.take(parent)
     end = pc.cumulative_sum(lengths.take(ids)) if len(ids) else pa.array([], pa.int64())
-    return pa.table({"n": pa.array(np.arange(len(ids))), "id": ids, "doc": doc,
-                     "end": pc.subtract(end, base.take(doc)), "all": end})
+    key = pc.add(pc.shift_left(doc.cast(pa.int64()), 32), pc.subtract(end, base.take(doc)))
+    return pa.table({"n": pa.array(np.arange(len(ids), dtype=np.int32)), "id": ids, "doc": doc, "all": end, "key": key})
 
 
-def _sides(piece: _Piece, chosen: pa.Array, doc_of: pa.Array) -> tuple[pa.Table, pa.Table]:
+def _sides(piece: _Piece, chosen: pa.Array, doc_of: pa.Array, lengths: tuple[pa.Array, pa.Array]) -> tuple[pa.Table, ...]:
     sizes = pa.array(piece.sizes).take(chosen).to_numpy()
     n = int(doc_of.to_numpy()[-1]) + 1 if len(doc_of) else 0
     per_doc = np.bincount(doc_of.to_numpy(), sizes, n).astype(np.int64) if n else np.zeros(0, np.int64)
     base = pa.array(np.cumsum(per_doc) - per_doc)
-    return tuple(_side(lists, lengths, chosen, doc_of, base) for lists, lengths in zip(
-        piece.ids, (piece.coders.lengths_a, piece.coders.lengths_b)))
+    return tuple(_side(lists, known, chosen, doc_of, base) for lists, known in zip(piece.ids, lengths))
 
 
 def _links(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the linked tokens: each end of either side closes one link."""
     ends_a, ends_b = a["all"].to_numpy(), b["all"].to_numpy()
-    ends = np.union1d(ends_a, ends_b)
+    ends = distinct(np.concatenate([ends_a, ends_b]))
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-def _open(row: dict) -> list[str]:
-    flat = zstandard.ZstdDecompressor().decompress(row["texts"])
-    ends = np.cumsum(np.array(row["sizes"], np.int64))
-    return [flat[e - s:e].decode() for e, s in zip(ends.tolist(), row["sizes"])]
-
-
 def _pieces(coders: Coders, texts: list[str], limit: int) -> Iterator[_Piece]:
     """The documents that have tokens, in pieces of about ``limit`` characters."""
     waiting, held = [], 0
@@ -202,7 +257,7 @@ def _pieces(coders: Coders, texts: list[str], limit: int) -> Iterator[_Piece]:
             waiting.append((number, own))
             held += len(text)
             if held >= limit:
-                yield _checked(coders, waiting)
+                yield _encoded(coders, waiting)[0]
                 waiting, held = [], 0
             continue
         stretches, start, size = [], 0, 0
@@ -212,78 +267,69 @@ def _pieces(coders: Coders, texts: list[str], limit: int) -> Iterator[_Piece]:
                 stretches.append((start, i + 1))
                 start, size = i + 1, 0
         stretches += [(start, len(own))] if start < len(own) else []
-        if not any(_Piece(coders, [(number, own[x:y])]).bad for x, y in stretches):
+        if not any(_encoded(coders, [(number, own[x:y])])[1] for x, y in stretches):
             for x, y in stretches:
-                yield _Piece(coders, [(number, own[x:y])])
+                yield _encoded(coders, [(number, own[x:y])])[0]
     if waiting:
-        yield _checked(coders, waiting)
+        yield _encoded(coders, waiting)[0]
 
 
-def _checked(coders: Coders, docs: list) -> _Piece:
-    piece = _Piece(coders, docs)
-    if piece.bad:
-        piece.without(piece.bad)
-    return piece
+# --- first pass: ids and partial counts -----------------------------------------------
 
+def _counts(piece: _Piece, lengths: tuple[pa.Array, pa.Array]) -> pa.Table:
+    """Links of a pair of ids in a piece: those of each distinct chunk, as often as the
+    chunk occurs."""
+    occurs = np.bincount(pc.list_flatten(piece.chunks).to_numpy(), minlength=len(piece.sizes))
+    each = pa.array(np.nonzero(occurs)[0].astype(np.int32))
+    a, b = _sides(piece, each, pa.array(np.arange(len(each))), lengths)
+    x, y = _links(a, b)
+    times = occurs[each.to_numpy()][a["doc"].to_numpy()[x]]
+    found = pa.table({"a": a["id"].take(pa.array(x)), "b": b["id"].take(pa.array(y)), "n": pa.array(times, pa.int64())})
+    return _summed(found)
 
-# --- the parts ----------------------------------------------------------------------
 
-def _pack(limit: int):
-    def close(ids: list, texts: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({
-            "part": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())),
-            "sizes": pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-            "texts": pa.array([zstandard.ZstdCompressor(level=3).compress(b"".join(texts))], pa.binary())})
+def _summed(found: pa.Table) -> pa.Table:
+    return found.group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["a", "b", "n"])
+
+
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+_PART_SCHEMA = pa.schema([(c.split()[0], _KINDS[c.split()[1]]) for c in _PARTS.split(", ")])
+
+
+def _encode(paths: tuple[str, str, str], limit: int):
+    def of_part(coders: Coders, ids: list, texts: list) -> Iterator[pa.RecordBatch]:
+        part, found = uuid.uuid4().int >> 65, []
+        rows = [{"part": part, "ids": ids}]
+        for n, piece in enumerate(_pieces(coders, texts, limit)):
+            if len(piece.docs):
+                rows.append(piece.row(part, n))
+                found.append(_counts(piece, (coders.lengths_a, coders.lengths_b)))
+        yield pa.RecordBatch.from_pylist(rows, schema=_PART_SCHEMA)
+        if found:
+            total = _summed(pa.concat_tables(found))
+            columns = {"part": pa.array(np.full(total.num_rows, part, np.int64)), **{c: total[c] for c in ("a", "b", "n")}}
+            empty = {f.name: pa.nulls(total.num_rows, f.type) for f in _PART_SCHEMA if f.name not in columns}
+            yield from pa.table({**empty, **columns}).select(_PART_SCHEMA.names).cast(_PART_SCHEMA).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held = [], [], 0
+        coders, ids, texts, held = None, [], [], 0
         for batch in batches:
-            for doc, text in zip(batch["_id"], batch["_text"]):
+            for doc, text in zip(batch["_id"], batch["_text"]):      # one by one: a batch may be large
                 ids.append(doc.as_py())
-                texts.append((text.as_py() or "").encode())
+                texts.append(text.as_py() or "")
                 held += len(texts[-1]) + 16
                 if held >= limit:
-                    yield close(ids, texts)
+                    coders = coders or Coders(*paths)
+                    yield from of_part(coders, ids, texts)
                     ids, texts, held = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if ids:
-            yield close(ids, texts)
-    return run
-
-
-# --- first pass: partial counts -------------------------------------------------------
-
-def _count(paths: tuple[str, str, str], limit: int):
-    def of_piece(piece: _Piece) -> pa.Table:
-        """Links of a pair of ids in a piece: those of each distinct chunk, as often as the
-        chunk occurs."""
-        occurs = np.bincount(pc.list_flatten(piece.chunks).to_numpy(), minlength=len(piece.sizes))
-        each = pa.array(np.nonzero(occurs)[0].astype(np.int32))
-        a, b = _sides(piece, each, pa.array(np.arange(len(each))))
-        x, y = _links(a, b)
-        times = occurs[each.to_numpy()][a["doc"].to_numpy()[x]]
-        found = pa.table({"a": a["id"].take(pa.array(x)), "b": b["id"].take(pa.array(y)), "n": pa.array(times, pa.int64())})
-        return found.group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["a", "b", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders = Coders(*paths)
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = [of_piece(p) for p in _pieces(coders, _open(row), limit)]
-                if not found:
-                    continue
-                total = pa.concat_tables(found).group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")])
-                total = total.rename_columns(["a", "b", "n"])
-                part = pa.array(np.full(total.num_rows, row["part"], np.int64))
-                yield from total.add_column(0, "part", part).select(["part", "a", "b", "n"]).combine_chunks().to_batches()
+            yield from of_part(coders or Coders(*paths), ids, texts)
     return run
 
 
 # --- second pass: the documents ---------------------------------------------------------
 
-def _offsets(cuts: np.ndarray) -> pa.Array:
-    return pa.array(np.concatenate([[0], cuts]).astype(np.int32))
-
-
 def _digests(a: pa.Table, b: pa.Table, last_a: np.ndarray, last_b: np.ndarray, docs: int) -> tuple[list, np.ndarray]:
     """Groups of each document as text, and their number. ``last_*``: the tokens that end
     a group."""
@@ -296,26 +342,27 @@ def _digests(a: pa.Table, b: pa.Table, last_a: np.ndarray, last_b: np.ndarray, d
     return pc.binary_join(lists, ";").to_pylist(), per_doc
 
 
-def _align(paths: tuple[str, str, str], limit: int):
-    columns = [c.split()[0] for c in _DOCS.split(", ")]
+def _align(paths: tuple[str, str, str]):
+    columns, known = [c.split()[0] for c in _DOCS.split(", ")], []     # the lengths, read once in a task
     kinds = [pa.string() if c == "groups_sha256" else pa.int64() for c in columns]
 
     def run(parts: pa.Table, counts: pa.Table) -> pa.Table:
         if not parts.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=columns)
-        coders, row = Coders(*paths), parts.to_pylist()[0]
+        rows = parts.to_pylist()
+        ids = next(r["ids"] for r in rows if r["ids"] is not None)
+        known[:] = known or [token_lengths(*paths[:2])]
+        lengths = known[0]
         pair = counts["a"].to_numpy().astype(np.int64) << 32 | counts["b"].to_numpy()
         order = np.argsort(pair)
         pair, n, top = pair[order], counts["n"].to_numpy()[order], counts["top"].to_numpy()[order]
-        sums = {c: np.zeros(len(row["ids"]), np.int64) for c in _SUMS}
+        sums = {c: np.zeros(len(ids), np.int64) for c in _SUMS}
         digests: dict[int, hashlib._Hash] = {}
-        for piece in _pieces(coders, _open(row), limit):
-            if not len(piece.docs):
-                continue
+        for piece in map(_read_piece, sorted((r for r in rows if r["ids"] is None), key=lambda r: r["piece"])):
             chosen, doc_of = pc.list_flatten(piece.chunks), pc.list_parent_indices(piece.chunks)
-            a, b = _sides(piece, chosen, doc_of)
-            both = a.select(["doc", "end", "n"]).join(b.select(["doc", "end", "n"]), ["doc", "end"], join_type="inner",
-                                                      right_suffix="_b", use_threads=False)
+            a, b = _sides(piece, chosen, doc_of, lengths)
+            both = a.select(["key", "n"]).join(b.select(["key", "n"]), "key", join_type="inner", right_suffix="_b",
+                                               use_threads=False)
             texts, groups = _digests(a, b, np.sort(both["n"].to_numpy()), np.sort(both["n_b"].to_numpy()), len(piece.docs))
             for doc, text in zip(piece.docs.tolist(), texts):
                 if doc in digests:
@@ -332,8 +379,9 @@ def _align(paths: tuple[str, str, str], limit: int):
             np.add.at(sums["n_groups"], piece.docs, groups)
             for name, side in (("n_a", a), ("n_b", b)):
                 np.add.at(sums[name], piece.docs, np.bincount(side["doc"].to_numpy(), minlength=len(piece.docs)))
-        sha = [digests[d].hexdigest() if d in digests else "" for d in range(len(row["ids"]))]
-        return pa.table([pa.array(row["ids"], pa.int64()), *[pa.array(sums[c]) for c in _SUMS], pa.array(sha)],
+        pa.default_memory_pool().release_unused()
+        sha = [digests[d].hexdigest() if d in digests else "" for d in range(len(ids))]
+        return pa.table([pa.array(ids, pa.int64()), *[pa.array(sums[c]) for c in _SUMS], pa.array(sha)],
                         names=columns)
     return run
 
@@ -347,12 +395,13 @@ def align(docs: DataFrame, text: str = "text", id_col: str = "doc_id", paths: tu
     spark, paths = docs.sparkSession, paths or default_paths()
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     with Workspace(spark, "alignment") as space:
-        parts = space.written(rows.mapInArrow(_pack(part_bytes), _PARTS), "parts")
-        pairs = space.written(parts.mapInArrow(_count(paths, part_bytes), _PAIRS), "pairs")
+        parts = space.written(rows.mapInArrow(_encode(paths, part_bytes), _PARTS), "parts")
+        pairs = parts.where(F.col("a").isNotNull()).select("part", "a", "b", "n")
         counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
         # One row per A id at most for each B id.
         table = written(counts.withColumn("top", F.max("n").over(Window.partitionBy("b"))), "alignment-pairs")
-        answers = pairs.select("part", "a", "b").join(table, ["a", "b"])
-        aligned = written(parts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-            _align(paths, part_bytes), _DOCS), "alignment-documents")
+        answers = pairs.select(F.col("part").alias("of"), "a", "b").join(table, ["a", "b"])
+        pieces = parts.where(F.col("a").isNull()).drop("a", "b", "n")
+        aligned = written(pieces.groupBy("part").cogroup(answers.groupBy("of")).applyInArrow(
+            _align(paths), _DOCS), "alignment-documents")
     return aligned, table

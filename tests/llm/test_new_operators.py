@@ -167,10 +167,12 @@ def test_chunks_are_encoded_like_whole_texts(coders, corpus):
     for text in [r[1] for r in corpus if r[1]] + ODD:
         own = alignment.chunks(text)
         assert "".join(" " + c for c in own) == " " + text
-        (a, b), ok, _ = coders.encode(own)
+        (a, b), (per_a, per_b), ok, sizes = coders.encode(own)
+        assert sizes.tolist() == [len(c.encode()) + 1 for c in own]
         if ok.all():
-            assert a.flatten().to_pylist() == coders.whole.encode(" " + text, add_special_tokens=False).ids
-            assert b.flatten().to_pylist() == coders.b.encode(text)
+            assert a.tolist() == coders.whole.encode(" " + text, add_special_tokens=False).ids
+            assert b.tolist() == coders.b.encode(text)
+            assert per_a.sum() == len(a) and per_b.sum() == len(b)
         else:
             assert "▁" in text
 
