@@ -410,6 +410,7 @@ def statements() -> dict[str, str]:
         "lr_predictions": _descent(
             "SELECT station_id, timestamp_parsed, y AS contaminacion_alta_real, "
             "CASE WHEN m > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS contaminacion_alta_pred, "
+            "round(1 / (1 + exp(-m)), 4) AS probabilidad_alerta, "
             f"CASE WHEN m > 0 THEN '{STATE_DANGER}' ELSE '{STATE_NORMAL}' END AS estado_predicho FROM (SELECT *, "
             + " + ".join([f"w{i} * x{i}" for i in range(len(ml.INPUTS))] + ["b"]) + " AS m FROM xs, fitted)"),
         "incomplete_alerts": _sql(
@@ -434,6 +435,14 @@ def statements() -> dict[str, str]:
         "pipeline_stage_counts": _sql(STAGES, order=BY_VALUES),
         "stream_dedup": _sql(f"SELECT {CLEAN_OUT} FROM clean WHERE timestamp_parsed IS NOT NULL", order=BY_VALUES),
         "stream_pipeline_predictions": _sql(f"SELECT {SCORED_OUT} FROM scored", timed_only=True, order=BY_VALUES),
+        "incremental_pipeline": _sql(feature_rows, timed_only=True, order=BY_VALUES),
+        "register_touched_days": _sql(
+            "SELECT CAST(curated_date AS VARCHAR) AS day, count(*) AS lecturas FROM clean "
+            f"WHERE curated_date <> DATE '{q.SELECTED_DAYS[0]}' GROUP BY 1"),
+        "schema_and_preview": "SELECT * FROM (VALUES " + ", ".join(
+            f"({n}, '{f.name}', '{f.dataType.simpleString()}', {f.nullable}, 5)"
+            for n, f in enumerate(schemas.CLEAN.fields)) + ") AS t(position, \"column\", type, nullable, shown)",
+        "stream_hourly_late": _sql(HOURLY),
         "stream_withdrawn_alerts": _changes(),
         "stream_stage_counts": _stage_counts(),
         "stream_concatenated_intake": _sql(readings),

@@ -37,16 +37,17 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def build_clean(spark: SparkSession, raw_path: str, places: Places,
-                touched_only: bool = False) -> dict[str, int]:
+def build_clean(spark: SparkSession, raw_path: str, places: Places, timed_only: bool = False) -> dict[str, int]:
     """Clean and quarantine tables. The JSON is parsed once, into a staged table that
-    both are made from."""
+    both are made from. ``timed_only`` leaves readings without a readable time to
+    quarantine, as streams and incremental runs do."""
     raw = read_raw(spark, raw_path)
     staged, read = _counted(raw.select(*columns(RAW), CORRUPT), "read")
     with Workspace(spark, "stage") as space:
         raw = space.written(staged, "raw")
-        clean, kept = _counted(shape_clean(parse_time(dedup(clean_nulls(raw.select(*columns(RAW)))))), "clean")
-        write_clean(clean, places.clean, touched_only)
+        shaped = shape_clean(parse_time(dedup(clean_nulls(raw.select(*columns(RAW))))))
+        clean, kept = _counted(shaped.where(F.col("timestamp_parsed").isNotNull()) if timed_only else shaped, "clean")
+        write_clean(clean, places.clean)
         quarantine(raw).write.mode("overwrite").parquet(places.quarantine)
     return {"read": read.get["n"], "clean": kept.get["n"]}
 
@@ -94,12 +95,13 @@ def raise_alerts(spark: SparkSession, places: Places, now: str, threshold: float
 
 
 def run_batch(spark: SparkSession, raw_path: str, out_path: str, now: str,
-              scale: int | None = None, split_method: str = "hash", region: str = "", signature: str = "") -> dict:
+              scale: int | None = None, split_method: str = "hash", region: str = "", signature: str = "",
+              timed_only: bool = False) -> dict:
     """All steps in order; an error ends the run. Returns row counts per stage and
     the quality of the model. Any outside scheduler can call it every two hours."""
     use_utc(spark)
     places = Places(out_path)
-    result = build_clean(spark, raw_path, places)
+    result = build_clean(spark, raw_path, places, timed_only)
     result |= build_features(spark, places, scale)
     result |= train_and_score(spark, places, now, split_method)
     result |= raise_alerts(spark, places, now, region=region, signature=signature)

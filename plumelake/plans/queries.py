@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,6 +22,7 @@ from plumelake.operators.features import calendar, features, label
 from plumelake.operators.rolling import RollingSpec, rolling, trend
 from plumelake.operators.synthetic import synthesize
 from plumelake.plans.adapter import ARRIVAL, events, raw_readings
+from plumelake.plans.incremental import run_incremental
 from plumelake.plans.pipeline import Places, run_batch
 from plumelake.session import shared_folder, use_utc, written
 from plumelake.sources import readers, schemas, writers
@@ -246,7 +248,8 @@ def lr_coefficients(spark, sf_dir):
 def lr_predictions(spark, sf_dir):
     frame = written(_frame(spark, sf_dir), "frame")
     return plain(ml.score(_tight_fit(frame), frame, RUN_TS)).select(
-        "station_id", "timestamp_parsed", "contaminacion_alta_real", "contaminacion_alta_pred", "estado_predicho")
+        "station_id", "timestamp_parsed", "contaminacion_alta_real", "contaminacion_alta_pred",
+        F.round("probabilidad_alerta", 4).alias("probabilidad_alerta"), "estado_predicho")
 
 
 def incomplete_alerts(spark, sf_dir):
@@ -503,6 +506,42 @@ def pipeline_stage_counts(spark, sf_dir):
     return spark.createDataFrame([(s, counts[s]) for s in stages], "stage string, n long")
 
 
+def incremental_pipeline(spark, sf_dir):
+    """Runs over three deliveries, each with readings of all days, equal one over all."""
+    raw, out = shared_folder(spark, "raw"), shared_folder(spark, "incremental")
+    readings = _raw(spark, sf_dir)
+    for delivery in range(DELIVERIES):
+        part = readings.where(F.pmod("event_id", F.lit(DELIVERIES)) == delivery).select(*schemas.columns(schemas.RAW))
+        part.write.mode("append").json(raw)
+        run_incremental(spark, raw, out, NOW, scale=2)
+    return plain(readers.read_features(spark, Places(out).features))
+
+
+def register_touched_days(spark, sf_dir):
+    """A registered table follows a day that is added and one that is emptied, without a
+    look at the others."""
+    path, name = shared_folder(spark, "clean"), f"clean_{uuid.uuid4().hex}"
+    timed = _clean(spark, sf_dir).where(F.col("curated_date").isNotNull())
+    first, last = [F.lit(d).cast("date") for d in SELECTED_DAYS]
+    writers.write_clean(timed.where(F.col("curated_date") != last), path)
+    writers.register_table(spark, name, path, schemas.CLEAN, schemas.CLEAN_PARTITIONS)
+    writers.write_clean(timed.where(F.col("curated_date") == last), path, touched_only=True)
+    days = [date.fromisoformat(d) for d in SELECTED_DAYS]
+    writers.remove(spark, f"{path}/year={days[0].year}/month={days[0].month}/day={days[0].day}")
+    writers.register_days(spark, name, days)
+    counted = spark.sql(f"SELECT CAST(curated_date AS STRING) AS day, COUNT(*) AS lecturas FROM {name} GROUP BY 1")
+    counted = written(counted, "registered")
+    spark.sql(f"DROP TABLE {name}")
+    return counted
+
+
+def schema_and_preview(spark, sf_dir):
+    """Types of the stored tables, and how many rows a look at them shows."""
+    table = readers.read_clean(spark, _clean_files(spark, sf_dir))
+    shown = writers.preview(table, 5).count()
+    return writers.schema_rows(table).withColumn("shown", F.lit(shown))
+
+
 # --- streams ----------------------------------------------------------------
 
 def stream_dedup(spark, sf_dir):
@@ -579,6 +618,19 @@ def stream_hourly_aqi(spark, sf_dir):
     return plain(sh.read_hourly(spark, path).drop("curated_date"))
 
 
+def stream_hourly_late(spark, sf_dir):
+    """The latest days are delivered first; no watermark loses the earlier ones."""
+    src, path, ckpt = (shared_folder(spark, n) for n in ("clean", "hours", "ckpt"))
+    clean = _clean_table(spark, sf_dir)
+    cuts = [None, *SELECTED_DAYS[::-1], None]
+    for high, low in zip(cuts, cuts[1:]):
+        part = clean.where(F.coalesce(F.col("curated_date") < high, F.lit(False)) if high else F.lit(True))
+        part = part.where(F.col("curated_date") >= low) if low else part
+        part.write.mode("append").partitionBy(*schemas.CLEAN_PARTITIONS).parquet(src)
+        sh.merge_hours(spark, src, path, ckpt).awaitTermination()
+    return plain(sh.read_merged_hours(spark, path))
+
+
 def stream_feature_table(spark, sf_dir):
     feats, days = shared_folder(spark, "stream-features"), shared_folder(spark, "stream-days")
     sf.stream_features(spark, _clean_files(spark, sf_dir), feats, days,
@@ -622,7 +674,7 @@ REGISTERED: list[Query] = [
     last_7_days_export, raw_json_scan, concatenated_json_scan, nested_json_scan, malformed_records, clean_table_scan,
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings, synthetic_csv_scan,
-    pipeline_stage_counts, stream_dedup, stream_concatenated_intake, stream_nested_intake, stream_quarantine, stream_hourly_aqi,
+    pipeline_stage_counts, incremental_pipeline, register_touched_days, schema_and_preview, stream_dedup, stream_concatenated_intake, stream_nested_intake, stream_quarantine, stream_hourly_aqi, stream_hourly_late,
     stream_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
     stream_pipeline_predictions, stream_withdrawn_alerts, stream_stage_counts,
 ]

@@ -3,6 +3,8 @@ partition values such as ``001`` keep their text form."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumelake.functions.times import parse_text_time
@@ -150,6 +152,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def folder_values(spark: SparkSession, path: str, keys: list[str]) -> list[tuple[str, ...]]:
+    """Values of the partition folders below ``path`` by their names; no file is opened."""
+    if not exists(spark, path):
+        return []
+    found = [((), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))]
+    for key in keys:
+        below = []
+        for values, folder in found:
+            system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            for status in system.listStatus(folder):
+                name, _, value = status.getPath().getName().partition("=")
+                if name == key:
+                    below.append(((*values, value), status.getPath()))
+        found = below
+    return [values for values, _ in found]
+
+
+def day_folders(spark: SparkSession, path: str) -> list[date]:
+    """Days that a table by ``curated_date`` has folders for, in order."""
+    days = [v for (v,) in folder_values(spark, path, ["curated_date"])]
+    return sorted(date.fromisoformat(d) for d in days if d[:1].isdigit())
+
+
 def read_clean_if_there(spark: SparkSession, path: str) -> DataFrame:
     """The clean table, empty before the first write."""
     return read_clean(spark, path) if exists(spark, path) else spark.createDataFrame([], schemas.CLEAN)
@@ -179,6 +204,12 @@ def list_files(spark: SparkSession, path: str, suffix: str = "*.parquet") -> Dat
     return files.select(F.col("path").alias("source_file"))
 
 
+def raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files below a folder with time and size; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+
+
 def _parquet_stream(spark: SparkSession, schema: T.StructType, path: str,
                     max_files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)

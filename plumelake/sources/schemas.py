@@ -51,6 +51,18 @@ HOURLY = _struct("timestamp_parsed timestamp, station_name string, aqi double, c
 
 STATION_DAY = _struct("station_id string, curated_date date")
 
+# Key filter of the clean table: minutes of an hour that have a reading, as bits.
+KEYS = _struct("station_id string, hour int, bits long, curated_date date")
+
+# First and last day of each station.
+FRONTIER = _struct("station_id string, first date, last date")
+
+# Raw files that a batch has taken in.
+LEDGER = _struct("path string, modified timestamp, size long")
+
+# Mergeable hours: the mean is ``total / readings``; ``batch`` is the last one merged.
+HOURS = _struct("timestamp_parsed timestamp, station_name string, total long, readings long, batch long, curated_date date")
+
 STAGES = _struct("stage string, n long")
 
 CLEAN_PARTITIONS = ["year", "month", "day"]

@@ -25,9 +25,33 @@ def _write_partitioned(df: DataFrame, path: str, keys: list[str], touched_only:
 
 
 def write_clean(df: DataFrame, path: str, touched_only: bool = False) -> None:
+    """The clean table, or only its days in ``df``. The key filter of what is written over
+    is dropped before, so a stream asks the readings themselves until it has a new one."""
+    spark, keys = df.sparkSession, key_path(path)
+    if exists(spark, keys):
+        if touched_only:
+            for (day,) in df.where(F.col("curated_date").isNotNull()).select("curated_date").distinct().collect():
+                remove(spark, f"{keys}/curated_date={day}")       # bounded by the calendar
+        else:
+            remove(spark, keys)
+    put_clean(df, path, touched_only)
+
+
+def put_clean(df: DataFrame, path: str, touched_only: bool = False) -> None:
+    """``write_clean`` for a caller that keeps the key filter current."""
     _write_partitioned(df, path, schemas.CLEAN_PARTITIONS, touched_only)
 
 
+def key_path(clean_path: str) -> str:
+    return f"{clean_path.rstrip('/')}-keys"
+
+
+def append_clean(df: DataFrame, path: str) -> None:
+    """New files in the folders of the days of ``df``; what is there stays."""
+    df.hint("rebalance", *[F.col(k) for k in schemas.CLEAN_PARTITIONS]).write.mode("append").partitionBy(
+        *schemas.CLEAN_PARTITIONS).parquet(path)
+
+
 def write_features(df: DataFrame, path: str, touched_only: bool = False) -> None:
     _write_partitioned(df, path, schemas.FEATURE_PARTITIONS, touched_only)
 
@@ -55,13 +79,12 @@ def replace_days(df: DataFrame, path: str, days: list, keys: list[str] | None =
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
     stored = spark.read.schema(df.schema).parquet(path).where(F.col("curated_date").isin(days)).select(*by, folder)
     for row in stored.distinct().join(df.select(*by).distinct(), by, "left_anti").select("_folder").distinct().collect():
-        remove(spark, row[0])
+        remove(spark, spark.sparkContext._jvm.java.net.URI(row[0]))
 
 
-def remove(spark: SparkSession, uri: str) -> None:
-    """Delete a folder with all it holds."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+def remove(spark: SparkSession, path) -> None:
+    """Delete a folder, by its path or URI, with all it holds."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -94,6 +117,27 @@ def register_table(spark: SparkSession, name: str, path: str, schema: T.StructTy
     return spark.table(name)
 
 
+def register_days(spark: SparkSession, name: str, days: list) -> None:
+    """Bring the partitions of a registered table by year, month and day up to date for
+    some days only: folders that are there are added, days without a folder are dropped.
+    The catalog is asked about these days, the other folders are not listed."""
+    path = table_location(spark, name)
+    for day in days:
+        values = (str(day.year), str(day.month), str(day.day))
+        spec = ", ".join(f"{k}='{v}'" for k, v in zip(schemas.CLEAN_PARTITIONS, values))
+        folder = "/".join(f"{k}={v}" for k, v in zip(schemas.CLEAN_PARTITIONS, values))
+        if exists(spark, f"{path}/{folder}"):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+        else:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0]
+
+
 def schema_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

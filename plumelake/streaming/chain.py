@@ -52,8 +52,8 @@ def absorb(space: Workspace, batch: DataFrame, number: int, places: Places,
     faulty.write.mode("overwrite").parquet(f"{places.quarantine}/batch={number}")
     new = merge_clean(space, raw, places.clean)
     note_days(space, new, places.days)
-    days = touched_days(new, places.days) if exists(spark, places.days) else []
-    refresh_features(spark, places.clean, places.features, places.days, days, scale)
+    days = touched_days(space, new, places.days) if exists(spark, places.days) else []
+    refresh_features(space, places.clean, places.features, places.days, days, scale)
     return days, {"read": n_read.get["n"], "quarantined": n_faulty.get["n"], "new": new.count()}
 
 

@@ -224,3 +224,86 @@ def test_alerts_repeat_or_come_once(spark, clean_of, scored, tmp_path):
     assert rows(once.drop("source_file"), *order) == rows(want, *order)
     with pytest.raises(ValueError):
         scoring.stream_alerts(pred, NOW, mode="x")
+
+
+def files_of(path):
+    from pathlib import Path
+    return {p for p in Path(path).rglob("*.parquet")}
+
+
+def test_days_without_known_keys_are_appended(spark, raw_of, tmp_path):
+    """New keys leave the files of a day alone; a known or possibly known key, a filter that
+    is missing and one that was written around do not lose or repeat a reading."""
+    from pathlib import Path
+    from plumelake.sources.writers import key_path, remove
+    raw, out = str(tmp_path / "raw"), str(tmp_path)
+    at = lambda t, **more: {"timestamp": f"2024-01-{t}", **more}     # noqa: E731
+    def step(name, *given):
+        deliver(raw_of(*given), raw, name)
+        curated(spark, raw, out)
+        return files_of(f"{out}/clean")
+    first = step("one", at("01T00:10:00"), at("02T00:10:00"))
+    second = step("two", at("01T00:11:00"), at("01T00:10:00", station_id="b"))
+    assert first < second and len(second) == len(first) + 1
+    third = step("three", at("01T00:10:30"), at("02T05:00:00"))     # the minute is known, the key is not
+    assert not {f for f in first if "day=1/" in str(f)} & third and {f for f in first if "day=2/" in str(f)} <= third
+    step("four", at("01T00:10:00", pm25=1.0))                       # a known key
+    keys = lambda: sorted((r.station_id, str(r.timestamp_parsed), r.pm25)     # noqa: E731
+                          for r in readers.read_clean(spark, f"{out}/clean").collect())
+    want = [("b", "2024-01-01 00:10:00", 10.0), ("s", "2024-01-01 00:10:00", 1.0), ("s", "2024-01-01 00:10:30", 10.0),
+            ("s", "2024-01-01 00:11:00", 10.0), ("s", "2024-01-02 00:10:00", 10.0), ("s", "2024-01-02 05:00:00", 10.0)]
+    assert keys() == want
+    remove(spark, key_path(f"{out}/clean"))
+    step("five", at("01T00:11:00"), at("03T00:00:00"))
+    assert keys() == [*want, ("s", "2024-01-03 00:00:00", 10.0)]
+    # Another writer adds a reading; the stream hears of it again.
+    writers.write_clean(curate(raw_of(at("03T00:00:00"), at("03T09:00:00")))[0], f"{out}/clean", touched_only=True)
+    assert not (Path(key_path(f"{out}/clean")) / "curated_date=2024-01-03").exists()
+    step("six", at("03T09:00:00"))
+    assert keys() == [*want, ("s", "2024-01-03 00:00:00", 10.0), ("s", "2024-01-03 09:00:00", 10.0)]
+
+
+def test_neighbours_are_found_without_reading_all_days(spark, tmp_path, monkeypatch):
+    """What a batch reads of the station days depends on the gap, not on the age."""
+    from datetime import date, timedelta
+    from plumelake.session import Workspace
+    start, path = date(2020, 1, 1), str(tmp_path / "days")
+    day = lambda n: start + timedelta(days=n)       # noqa: E731
+    known = [("a", day(n)) for n in range(0, 400, 1)] + [("b", day(n)) for n in (3, 380, 399)] + [("c", day(399))]
+    everything = spark.createDataFrame(known, schemas.STATION_DAY)
+    with Workspace(spark, "t") as space:
+        sf.note_days(space, everything, path)
+        read, original = [], sf._station_days
+        monkeypatch.setattr(sf, "_station_days", lambda s, p, days: (read.append(len(days)), original(s, p, days))[1])
+        keys = spark.createDataFrame([(s, day(399)) for s in "abc"], schemas.STATION_DAY)
+        found = sf.neighbours(space, keys, path, "before", back=True)
+        assert {(r.station_id, r.other) for r in found.collect()} == {("a", day(398)), ("b", day(380))}
+        assert sum(read) < 60
+        keys = spark.createDataFrame([("a", day(5)), ("b", day(3)), ("c", day(399))], schemas.STATION_DAY)
+        found = sf.neighbours(space, keys, path, "after", back=False)
+        assert {(r.station_id, r.other) for r in found.collect()} == {("a", day(6)), ("b", day(380))}
+        assert sf.neighbours(space, keys.where("false"), path, "none", back=True).count() == 0
+        ends = {r.station_id: (r.first, r.last) for r in sf._frontier(spark, path).collect()}
+        assert ends == {"a": (day(0), day(399)), "b": (day(3), day(399)), "c": (day(399), day(399))}
+
+
+def test_late_hours_merge_without_a_watermark(spark, clean_of, tmp_path):
+    """Readings of any age enter their hour, and a batch that runs again adds nothing."""
+    from plumelake.session import Workspace
+    draw = random.Random(8)
+    given = [(draw.choice("ab"), float(draw.randrange(40 * 86400)), draw.choice([None, 1, 3, 5]), 1.0) for _ in range(80)]
+    given.sort(key=lambda r: -r[1])
+    src, out, ckpt = (str(tmp_path / n) for n in ("clean", "hours", "c"))
+    for part in (given[:30], given[30:60], given[60:]):
+        clean_of(*part).write.mode("append").partitionBy(*schemas.CLEAN_PARTITIONS).parquet(src)
+        sh.merge_hours(spark, src, out, ckpt).awaitTermination()
+    order = ["timestamp_parsed", "station_name"]
+    want = rows(rp.hourly(clean_of(*given)).select(*order, "aqi"), *order)
+    assert rows(sh.read_merged_hours(spark, out), *order) == want
+    # The last batch fails after its tables are written, and runs again.
+    from pathlib import Path
+    last = sorted(Path(ckpt, "commits").glob("[0-9]*"), key=lambda p: int(p.name))[-1]
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+    sh.merge_hours(spark, src, out, ckpt).awaitTermination()
+    assert rows(sh.read_merged_hours(spark, out), *order) == want
