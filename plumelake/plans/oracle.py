@@ -451,6 +451,7 @@ def statements() -> dict[str, str]:
         "stream_hourly_aqi": _sql(HOURLY),
         # a stream has no place in time for readings without one
         "stream_feature_table": _sql(feature_rows, timed_only=True),
+        "stateful_feature_table": _sql(feature_rows, timed_only=True),
         "stream_scores": _sql(f"SELECT {SCORED_OUT} FROM scored"),
         "stream_alerts": _sql(found_rows),
         "stream_alerts_reference": _sql(found_rows),

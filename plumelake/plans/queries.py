@@ -26,7 +26,7 @@ from plumelake.plans.incremental import run_incremental
 from plumelake.plans.pipeline import Places, run_batch
 from plumelake.session import shared_folder, use_utc, written
 from plumelake.sources import readers, schemas, writers
-from plumelake.streaming import features as sf, hourly as sh, intake, scoring
+from plumelake.streaming import features as sf, hourly as sh, intake, scoring, stateful
 from plumelake.streaming.chain import read_by_batch, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -638,6 +638,25 @@ def stream_feature_table(spark, sf_dir):
     return plain(readers.read_features(spark, feats))
 
 
+def stateful_feature_table(spark, sf_dir):
+    """Features from the state of each station; every seventh reading of the last two days
+    of a delivery comes with the next one."""
+    src, feats, ckpt = (shared_folder(spark, n) for n in ("clean", "stateful", "ckpt"))
+    clean = _clean_table(spark, sf_dir)
+    late = F.pmod(F.unix_timestamp("timestamp_parsed"), F.lit(7)) == 0
+    taken = F.lit(False)
+    for day in [*SELECTED_DAYS, None]:
+        here = F.lit(True)
+        if day:
+            end = F.lit(day).cast("date")
+            here = (F.col("curated_date") <= end) & ~(late & (F.col("curated_date") > F.date_sub(end, 2)))
+        part = clean.where(F.col("curated_date").isNotNull() & here & ~taken)
+        part.write.mode("append").partitionBy(*schemas.CLEAN_PARTITIONS).parquet(src)
+        taken = taken | here
+        stateful.stateful_features(spark, src, feats, ckpt, late="3 days").awaitTermination()
+    return plain(readers.read_features(spark, feats))
+
+
 def stream_scores(spark, sf_dir):
     source = shared_folder(spark, "features")
     writers.write_features(_features(spark, sf_dir), source)
@@ -675,7 +694,7 @@ REGISTERED: list[Query] = [
     clean_table_range, clean_table_count, feature_table_scan, latest_10_sql,
     prediction_files_scan, csv_export_scan, touched_days_overwrite, synthetic_readings, synthetic_csv_scan,
     pipeline_stage_counts, incremental_pipeline, register_touched_days, schema_and_preview, stream_dedup, stream_concatenated_intake, stream_nested_intake, stream_quarantine, stream_hourly_aqi, stream_hourly_late,
-    stream_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
+    stream_feature_table, stateful_feature_table, stream_scores, stream_alerts, stream_alerts_reference,
     stream_pipeline_predictions, stream_withdrawn_alerts, stream_stage_counts,
 ]
 
