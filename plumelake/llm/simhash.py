@@ -216,35 +216,42 @@ def links(prints: DataFrame, distance: int = DISTANCE, tile: int = TILE) -> Data
         "fp", "node").mapInPandas(_forest(distance), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE,
-                    distance: int = DISTANCE) -> DataFrame:
-    """A row per document: the id, ``fp`` and ``component_id``, the smallest id that is
-    reachable over links."""
-    rows = written(docs.select(id_col, fingerprint(F.col(text), shingle).alias("fp")), "simhash-prints")
+def _classed(docs: DataFrame, text: str, id_col: str, shingle: int, distance: int,
+             more: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows as id, ``fp`` and ``more``, without their texts; and for each fingerprint its
+    component (``_root``, one of its fingerprints) with the smallest id in it."""
+    rows = written(docs.select(id_col, fingerprint(F.col(text), shingle).alias("fp"), *more), "simhash-prints")
     classes = written(rows.groupBy("fp").agg(F.min(id_col).alias("_first")), "simhash-classes")
     forest = written(links(classes.select("fp"), distance), "simhash-links")
     roots = components(forest)
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn(
         "_root", F.coalesce("root", "fp")).select("fp", "_first", "_root")
     lowest = named.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    known = named.join(lowest, "_root").select(F.col("fp").alias("_fp"), "component_id")
+    return rows, named.join(lowest, "_root").select(F.col("fp").alias("_fp"), "_root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE,
+                    distance: int = DISTANCE) -> DataFrame:
+    """A row per document: the id, ``fp`` and ``component_id``, the smallest id that is
+    reachable over links."""
+    rows, known = _classed(docs, text, id_col, shingle, distance, [])
     return rows.join(known, F.col("fp") == F.col("_fp")).select(id_col, "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` that have the smallest id of their component, one per id.
-    Rows without an id stay only if nothing in their component has one.
+def first_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE,
+                  distance: int = DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest id, rows without an
+    id last, and the lowest hash of its text among rows with that id. So rows with one id in
+    two components both stay, and a component without ids keeps one row.
 
-    The ids that stay meet the texts in a semi-join; both are unique or nearly so.
+    Survivors are found without the texts, one per component and task before the shuffle.
+    They meet the texts by id and 96 bits of hash; of rows that are equal in both, one stays.
     """
-    found = near_duplicates(docs.select(id_col, text), text, id_col, **how)
-    stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stay")).distinct()
-    rows = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col("_stay"), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text))
-    rows = rows.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1).select(*docs.columns)
-    # Rows without an id are told apart by their fingerprint.
-    nameless = found.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(
-        F.col("fp").alias("_stay")).distinct()
-    prints = docs.where(F.col(id_col).isNull()).withColumn(
-        "_fp", fingerprint(F.col(text), how.get("shingle", SHINGLE)))
-    return rows.unionByName(prints.join(nameless, F.col("_fp") == F.col("_stay"), "left_semi").select(*docs.columns))
+    marks = {"_void": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+             "_hash": F.xxhash64(text), "_more": F.hash(text)}
+    rows, known = _classed(docs, text, id_col, shingle, distance, [c.alias(n) for n, c in marks.items()])
+    survivor = F.min(F.struct(*marks)).alias("_stay")
+    stay = rows.join(known, F.col("fp") == F.col("_fp")).groupBy("_root").agg(survivor).select("_stay.*")
+    alike = Window.partitionBy(*marks).orderBy("_hash")
+    return docs.withColumns(marks).join(stay, list(marks), "left_semi").withColumn(
+        "_n", F.row_number().over(alike)).where(F.col("_n") == 1).select(*docs.columns)

@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, over all odd cases."""
 
 import hashlib
+import random
 
 import brute
 import pytest
@@ -143,16 +144,40 @@ def test_long_chain_of_links(spark):
     assert components(edges.where("false")).count() == 0
 
 
-def test_first_of_each(docs, corpus, no_docs):
-    got = simhash.first_of_each(docs)
-    assert got.columns == docs.columns
-    low = {(d, c) for d, _, c in brute.simhash_components(pairs(corpus))}
-    want = sorted({d for d, c in low if d is not None and d == c})
-    assert sorted(r["doc_id"] for r in got.where("doc_id is not null").collect()) == want
-    assert got.where("doc_id is null").count() == sum(d is None and c is None for d, _, c in brute.simhash_components(pairs(corpus)))
+def first_of_each(rows):
+    """Ids that stay, by component of linked fingerprints, and the texts that may stand for
+    each: rows with equal ids in one component have no order here."""
+    prints = [int(p, 16) for _, p, _ in brute.simhash_components(rows)]
+    codes = sorted(set(prints))
+    root = dict(zip(codes, brute.linked(codes)))
+    members = {}
+    for (doc, text), p in zip(rows, prints):
+        members.setdefault(root[p], []).append((doc is None, doc or 0, text))
+    return [(None if m[0][0] else m[0][1], {t for v, d, t in m if (v, d) == m[0][:2]})
+            for m in (sorted(ms, key=lambda x: x[:2]) for ms in members.values())]
+
+
+def test_first_of_each(docs, corpus, crowded, no_docs):
+    got = simhash.first_of_each(crowded)
+    assert got.columns == crowded.columns
+    want = first_of_each(pairs(corpus))
+    have = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(have) == len(want)
+    for doc, texts in want:
+        assert sum(d == doc and t in texts for d, t in have) == 1
     assert simhash.first_of_each(no_docs).count() == 0
 
 
+def test_rows_with_one_id_and_other_texts_stay(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80)) for _ in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1] + " tail"), (None, texts[2]), (None, texts[2]),
+            (None, texts[2] + " tail"), (None, None), (None, ""), (3, texts[3]), (3, texts[3]), (None, texts[3])]
+    got = simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[:20]) for r in got) == sorted(
+        [("1", texts[0][:20]), ("1", texts[1][:20]), ("None", texts[2][:20]), ("None", ""), ("3", texts[3][:20])])
+
+
 # --- packing --------------------------------------------------------------------
 
 def tokenizer_ids(text):
