@@ -13,12 +13,17 @@ small stations.
 1. Readings are aggregated to one cell per station and second, with partial
    aggregation before the shuffle. A station and day then has at most 86,400
    cells, however many readings it has.
-2. Cells are laid out by (station, block of the longest frame), each cell also
-   visiting the next block. A frame of ``w`` seconds that ends in block ``b`` of
-   width ``w`` is the start of ``b`` up to the current second plus the end of
-   ``b-1`` from the same offset on. Both are running aggregates, so the work is
-   linear in the cells, and sums are only merged, never subtracted.
-3. The cell values are joined back to the readings on (station, second). Rolling
+2. Frames have two levels. Blocks are as long as the shortest frame, an hour for the
+   features, and the others are multiples of it. A frame that ends in block ``b`` and is
+   ``k`` blocks long is the start of ``b`` up to the current second, the whole blocks
+   between, and the end of block ``b-k`` from the same offset on. Start and end are
+   running aggregates inside (station, block), where each cell also visits the blocks
+   ``k`` ahead; whole blocks come from a table of one row per station and block. So the
+   work is linear in the cells, and sums are only merged, never subtracted. Frames that
+   are no multiples get blocks of their own.
+3. The previous reading of a trend is the one before it in its block, else the last of the
+   station's block before, from the same table.
+4. The cell values are joined back to the readings on (station, second). Rolling
    alone is a plain join, which adaptive execution can split if a second is hot.
    A trend also orders the readings inside each second, and clean readings, being
    distinct by station and timestamp, are few there. Readings without a time are
@@ -29,7 +34,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from plumelake.functions.numbers import ratio, to_units
 from plumelake.functions.times import DAY, block_number, epoch_second
@@ -43,6 +48,8 @@ NO_TIME = -(10 ** 12)
 # Readings without a time have no second to spread them, so a hash does.
 NO_TIME_SLOTS = 256
 SPREAD = "pm25"
+# Whole blocks in a frame: they are added up for each row of the table of blocks.
+MOST_BLOCKS = 1000
 
 SECOND, SLOT = "_second", "_slot"
 CELL = [STATION, SECOND, SLOT]
@@ -148,80 +155,34 @@ def _add_cell(df: DataFrame, col: str | None) -> DataFrame:
     })
 
 
-def _visit_next(cells: DataFrame, block: str, visitor: str) -> DataFrame:
-    """Each cell in its own block and, as a visitor, in the following one."""
-    stay = F.struct(F.col(block).alias("b"), F.lit(False).alias("v"))
-    move = F.struct((F.col(block) + 1).alias("b"), F.lit(True).alias("v"))
-    return (
-        cells.withColumn("_visit", F.explode(F.array(stay, move)))
-        .withColumns({block: F.col("_visit.b"), visitor: F.col("_visit.v")})
-        .drop("_visit")
-    )
+RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 
-RUNNING = (Window.unboundedPreceding, Window.currentRow)
+def _chains(widths: list[int]) -> list[list[int]]:
+    """Frame widths that share their blocks: each chain holds multiples of its first."""
+    chains: list[list[int]] = []
+    for width in sorted(widths):
+        for chain in chains:
+            if width % chain[0] == 0 and width // chain[0] <= MOST_BLOCKS:
+                chain.append(width)
+                break
+        else:
+            chains.append([width])
+    return chains
 
 
-def _running(names: list[str], partials: dict[str, tuple], suffix: str, group: list[Column],
-             order: Column, rows: Column) -> dict[str, Column]:
-    """Running aggregates over the cells for which ``rows`` holds."""
-    frame = Window.partitionBy(*group).orderBy(order).rangeBetween(*RUNNING)
-    return {f"{n}{suffix}": _MERGE[partials[n][0]](F.when(rows, F.col(n))).over(frame) for n in names}
+def _merged(kind: str, parts: list[Column]) -> Column:
+    """One value from those of the parts of a frame; null if all are."""
+    if len(parts) == 1:
+        return parts[0]
+    if kind in ("min", "max"):
+        return (F.least if kind == "min" else F.greatest)(*parts)
+    total = sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    return F.when(F.coalesce(*parts).isNotNull(), total)
 
 
-def _merged(names: list[str], partials: dict[str, tuple], head: str, tail, width: int) -> dict[str, Column]:
-    """Frame value from the start of a block and the end of the one before."""
-    out = {}
-    for n in names:
-        kind = partials[n][0]
-        both = F.col(f"{n}{head}"), tail(n)
-        if kind in ("sum", "count"):
-            out[f"{n}_{width}"] = F.coalesce(both[0] + both[1], *both)  # null if both are
-        else:
-            out[f"{n}_{width}"] = (F.least if kind == "min" else F.greatest)(*both)
-    return out
-
-
-def _longest_frame(cells: DataFrame, partials: dict[str, tuple], names: list[str],
-                   width: int) -> DataFrame:
-    """Frames as wide as the blocks: visitors are the cells of the block before."""
-    group = [F.col(STATION), F.col("_block")]
-    own, visiting = ~F.col("_visitor"), F.col("_visitor")
-    offset = F.pmod(F.col(SECOND), F.lit(width))
-    heads = _running(names, partials, "_head", group, F.col(SECOND), own)
-    tails = _running(names, partials, "_tail", group, offset.desc(), visiting)
-    merged = _merged(names, partials, "_head", lambda n: F.col(f"{n}_tail"), width)
-    return cells.withColumns(heads).withColumns(tails).withColumns(merged).drop(*heads, *tails)
-
-
-def _shorter_frame(cells: DataFrame, partials: dict[str, tuple], names: list[str],
-                   width: int, longest: int) -> DataFrame:
-    """Frames inside the block and its visitors, which are cut into parts of
-    ``width``. A part and the one before it form a pair: in one of the two ways to
-    pair up neighbours, (0,1)(2,3) or (1,2)(3,4), both are in the same group."""
-    # Of the visitors, only those a frame of this width can still reach.
-    near = cells.where(~F.col("_visitor") | (F.col(SECOND) >= F.col("_block") * longest - width))
-    base = [F.col(STATION), F.col("_block")]
-    part = block_number(F.col(SECOND), width)
-    offset = F.pmod(F.col(SECOND), F.lit(width))
-    odd = F.pmod(F.col("_part"), F.lit(2)) == 1
-    parts = near.withColumn("_part", part)
-    heads = _running(names, partials, "_head", [*base, F.col("_part")], F.col(SECOND), F.lit(True))
-    low = _running(names, partials, "_low", [*base, F.floor(F.col("_part") / 2)], offset.desc(), ~odd)
-    high = _running(names, partials, "_high", [*base, F.floor((F.col("_part") + 1) / 2)],
-                    offset.desc(), odd)
-    merged = _merged(names, partials, "_head",
-                     lambda n: F.when(odd, F.col(f"{n}_low")).otherwise(F.col(f"{n}_high")), width)
-    return (
-        parts.withColumns(heads).withColumns(low).withColumns(high).withColumns(merged)
-        .drop("_part", *heads, *low, *high)
-    )
-
-
-def _value(df: DataFrame, spec: RollingSpec, scale: int | None) -> Column:
+def _value(spec: RollingSpec, units: int | None, parts: list[Column]) -> Column:
     """The result of one spec from the merged partial results of its frame."""
-    parts = [F.col(f"{p}_{spec.seconds}") for p in _parts_of(spec)]
-    units = None if _is_integral(df, spec.col) else scale
     if spec.fn == "avg":
         return ratio(*parts, units)
     if spec.fn == "sum" and units is not None:
@@ -229,31 +190,60 @@ def _value(df: DataFrame, spec: RollingSpec, scale: int | None) -> Column:
     return parts[0]
 
 
-def _roll_cells(cells: DataFrame, partials: dict[str, tuple], values: dict[int, dict[str, Column]],
-                needs: dict[int, list[str]], with_trend: bool) -> DataFrame:
-    """Results per frame width, and with a trend ``_lagged``, for every cell.
-
-    All windows below run on the one shuffle by (station, block of the longest
-    frame); shorter blocks are parts of it. ``_block`` is kept.
-    """
-    longest = max(needs, default=DAY)
-    main = cells.withColumn("_block", block_number(F.col(SECOND), longest))
-    if needs:
-        main = _visit_next(main, "_block", "_visitor")
+def _blocks(cells: DataFrame, partials: dict[str, tuple], needs: dict[int, list[str]], base: int,
+            widths: list[int], with_trend: bool) -> DataFrame:
+    """One row per station and block with what the blocks between the two ends of a frame
+    add up to, and the last value before the block."""
+    kept = sorted({n for w in widths if w > base for n in needs[w]})
+    states = [_MERGE[partials[n][0]](n).alias(n) for n in kept]
+    if with_trend:
+        states.append(F.max_by("_last", F.col(SECOND) * NO_TIME_SLOTS + F.col(SLOT)).alias("_end"))
+    blocks = cells.groupBy(STATION, block_number(F.col(SECOND), base).alias("_block")).agg(*states)
+    by_block = Window.partitionBy(STATION).orderBy("_block")
+    found = []
+    for w in widths:
+        inner = by_block.rangeBetween(1 - w // base, -1)
+        found += [_MERGE[partials[n][0]](n).over(inner).alias(f"{n}_{w}_inner") for n in needs[w] if w > base]
+    if with_trend:
+        found.append(F.lag(F.struct(F.col("_end").alias("v"))).over(by_block).alias("_carry"))
+    return blocks.select(STATION, "_block", *found)
+
+
+def _roll_chain(cells: DataFrame, partials: dict[str, tuple], specs: list[tuple[RollingSpec, int | None]],
+                needs: dict[int, list[str]], widths: list[int], with_trend: bool) -> DataFrame:
+    """Results of some frames, whose widths are multiples of the first, for every cell;
+    with a trend also ``_before``, the value ahead of the cell, as a struct."""
+    base = widths[0] if widths else DAY
+    steps = [w // base for w in widths]
+    block, offset = block_number(F.col(SECOND), base), F.pmod(F.col(SECOND), F.lit(base))
+    visits = [F.struct((block + k).alias("_block"), F.lit(k).alias("_ahead")) for k in [0, *steps]]
+    main = cells.select("*", F.inline(F.array(*visits)))
+    group, own = [STATION, "_block"], F.col("_ahead") == 0
+    added = {}
     if with_trend:
         # First, so that its order also serves the running values from the start.
-        in_block = Window.partitionBy(STATION, "_block").orderBy(SECOND, SLOT)
-        main = main.withColumn("_lagged", F.lag(F.struct(F.col("_last").alias("v"))).over(in_block))
-    if not needs:
-        return main
-    for width in sorted(needs, reverse=True):
-        if width == longest:
-            main = _longest_frame(main, partials, needs[width], width)
-        else:
-            main = _shorter_frame(main, partials, needs[width], width, longest)
-        # Results at once, so that the rows stay narrow for the windows that follow.
-        main = main.withColumns(values[width]).drop(*[f"{n}_{width}" for n in needs[width]])
-    return main.where(~F.col("_visitor")).drop("_visitor")
+        earlier = Window.partitionBy(*group).orderBy(SECOND, SLOT).rowsBetween(Window.unboundedPreceding, -1)
+        added["_lagged"] = F.last(F.when(own, F.struct(F.col("_last").alias("v"))), True).over(earlier)
+
+    def running(name: str, frame: WindowSpec, rows: Column) -> Column:
+        return _MERGE[partials[name][0]](F.when(rows, F.col(name))).over(frame)
+    in_block = Window.partitionBy(*group)
+    upward = in_block.orderBy(SECOND).rangeBetween(*RUNNING)
+    downward = in_block.orderBy(offset.desc()).rangeBetween(*RUNNING)
+    added |= {f"{n}_head": running(n, upward, own) for n in sorted({n for w in widths for n in needs[w]})}
+    added |= {f"{n}_{w}_tail": running(n, downward, F.col("_ahead") == k) for w, k in zip(widths, steps) for n in needs[w]}
+    main = main.withColumns(added).where(own)
+    inner = [w for w in widths if w > base]
+    if inner or with_trend:
+        main = main.join(_blocks(cells, partials, needs, base, widths, with_trend), group, "left")
+
+    def merged(name: str, w: int) -> Column:
+        between = [F.col(f"{name}_{w}_inner")] if w in inner else []
+        return _merged(partials[name][0], [F.col(f"{name}_head"), *between, F.col(f"{name}_{w}_tail")])
+    results = [_value(s, units, [merged(n, s.seconds) for n in _parts_of(s)]).alias(f"_out_{s.out}")
+               for s, units in specs if s.seconds in widths]
+    before = [F.coalesce("_lagged", "_carry").alias("_before")] if with_trend else []
+    return main.select(*CELL, *results, *before)
 
 
 def _last_key(df: DataFrame, col: str) -> Column:
@@ -266,26 +256,6 @@ def _last_key(df: DataFrame, col: str) -> Column:
     return fraction * 2 ** 33 + value
 
 
-def _add_carry(rolled: DataFrame, cells: DataFrame, width: int) -> DataFrame:
-    """Add ``_before``: the value ahead of each cell, as a struct.
-
-    ``_lagged`` knows the cells of the block and of the one before. A cell with
-    none there takes the last value of the station's previous block with readings,
-    from a table of one row per station and block.
-    """
-    block = block_number(F.col(SECOND), width).alias("_block")
-    ends = cells.groupBy(STATION, block).agg(
-        F.max_by("_last", F.col(SECOND) * NO_TIME_SLOTS + F.col(SLOT)).alias("_end"))
-    by_block = Window.partitionBy(STATION).orderBy("_block")
-    ends = ends.select(
-        STATION, "_block", F.lag(F.struct(F.col("_end").alias("v"))).over(by_block).alias("_carry"))
-    return (
-        rolled.join(ends, [STATION, "_block"], "left")
-        .withColumn("_before", F.coalesce("_lagged", "_carry"))
-        .drop("_lagged", "_carry", "_last")
-    )
-
-
 def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
               trend_col: str | None = None, trend_out: str = "tendencia_aqi") -> DataFrame:
     keyed = _add_cell(df, trend_col)
@@ -296,15 +266,14 @@ def _bucketed(df: DataFrame, specs: list[RollingSpec], scale: int | None,
     cells = keyed.groupBy(*CELL).agg(*[e.alias(n) for n, e in states.items()])
 
     needs: dict[int, list[str]] = {}
-    values: dict[int, dict[str, Column]] = {}
     for spec in specs:
         known = needs.setdefault(spec.seconds, [])
         known += [p for p in _parts_of(spec) if p not in known]
-        values.setdefault(spec.seconds, {})[f"_out_{spec.out}"] = _value(df, spec, scale)
-    rolled = _roll_cells(cells, partials, values, needs, bool(trend_col))
-    if trend_col:
-        rolled = _add_carry(rolled, cells, max(needs, default=DAY))
-    results = rolled.select(*CELL, *[f"_out_{s.out}" for s in specs], *(["_before"] if trend_col else []))
+    typed = [(s, None if _is_integral(df, s.col) else scale) for s in specs]
+    first, *others = _chains(list(needs)) or [[]]
+    results = _roll_chain(cells, partials, typed, needs, first, bool(trend_col))
+    for chain in others:
+        results = results.join(_roll_chain(cells, partials, typed, needs, chain, False), CELL)
 
     if trend_col:
         # Order inside one second; in clean data nearly every cell has one reading.

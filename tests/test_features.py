@@ -160,7 +160,9 @@ def test_bits_do_not_depend_on_the_amount_of_data(clean_of):
 def test_bucket_plan_shuffles_aggregated_cells(clean_of):
     plan = rolling(clean_of(("a", 0.0, 1, 1.0)), FEATURE_SPECS)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert plan.count("Exchange hashpartitioning") == 4   # readings, cells, blocks, results
+    # Readings, cells, visits and results; cells again (reused when it runs), and three times
+    # the blocks, one row per station and hour.
+    assert plan.count("Exchange hashpartitioning") == 8
 
 
 def test_unknown_arguments(clean_of):
