@@ -115,14 +115,12 @@ WITH v AS (
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), q AS (
-  SELECT vec_id, arg_min(e, r) AS e FROM v WHERE vec_id % {every} = 0 GROUP BY vec_id
 ), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id,
+  SELECT q.r, q.vec_id AS query_id, v.vec_id,
     CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * v.e[i])) AS BIGINT) AS score
-  FROM q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+  FROM v AS q JOIN v ON q.r <> v.r AND len(q.e) = len(v.e) WHERE q.vec_id % {every} = 0
 ), n AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM n WHERE rank <= {k}"""
 

@@ -1,24 +1,30 @@
 """Exact top-k by inner product in three phases with a uniform threshold.
 
-The score of a query and a candidate is a sum over segments of the dimensions. Vectors
-are kept in blocks, and every block of queries meets every block of candidates.
-
-1. Each meeting gathers local lists: per query and segment, the candidates with the
-   highest part of the score. Their full scores give k candidates per query, and the
-   lowest of the k is a safe cutoff: the k-th best score is not lower.
-2. The cutoffs go back to the queries. A candidate can only reach the cutoff if one of
-   its m segments reaches cutoff / m, so each meeting collects just those.
-3. Their scores are completed exactly; what is below the cutoff goes, and of a meeting
-   at most k candidates per query are left for the final order.
-
-Cutoffs are sent with the blocks of queries they belong to, never all at once.
-Meetings are dealt out by a join on the query block and a salt, so work is even and
-nothing is one task's or the driver's. No cap: the cutoff is a lower bound.
-
-Defined results: vectors that are null or hold a null or a non-finite component, and
-rows without an id, take no part; only vectors of the same length are compared; rows
-with the query's own id are never its result; repeated rows count each; ties go to the
-smaller id.
+A score is the sum of its parts over m segments of the dimensions. Vectors are kept in
+blocks, and a task of the first two phases holds one segment of a block of queries and of
+a block of candidates, so it knows parts, never scores.
+
+1. Local score lists are gathered: per query and segment, the k candidates with the highest
+   part. Their missing parts are looked up; the k-th best of their scores is a cutoff that
+   the k-th best of all cannot be below.
+2. The cutoff goes out with the blocks of queries. A score can reach it only if one of its m
+   parts reaches cutoff / m, so each task sends just those entries, packed by block.
+3. Entries of a block of queries and of candidates come together; only their missing parts
+   are looked up, and of a pair of blocks at most k scores per query go on.
+
+Of equal vectors in a block only the k + 1 with the smallest ids are candidates: the others
+cannot be among k best. So copies do not make the lists long. No cap: everything that can
+reach the cutoff is sent.
+
+In phases 1 and 2 candidates are moved once and queries to every group of blocks
+(``vectors.meet``); looking parts up moves a block to each block of queries that asks. No
+task holds more than a pair of blocks and their entries, nothing is the driver's.
+
+Defined results: vectors that are null or hold a null or a non-finite component, and rows
+without an id, take no part; only vectors of the same length are compared; a query is a
+row, so repeated query rows have results each, and a copy of the query's row is a
+candidate like any other; ties go to the smaller id; extra columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,165 +35,245 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumelake.llm import vectors as vec
 from plumelake.llm.common import partitions, written
+from plumelake.llm.packed import spread, squeeze
+from plumelake.session import Workspace
 
-SCALE = 256             # fixed value: components are floor(256 x)
-SEGMENTS = 4
-BLOCK, QUERY_BLOCK = 4096, 2048
+SCALE = vec.SCALE
+SEGMENTS = 2            # fewer segments make the threshold of a part sharper
+BLOCK, QUERY_BLOCK = 4096, 1024
 
-_BLOCKS = "dim int, block long, ids binary, data binary, extra binary"
+_QUERIES = "home long, place int, query_id long, dim int, data binary, cutoff double"
+_ASKED = "q int, dim int, homes binary, places binary, ids binary, cutoffs binary, data binary"
+_PARTS = "key long, q int, homes binary, places binary, cutoffs binary, data binary"
+_SEGMENT = "key long, segment int, dim int, block long, ids binary, labels binary, data binary"
+_LISTED = "q int, row int, segment int, block long, col int, vec_id long, part long"
+# Entries of a pair of blocks and a segment: rows, columns and parts.
+_ENTRIES = "q int, block long, segment int, n long, payload binary"
+_SCORES = "home long, place int, query_id long, block long, col int, vec_id long, score long"
 
 
-def usable(vector: Column) -> Column:
-    return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(
-        ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _packed(size: int):
-    """Rows of vec_id, embedding and extra to blocks of at most ``size`` rows."""
-    def block(part: list, number: int) -> tuple:
-        ids, data, extra = zip(*part)
-        return (len(data[0]), number, np.array(ids, np.int64).tobytes(),
-                np.floor(SCALE * np.array(data, np.float64)).tobytes(), np.array(extra, np.float64).tobytes())
+def _edges(dim: int, segments: int) -> list[slice]:
+    cuts = np.linspace(0, dim, segments + 1).astype(int)
+    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
 
+
+def _key(dim: int, segment: int) -> int:
+    return dim << 8 | segment
+
+
+# --- blocks ------------------------------------------------------------------------
+
+def _without_copies(k: int):
+    """Task function: ``labels`` becomes 1 for candidates, 0 for copies that cannot win."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_: dict[int, list] = {}
-        out, number = [], 0
         for batch in batches:
-            for row in zip(batch["vec_id"], batch["embedding"], batch["extra"]):
-                part = open_.setdefault(len(row[1]), [])
-                part.append(row)
-                if len(part) == size:
-                    out.append(block(open_.pop(len(row[1])), number := number + 1))
-            if out:
-                yield pd.DataFrame(out, columns=["dim", "block", "ids", "data", "extra"])
-                out = []
-        if open_:
-            yield pd.DataFrame([block(p, number := number + 1) for p in open_.values()],
-                               columns=["dim", "block", "ids", "data", "extra"])
+            for b in batch.itertuples():
+                ids = vec.longs(b.ids)
+                data = vec.matrix(b.data, b.dim, len(ids))
+                keep = np.ones(len(ids), np.int64)
+                if len(ids) > k + 1:
+                    same = np.unique(data + 0.0, axis=0, return_inverse=True)[1].ravel()
+                    keep[:] = 0
+                    keep[vec.best(same, ids, np.zeros(len(ids), np.int64), k + 1)] = 1
+                yield pd.DataFrame([(b.dim, b.block, b.ids, keep.tobytes(), b.data)], columns=_names(vec.BLOCKS))
     return run
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products: doubles hold them up to 2^53, longs, slower, beyond."""
-    most = (np.abs(a).max(initial=0) + 1) * (np.abs(b).max(initial=0) + 1) * max(a.shape[1], 1)
-    if most < 2 ** 53:
-        return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+def _queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of blocks whose label says that they are queries."""
+    for batch in batches:
+        for b in batch.itertuples():
+            ids = vec.longs(b.ids)
+            at = np.nonzero(vec.longs(b.labels) == 1)[0]
+            data = vec.matrix(b.data, b.dim, len(ids))
+            yield pd.DataFrame({"home": b.block, "place": at, "query_id": ids[at], "dim": b.dim,
+                                "data": [data[i].tobytes() for i in at], "cutoff": float("-inf")})
 
 
-def _rows(pair, side: str) -> tuple[np.ndarray, np.ndarray]:
-    return (np.frombuffer(getattr(pair, f"{side}_ids"), np.int64),
-            np.frombuffer(getattr(pair, f"{side}_data"), np.float64).reshape(-1, max(pair.dim, 1)))
+def _ask(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["home", "place"])      # a query has the same row in every phase
+    return pd.DataFrame([(key[0], key[1], rows["home"].to_numpy(np.int64).tobytes(),
+                          rows["place"].to_numpy(np.int64).tobytes(), rows["query_id"].to_numpy(np.int64).tobytes(),
+                          rows["cutoff"].to_numpy(np.float64).tobytes(), b"".join(rows["data"]))], columns=_names(_ASKED))
 
 
-def _segments(dim: int, segments: int) -> list[slice]:
-    edges = np.linspace(0, dim, min(segments, max(dim, 1)) + 1).astype(int)
-    return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
+def _asked(queries: DataFrame, n: int, size: int) -> DataFrame:
+    dealt = F.pmod(F.xxhash64("home", "place"), F.lit(max(1, -(-n // size)))).cast("int")
+    return queries.groupBy(dealt.alias("q"), "dim").applyInPandas(_ask, _ASKED)
 
 
-def _frame(q, v, s) -> pd.DataFrame:
-    return pd.DataFrame({"query_id": q, "vec_id": v, "score": np.asarray(s).astype(np.int64)})
+def _split_asked(segments: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a in batch.itertuples():
+                data = vec.matrix(a.data, a.dim, len(vec.longs(a.homes)))
+                yield pd.DataFrame([(_key(a.dim, s), a.q, a.homes, a.places, a.cutoffs, data[:, e].tobytes())
+                                    for s, e in enumerate(_edges(a.dim, segments))], columns=_names(_PARTS))
+    return run
+
+
+def _split_blocks(segments: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for b in batch.itertuples():
+                data = vec.matrix(b.data, b.dim, len(vec.longs(b.ids)))
+                yield pd.DataFrame([(_key(b.dim, s), s, b.dim, b.block, b.ids, b.labels, data[:, e].tobytes())
+                                    for s, e in enumerate(_edges(b.dim, segments))], columns=_names(_SEGMENT))
+    return run
+
 
+def _parts(pair, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of all scores of a meeting in one segment, and which of them may count."""
+    homes, ids = vec.longs(pair.q_homes), vec.longs(pair.c_ids)
+    edge = _edges(pair.c_dim, segments)[pair.c_segment]
+    width = edge.stop - edge.start
+    parts = vec.product(vec.matrix(pair.q_data, width, len(homes)), vec.matrix(pair.c_data, width, len(ids)))
+    allowed = np.repeat((vec.longs(pair.c_labels) == 1)[None, :], len(homes), axis=0)
+    own = np.nonzero(homes == pair.c_block)[0]
+    allowed[own, vec.longs(pair.q_places)[own]] = False
+    return parts, allowed
 
-def _best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best entries of each row number, by score and smaller id."""
-    if not len(rows):
-        return np.zeros(0, np.int64)
-    order = np.lexsort((ids, -scores.astype(np.int64), rows))
-    sorted_rows = rows[order]
-    starts = np.concatenate([[0], np.nonzero(sorted_rows[1:] != sorted_rows[:-1])[0] + 1])
-    rank = np.arange(len(rows)) - np.repeat(starts, np.diff(np.append(starts, len(rows))))
-    return order[rank < k]
 
+# --- phase 1: lists and cutoff -------------------------------------------------------
 
-def _gather(k: int, segments: int):
+def _lists(k: int, segments: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for pair in batch.itertuples():
-                (q_ids, q), (c_ids, c) = _rows(pair, "q"), _rows(pair, "c")
-                parts = [_product(q[:, s], c[:, s]) for s in _segments(pair.dim, segments)]
-                total = sum(parts[1:], parts[0])
-                take = min(k + 1, len(c_ids))       # one more, for the query itself
-                near = [np.argpartition(-p.astype(np.float64), take - 1, axis=1)[:, :take] for p in parts]
-                cols = np.sort(np.concatenate(near, axis=1), axis=1)
-                rows = np.repeat(np.arange(len(q_ids)), cols.shape[1])
-                first = np.concatenate([np.ones((len(cols), 1), bool), cols[:, 1:] != cols[:, :-1]], 1).ravel()
-                cols = cols.ravel()
-                keep = first & (c_ids[cols] != q_ids[rows])
-                rows, cols = rows[keep], cols[keep]
-                best = _best(rows, c_ids[cols], total[rows, cols], k)
-                rows, cols = rows[best], cols[best]
-                yield _frame(q_ids[rows], c_ids[cols], total[rows, cols])
+                parts, allowed = _parts(pair, segments)
+                ids = vec.longs(pair.c_ids)
+                r, c = vec.highest(parts, allowed, k)
+                at = vec.best(r, ids[c], parts[r, c], k)
+                r, c = r[at], c[at]
+                yield pd.DataFrame({"q": pair.q_q, "row": r, "segment": pair.c_segment, "block": pair.c_block, "col": c,
+                                    "vec_id": ids[c], "part": parts[r, c]})
     return run
 
 
-def _collect(k: int, segments: int):
+def _packed(rows, cols, parts) -> bytes:
+    bodies = [squeeze(rows.astype(np.int32)), squeeze(cols.astype(np.int32)), squeeze(parts.astype(np.int64))]
+    return np.array([len(b) for b in bodies], np.int64).tobytes() + b"".join(bodies)
+
+
+def _unpacked(body: bytes) -> tuple[np.ndarray, ...]:
+    ends = 24 + np.cumsum(np.concatenate([[0], np.frombuffer(body, np.int64, 3)]))
+    return tuple(spread(body[a:b], kind) for a, b, kind in zip(ends, ends[1:], (np.int32, np.int32, np.int64)))
+
+
+def _as_entries(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame([(*key, len(rows), _packed(rows["row"].to_numpy(), rows["col"].to_numpy(), rows["part"].to_numpy()))],
+                        columns=_names(_ENTRIES))
+
+
+# --- phase 2: entries at or above cutoff / m -------------------------------------------
+
+def _entries(segments: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for pair in batch.itertuples():
-                (q_ids, q), (c_ids, c) = _rows(pair, "q"), _rows(pair, "c")
-                cutoff = np.frombuffer(pair.q_extra, np.float64)[:, None]
-                parts = [_product(q[:, s], c[:, s]) for s in _segments(pair.dim, segments)]
-                enough = np.zeros(parts[0].shape, bool)
-                for p in parts:
-                    enough |= p.astype(np.float64) >= cutoff / len(parts)
-                rows, cols = np.nonzero(enough)
-                total = sum(p[rows, cols] for p in parts)
-                keep = (total.astype(np.float64) >= cutoff[rows, 0]) & (c_ids[cols] != q_ids[rows])
-                rows, cols, total = rows[keep], cols[keep], total[keep]
-                best = _best(rows, c_ids[cols], total, k)
-                yield _frame(q_ids[rows[best]], c_ids[cols[best]], total[best])
+                parts, allowed = _parts(pair, segments)
+                cutoff = np.frombuffer(pair.q_cutoffs, np.float64)[:, None]
+                r, c = np.nonzero(allowed & (parts.astype(np.float64) >= cutoff / segments))
+                if len(r):
+                    yield pd.DataFrame([(pair.q_q, pair.c_block, pair.c_segment, len(r), _packed(r, c, parts[r, c]))],
+                                       columns=_names(_ENTRIES))
     return run
 
 
-def _meet(queries: DataFrame, blocks: DataFrame, salts: int) -> DataFrame:
-    """Every block of queries with every block of candidates of the same length. The
-    number of query blocks is known from the stored table."""
-    q = queries.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
-                       F.col("extra").alias("q_extra"), "q",
-                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    n = queries.agg(F.max("q")).first()[0]
-    blocks_of_queries = F.explode(F.sequence(F.lit(0), F.lit(n))) if n is not None else F.lit(-1)
-    c = blocks.select("dim", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"),
-                      F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int").alias("salt"),
-                      blocks_of_queries.alias("q"))
-    return c.join(q, ["dim", "q", "salt"])
+# --- phase 3: missing parts --------------------------------------------------------------
 
+def _complete(k: int | None, segments: int):
+    """Task function: scores of the entries of a pair of blocks. Parts that an entry does not
+    tell are computed, for these pairs only."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for pair in batch.itertuples():
+                homes, q_ids, ids = vec.longs(pair.q_homes), vec.longs(pair.q_ids), vec.longs(pair.c_ids)
+                q, c = vec.matrix(pair.q_data, pair.q_dim, len(homes)), vec.matrix(pair.c_data, pair.c_dim, len(ids))
+                told = [(s, *_unpacked(body)) for s, body in zip(pair.segments, pair.payloads)]
+                spots = np.unique(np.concatenate([r.astype(np.int64) * len(ids) + cs for _, r, cs, _ in told]))
+                rows, cols = spots // len(ids), spots % len(ids)
+                total = np.zeros(len(spots), np.int64)
+                for s, edge in enumerate(_edges(pair.q_dim, segments)):
+                    missing = np.ones(len(spots), bool)
+                    for t, r, cs, parts in told:
+                        if t == s:
+                            at = np.searchsorted(spots, r.astype(np.int64) * len(ids) + cs)
+                            total[at] += parts
+                            missing[at] = False
+                    for a in range(0, len(spots), 1 << 16):     # bounded memory
+                        at = np.nonzero(missing[a:a + (1 << 16)])[0] + a
+                        left, right = q[rows[at], edge], c[cols[at], edge]
+                        most = (np.abs(left).max(initial=0) + 1) * (np.abs(right).max(initial=0) + 1) * max(edge.stop - edge.start, 1)
+                        kind = np.float64 if most < 2 ** 53 else np.int64
+                        total[at] += np.einsum("ij,ij->i", left.astype(kind), right.astype(kind)).astype(np.int64)
+                keep = total.astype(np.float64) >= np.frombuffer(pair.q_cutoffs, np.float64)[rows]
+                rows, cols, total = rows[keep], cols[keep], total[keep]
+                if k is not None:
+                    at = vec.best(rows, ids[cols], total, k)
+                    rows, cols, total = rows[at], cols[at], total[at]
+                yield pd.DataFrame({"home": homes[rows], "place": vec.longs(pair.q_places)[rows], "query_id": q_ids[rows],
+                                    "block": pair.c_block, "col": cols, "vec_id": ids[cols], "score": total})
+    return run
 
-def _query_blocks(rows: DataFrame, n: int) -> DataFrame:
-    """Blocks of queries, numbered by hash of the query."""
-    count = max(1, -(-n // QUERY_BLOCK))
-    numbered = rows.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out = next(_packed(len(part))(iter([part])))
-        return out.assign(q=key[0])
-    return numbered.groupBy("q", F.size("embedding").alias("_dim")).applyInPandas(run, f"{_BLOCKS}, q int")
+def _looked_up(entries: DataFrame, asked: DataFrame, blocks: DataFrame, k: int | None, segments: int) -> DataFrame:
+    both = entries.groupBy("q", "block").agg(F.sort_array(F.collect_list(F.struct("segment", "payload"))).alias("told"))
+    pairs = both.select(F.col("q").alias("q_q"), F.col("block").alias("c_block"), F.col("told.segment").alias("segments"),
+                        F.col("told.payload").alias("payloads"))     # one row per segment at most
+    for side, table, key in (("q", asked, "q"), ("c", blocks, "block")):
+        own = table.select(*[F.col(n).alias(f"{side}_{n}") for n in table.columns])
+        pairs = pairs.join(own, f"{side}_{key}")
+    return pairs.where(F.col("q_dim") == F.col("c_dim")).mapInPandas(_complete(k, segments), _SCORES)
 
 
-def top_k(vectors: DataFrame, k: int, is_query: Column, segments: int = SEGMENTS,
-          block: int = BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, k: int, is_query: Column, segments: int = SEGMENTS, block: int = BLOCK,
+          query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: for each query its k best candidates.
-    ``vectors``: vec_id, embedding."""
-    valid = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    blocks = written(valid.withColumn("extra", F.lit(0.0)).mapInPandas(_packed(block), _BLOCKS), "topk-blocks")
-    asked = valid.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    n, salts = asked.count(), partitions(vectors)
-    result = "query_id long, vec_id long, score long"
-
-    queries = written(_query_blocks(asked.withColumn("extra", F.lit(0.0)), n), "topk-queries")
-    gathered = _meet(queries, blocks, salts).mapInPandas(_gather(k, segments), result)
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = gathered.withColumn("_n", F.row_number().over(best_first)).where(F.col("_n") <= k)
-    # A score beyond 2^53 may be rounded up as a double: a little lower is still safe.
-    low = F.min("score").cast("double")
-    low = low - F.abs(low) * 2.0 ** -50
-    cutoffs = top.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, low).otherwise(float("-inf")).alias("extra"))
-    with_cutoff = asked.join(cutoffs, asked["vec_id"] == cutoffs["query_id"], "left").select(
-        "vec_id", "embedding", F.coalesce("extra", F.lit(float("-inf"))).alias("extra"))
-    queries = written(_query_blocks(with_cutoff, n), "topk-cutoffs")
-    collected = _meet(queries, blocks, salts).mapInPandas(_collect(k, segments), result)
-    ranked = collected.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ``vectors``: vec_id, embedding. Runs when called and stores the result."""
+    return _search(vectors, k, is_query, segments, block, query_block)[0]
+
+
+def _search(vectors: DataFrame, k: int, is_query: Column, segments: int, block: int,
+            query_block: int) -> tuple[DataFrame, int]:
+    """The result, and how many entries phase 2 sent."""
+    spark, salts = vectors.sparkSession, partitions(vectors)
+    flagged = vectors.withColumn("_asks", F.coalesce(is_query, F.lit(False)).cast("long"))
+    valid = flagged.where(F.col("vec_id").isNotNull() & vec.usable(F.col("embedding"))).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("_asks").alias("label"), "embedding")
+    by_query, by_score = ["home", "place"], [F.desc("score"), "vec_id"]
+    with Workspace(spark, "topk") as space:
+        packed = space.written(valid.mapInPandas(vec.pack_blocks(block), vec.BLOCKS), "packed")
+        queries = space.written(packed.mapInPandas(_queries, _QUERIES), "queries")
+        n = queries.count()
+        blocks = space.written(packed.mapInPandas(_without_copies(k), vec.BLOCKS), "blocks")
+        asked = space.written(_asked(queries, n, query_block), "asked")
+
+        def meetings(side: DataFrame) -> DataFrame:
+            return vec.meet(side.mapInPandas(_split_asked(segments), _PARTS),
+                            blocks.mapInPandas(_split_blocks(segments), _SEGMENT), salts, by="key")
+        best_parts = Window.partitionBy("q", "row", "segment").orderBy(F.desc("part"), "vec_id", "block", "col")
+        lists = meetings(asked).mapInPandas(_lists(k, segments), _LISTED).withColumn(
+            "_n", F.row_number().over(best_parts)).where(F.col("_n") <= k)
+        listed = space.written(lists.groupBy("q", "block", "segment").applyInPandas(_as_entries, _ENTRIES), "lists")
+        known = _looked_up(listed, asked, blocks, None, segments)
+        in_order = Window.partitionBy(*by_query).orderBy(*by_score, "block", "col")
+        kth = known.withColumn("_n", F.row_number().over(in_order)).where(F.col("_n") == k)
+        # A score beyond 2^53 may be rounded up as a double: a little lower is still safe.
+        low = F.col("score").cast("double")
+        cutoffs = kth.select(*by_query, (low - F.abs(low) * 2.0 ** -50).alias("_low"))
+        informed = queries.join(cutoffs, by_query, "left").withColumn(
+            "cutoff", F.coalesce("_low", F.lit(float("-inf")))).select(*queries.columns)
+        asked = space.written(_asked(informed, n, query_block), "informed")
+
+        entries = space.written(meetings(asked).mapInPandas(_entries(segments), _ENTRIES), "entries")
+        sent = entries.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        ranked = _looked_up(entries, asked, blocks, k, segments).withColumn(
+            "rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
+        return written(ranked.select("query_id", "rank", "vec_id", "score"), "topk-best"), sent

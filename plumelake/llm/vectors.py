@@ -84,14 +84,14 @@ def highest(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray
     return np.nonzero(allowed)
 
 
-def meet(asked: DataFrame, blocks: DataFrame, salts: int) -> DataFrame:
-    """Every block of ``asked`` with every block of ``blocks`` of the same length. The
+def meet(asked: DataFrame, blocks: DataFrame, salts: int, by: str = "dim") -> DataFrame:
+    """Every block of ``asked`` with every block of ``blocks`` that is equal in ``by``. The
     blocks stay where they are dealt once; the smaller side goes to each of the ``salts``
     groups, so what is moved is one copy of the blocks and ``salts`` copies of ``asked``."""
-    sent = asked.select(F.struct(*asked.columns).alias("q"), F.col("dim").alias("_dim"),
+    sent = asked.select(F.struct(*asked.columns).alias("q"), F.col(by).alias("_by"),
                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    dealt = blocks.select(F.struct(*blocks.columns).alias("c"), F.col("dim").alias("_dim"),
+    dealt = blocks.select(F.struct(*blocks.columns).alias("c"), F.col(by).alias("_by"),
                           F.pmod("block", F.lit(salts)).cast("int").alias("_salt"))
-    pairs = dealt.join(sent, ["_dim", "_salt"])
+    pairs = dealt.join(sent, ["_by", "_salt"])
     return pairs.select(*[F.col(f"q.{n}").alias(f"q_{n}") for n in asked.columns],
                         *[F.col(f"c.{n}").alias(f"c_{n}") for n in blocks.columns])

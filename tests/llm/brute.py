@@ -183,15 +183,13 @@ def top_k(rows, k, every):
     import math
     whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
              if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    queries = {}
-    for i, v in whole:
-        if i % every == 0:
-            queries[i] = min(queries.get(i, v), v)
     out = []
-    for q, a in sorted(queries.items()):
-        scored = sorted((-sum(x * y for x, y in zip(a, v)), i) for i, v in whole if i != q and len(v) == len(a))
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
-    return out
+    for n, (q, a) in enumerate(whole):      # a query is a row: its copies are candidates
+        if q % every == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, v)), i) for m, (i, v) in enumerate(whole)
+                            if m != n and len(v) == len(a))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 # --- urls -----------------------------------------------------------------------

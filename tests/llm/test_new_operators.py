@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumelake.llm import alignment, hard_negatives as hn, repeated_windows as rw, vectors
+from plumelake.llm import alignment, hard_negatives as hn, repeated_windows as rw, topk, vectors
 
 LAST = 2 ** 63 - 1
 
@@ -234,3 +234,24 @@ def test_highest_keeps_ties():
     allowed = np.array([[True] * 5, [False, True, False, False, False]])
     r, c = vectors.highest(scores, allowed, 2)
     assert sorted(zip(r.tolist(), c.tolist())) == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 1)]
+
+
+# --- top-k ---------------------------------------------------------------------------
+
+def test_top_k_completes_few_scores(spark):
+    """By the threshold only a few of all scores are put together, and all the best are."""
+    rng = np.random.default_rng(5)
+    rows = [(n, rng.normal(0, 0.2, 32).tolist()) for n in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got, sent = topk._search(df, 5, F.col("vec_id") % 50 == 0, topk.SEGMENTS, 300, 16)
+    assert sent < 0.2 * 40 * 2000
+    assert sorted(map(tuple, got.collect())) == sorted(brute.top_k(rows, 5, 50))
+
+
+def test_copies_of_one_vector_and_of_a_query(spark):
+    """Two thirds are one vector; query rows that repeat have results each, with each other."""
+    one = [0.5, -0.25, 0.125]
+    rows = [(n, one if n % 3 else [0.01 * n, 0.0, -0.01 * n]) for n in range(120)] + [(50, one), (50, one), (60, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = sorted(map(tuple, topk.top_k(df, 4, F.col("vec_id") % 10 == 0, block=16, query_block=4).collect()))
+    assert got == brute.top_k(rows, 4, 10)
