@@ -11,8 +11,11 @@ of tokens, so no token is shuffled. Within a group:
 * when nothing is left to fill with, the open window is divided into windows of the
   powers of two of its length, so it needs no padding either.
 
-Sequences of a tier are numbered into step groups of equal tokens: a step takes more
-short sequences than long ones.
+Step groups are balanced over the whole corpus: the sequences of a tier are numbered across
+all tasks, by counts per task that are added up, and every ``STEP_TOKENS`` tokens are a
+group. So (tier, step_group) is a key, a step takes more short sequences than long ones,
+and all groups of a tier have equal tokens but for its last. For that the pieces, a few
+numbers each, are stored once.
 
 Sequence numbers begin with the task and group, so they are unique. Bounded memory:
 one group of tokens, one batch of texts and a bounded cache of words per task.
@@ -34,7 +37,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from plumelake.llm.common import written
 
 TOKENIZER = "word_bpe_49k.json"
 TIERS = (256, 512, 1024, 2048)
@@ -45,6 +50,8 @@ CACHED_WORDS = 400_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, tier int, step_group long")
+# Before the step groups are known: the sequence's number in its tier and task.
+_LOCAL = PIECES.replace("step_group long", "number long, task long")
 
 # Words of these characters are split and lower-cased alike by every Unicode version;
 # all other words are left to the tokenizer itself.
@@ -162,7 +169,7 @@ def _powers(window: list[tuple[int, int, int]], n: int) -> Iterator[tuple[int, l
             yield 1 << bit, part
 
 
-def _packer(path: str, tiers: tuple[int, ...], group_tokens: int, step_tokens: int):
+def _packer(path: str, tiers: tuple[int, ...], group_tokens: int):
     def close(ids: list[bytes], docs: list, first: int, steps: dict[int, int]) -> pd.DataFrame:
         rows = []
         for n, (size, window) in enumerate(_pack([len(b) // 4 for b in ids], tiers)):
@@ -170,9 +177,9 @@ def _packer(path: str, tiers: tuple[int, ...], group_tokens: int, step_tokens: i
             step = steps[size] = steps.get(size, -1) + 1
             for d, start, length in window:
                 rows.append((docs[d], start, length, zlib.crc32(ids[d][4 * start:4 * (start + length)]),
-                             len(ids[d]) // 4, first + n, offset, size, step * size // step_tokens))
+                             len(ids[d]) // 4, first + n, offset, size, step, first >> 40))
                 offset += length
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in _LOCAL.split(", ")])
         return out.astype({"doc_id": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,5 +204,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
     """A row per piece. ``tokenizer`` is the path of the vocabulary on the executors.
     Sequences have the length ``tier``, a power of two, and no padding."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(_packer(tokenizer or default_tokenizer(), tuple(sorted(tiers)), group_tokens,
-                                    step_tokens), PIECES)
+    packed = written(rows.mapInPandas(_packer(tokenizer or default_tokenizer(), tuple(sorted(tiers)), group_tokens),
+                                      _LOCAL), "packing-pieces")
+    # One row per task and tier.
+    counts = packed.groupBy("task", "tier").agg((F.max("number") + 1).alias("_n"))
+    before = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("task", "tier", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    group = F.expr(f"((_start + number) * tier) div {step_tokens}")
+    return packed.join(starts, ["task", "tier"]).withColumn("step_group", group).select(
+        *[c.split()[0] for c in PIECES.split(", ")])

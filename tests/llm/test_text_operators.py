@@ -204,10 +204,29 @@ def test_token_ids(text):
 def test_packing(crowded, corpus, group_tokens):
     got = [r.asDict() for r in packing.pack(crowded, group_tokens=group_tokens).collect()]
     assert brute.pieces_are_right(pairs(corpus), got, tokenizer_ids) == 0
+    assert unbalanced(got, packing.STEP_TOKENS) == 0
+
+
+def unbalanced(pieces, step_tokens):
+    """Step groups, over all tasks, that are not full, without the last of each tier; and
+    holes in their numbers."""
     steps = {}
-    for p in got:
-        steps.setdefault((p["sequence_id"] >> 24, p["tier"], p["step_group"]), set()).add(p["sequence_id"])
-    assert max(len(s) * t for (_, t, _), s in steps.items()) <= packing.STEP_TOKENS
+    for p in pieces:
+        steps.setdefault(p["tier"], {}).setdefault(p["step_group"], set()).add(p["sequence_id"])
+    wrong = 0
+    for tier, groups in steps.items():
+        wrong += sorted(groups) != list(range(len(groups)))
+        wrong += sum(len(groups[g]) * tier != max(step_tokens, tier) for g in range(len(groups) - 1))
+        wrong += len(groups[len(groups) - 1]) * tier > max(step_tokens, tier)
+    return wrong
+
+
+def test_step_groups_are_full_across_tasks(docs, corpus):
+    got = [r.asDict() for r in packing.pack(docs.repartition(7), group_tokens=3000, step_tokens=4096).collect()]
+    assert len({p["sequence_id"] >> 40 for p in got}) == 7
+    assert len({(p["tier"], p["step_group"]) for p in got}) > 12
+    assert unbalanced(got, 4096) == 0
+    assert brute.pieces_are_right(pairs(corpus), got, tokenizer_ids) == 0
 
 
 def test_packing_nothing(no_docs):
