@@ -9,9 +9,9 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 
 def quality_rules() -> str:
-    tests = ", ".join(f"('{r}', {c})" for r, cs in qr.CUTOFFS.items() for c in cs)
-    n_tests = sum(len(c) for c in qr.CUTOFFS.values())
-    risk = qr.RISK / len(qr.CUTOFFS)
+    path = qr.path_of(qr.CUTOFFS)
+    steps = ", ".join(f"({j}, '{r}', {c})" for j, (r, c) in enumerate(path, 1))
+    risk = qr.RISK
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
@@ -53,21 +53,28 @@ WITH d AS (
   SELECT b.r, b.lang, quality FROM b JOIN known USING (doc_id) WHERE NOT base_failed
 ), strata AS (
   SELECT lang, sum(quality) AS n FROM holdout GROUP BY lang
+), steps AS (SELECT * FROM (VALUES {steps}) AS t(step, rule, cutoff)
+), hit AS (
+  SELECT h.r, h.lang, h.quality, min(step) AS since
+  FROM holdout h JOIN rates USING (r) JOIN steps ON steps.rule = rates.rule AND rate > cutoff GROUP BY 1, 2, 3
 ), tests AS (
-  SELECT lang, t.rule, t.cutoff,
-    sum(CASE WHEN rate > cutoff AND quality = 1 THEN 1 ELSE 0 END) AS lost,
-    sum(CASE WHEN rate > cutoff AND quality = 0 THEN 1 ELSE 0 END) AS gain
-  FROM holdout JOIN rates USING (r) JOIN (VALUES {tests}) AS t(rule, cutoff) ON t.rule = rates.rule
-  GROUP BY lang, t.rule, t.cutoff
+  SELECT s.lang, step, s.n, count(*) FILTER (since <= step AND quality = 1) AS lost,
+    count(*) FILTER (since <= step AND quality = 0) AS gain
+  FROM strata s CROSS JOIN steps LEFT JOIN hit ON hit.lang IS NOT DISTINCT FROM s.lang GROUP BY 1, 2, 3
 ), tailed AS (
-  SELECT x.lang, rule, cutoff, lost, gain,
+  SELECT lang, step, lost, gain,
     CASE WHEN lost < n * {risk!r} THEN list_sum(list_transform(range(CAST(lost AS BIGINT) + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r}))))
       ELSE 1 END AS tail
-  FROM tests x JOIN strata s ON x.lang IS NOT DISTINCT FROM s.lang
+  FROM tests
+), ends AS (
+  SELECT lang, coalesce(min(step) FILTER (tail > {qr.DELTA!r} / (SELECT count(*) FROM strata)), {len(path) + 1}) AS failed
+  FROM tailed GROUP BY lang
+), taken AS (
+  SELECT t.lang, arg_max(step, (gain - lost) * 10000 - step) AS last
+  FROM tailed t JOIN ends e ON t.lang IS NOT DISTINCT FROM e.lang WHERE step < failed AND gain > lost GROUP BY t.lang
 ), chosen AS (
-  SELECT lang, rule, arg_max(cutoff, (gain - lost) * 10000 + cutoff) AS cutoff FROM tailed
-  WHERE tail <= {qr.DELTA!r} / ({n_tests} * (SELECT count(*) FROM strata)) AND gain > lost GROUP BY lang, rule
+  SELECT lang, rule, min(cutoff) AS cutoff FROM taken JOIN steps ON step <= last GROUP BY lang, rule
 ), broken AS (
   SELECT DISTINCT b.r FROM b JOIN rates USING (r)
   JOIN chosen c ON c.rule = rates.rule AND c.lang IS NOT DISTINCT FROM b.lang WHERE rate > c.cutoff

@@ -48,14 +48,42 @@ def test_cutoffs_need_enough_good_documents(spark):
         *[F.lit(0).cast("long").alias(c) for c in ("_capitals", "_lines", "n_dup_lines", "n_repeat_words")])
     labels = spark.range(3500).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, 1).otherwise(0).alias("quality"))
     chosen = qr.choose_cutoffs(rows, labels, "lang").collect()
-    assert [(r["rule"], r["cutoff"], r["lost"], r["gain"]) for r in chosen] == [("symbol_rate", 200, 3, 500)]
+    # The first step that rejects the bad ones: the second for symbols, the first for all others.
+    assert sorted((r["rule"], r["cutoff"], r["n"], r["lost"], r["gain"]) for r in chosen) == [
+        ("capital_rate", 800, 3000, 3, 500), ("dup_line_rate", 700, 3000, 3, 500), ("repeat_rate", 180, 3000, 3, 500),
+        ("symbol_rate", 200, 3000, 3, 500)]
     judged = qr.judge(rows, qr.choose_cutoffs(rows, labels, "lang"), "lang")
     assert judged.where("kept").count() == 2997
-    few = qr.choose_cutoffs(rows, labels.where("doc_id % 10 = 0"), "lang")
-    assert few.count() == 0                         # 300 good ones prove nothing
+    few = qr.choose_cutoffs(rows, labels.where("doc_id % 50 = 7"), "lang")
+    assert few.count() == 0                         # 60 good ones, none of them lost, prove nothing
     assert qr.judge(rows, few, "lang").where("kept").count() == 3500
 
 
+def test_a_path_ends_at_its_first_failure(spark):
+    """The bad documents could only be told by repeats, but before that capitals would cost
+    more good ones than the risk; in the other stratum they cost none. Where good documents
+    are lost at random, the loss stays below the risk but for a chance of delta."""
+    rng = random.Random(2)
+    rows, labels = [], []
+    for lang, shouting in (("a", 0.05), ("b", 0.0)):
+        for n in range(900):
+            good, doc = n % 3 > 0, len(rows)
+            capitals = 170 if good and rng.random() < shouting else 10
+            rows.append((doc, lang, 100, 1000, 0, capitals, 0, 0, 0 if good else 15))
+            labels.append((doc, int(good)))
+    df = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, _capitals long, "
+                                     "_lines long, n_dup_lines long, n_repeat_words long")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    chosen = {(r["lang"], r["rule"]): r for r in qr.choose_cutoffs(df, known, "lang").collect()}
+    path = qr.path_of(qr.CUTOFFS)
+    assert path[:4] == [("symbol_rate", 300), ("capital_rate", 800), ("dup_line_rate", 700), ("repeat_rate", 180)]
+    assert chosen["b", "repeat_rate"]["cutoff"] == 120 and chosen["b", "repeat_rate"]["gain"] == 300
+    before = path.index(("capital_rate", 150)) > path.index(("repeat_rate", 120))
+    assert (("a", "repeat_rate") in chosen) == before
+    for r in chosen.values():
+        assert r["lost"] / r["n"] < qr.RISK
+
+
 def test_rules_on_odd_tables(spark, crowded, no_docs, corpus):
     labels = spark.createDataFrame([(7, 0), (8, 1), (8, None), (None, 1), (999, 0), (9, 5)], "doc_id long, quality int")
     got = qr.quality_rules(crowded, labels)
