@@ -291,3 +291,20 @@ def test_recurring_slot_is_template_and_names_give_way(spark):
              for n in range(40)]
     assert texts_of(spark, *rows) == [f"Own {n}" for n in range(40)] + [f"Story {n}" for n in range(40)] + [
         f"Own {n}" for n in range(40)]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a <b ", "</", "<a '", '<p "', "<!", "<a href=x ", "&lt;<", "<a \"x\" 'y' "])
+@pytest.mark.parametrize("tail", ["", '"', "'>", '" >', ">"])
+def test_pages_of_unclosed_tags_are_read_in_one_pass(piece, tail):
+    import time
+    start = time.process_time()
+    list(templates.parse(piece * 40_000 + tail))
+    assert time.process_time() - start < 5
+    short = piece * 3 + tail + "<p>text</p>"
+    assert "".join(t for kind, _, t in templates.parse(short) if kind == "text").endswith("text") or "<" in short[:-11]
+
+
+def test_character_data_without_an_end_is_whole():
+    def text(html):
+        return [t for kind, _, t in templates.parse(html) if kind == "text"]
+    assert text("<p><![CDATA[abcdef") == ["abcdef"] and text("<p><![CDATA[abc]]>d</p>") == ["abcd"]
