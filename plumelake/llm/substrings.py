@@ -22,7 +22,10 @@ bytes around the remaining anchors and ranks, by pairs of ranks at growing offse
 strings of ``LENGTH`` bytes that hold them; a string with a lower document in its rank
 class is removed. The exact number of removed bytes follows from the union of strings.
 
-Documents travel in parts of consecutive ids. A part sends each distinct rank or
+Strings of one rank in round 2 are compared by their bytes, so no chance is left there.
+
+Documents travel in parts of consecutive ids; a long text is a part of its own, and texts
+without an id are spread by their content, where copies of one text share a part. A part sends each distinct rank or
 neighbourhood once, with its lowest document, so a line that a third of all documents
 share is one row per part. Slices and parts are groups of a bounded size; their number
 follows the number of shuffle tasks and the ids. Nothing is collected to the driver.
@@ -45,10 +48,13 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from plumelake.llm.common import partitions, written
+from plumelake.llm.packed import distinct
 
 LENGTH = 50
 ANCHOR = 24
 PART = 512              # consecutive ids in a part of the corpus
+LONG = 1 << 16          # bytes of a text that is a part of its own
+VOID_PARTS = 1 << 12    # parts of texts without an id
 SLICES = 4              # slices of the ranks per shuffle task
 NO_ID = np.iinfo(np.int64).max
 
@@ -136,8 +142,14 @@ def _slice_of(rank: np.ndarray, slices: int) -> np.ndarray:
     return ((_mixed(rank) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
 
 
-def _part_of(ids: np.ndarray) -> np.ndarray:
-    return np.floor_divide(ids, PART)
+def _part_of(doc: int, data: bytes | np.ndarray) -> int:
+    """Consecutive ids share a part, but for long texts, which are parts of their own, and
+    texts without an id, which are spread by their content."""
+    if doc == NO_ID:
+        return -1 - zlib.crc32(data) % VOID_PARTS
+    if len(data) > LONG:
+        return -(1 << 41) - (doc & (1 << 40) - 1)
+    return doc // PART
 
 
 def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -151,6 +163,13 @@ def _by_slice(rank: np.ndarray, slices: int) -> Iterator[tuple[int, np.ndarray]]
             yield int(where[a]), order[a:b]
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _marked(data: np.ndarray) -> np.uint64:
     return np.uint64(zlib.crc32(data)) << np.uint64(32)
 
@@ -171,9 +190,9 @@ def _send_ranks(slices: int):
         for batch in batches:
             found: dict[int, list] = {}
             for doc, data in _texts(batch):
-                found.setdefault(doc // PART, []).append(anchors(data)[1])
+                found.setdefault(_part_of(doc, data), []).append(anchors(data)[1])
             for part, codes in found.items():
-                rank = np.unique(np.concatenate(codes))
+                rank = distinct(np.concatenate(codes))
                 yield _message([(s, part, 0, rank[r].tobytes()) for s, r in _by_slice(rank, slices)])
     return run
 
@@ -181,11 +200,11 @@ def _send_ranks(slices: int):
 def _repeated(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     """Ranks that more than one message of a slice holds, back to their senders."""
     sent = [np.frombuffer(p, np.uint64) for p in messages["payload"]]
-    every, n = np.unique(np.concatenate(sent), return_counts=True)
-    many = every[n > 1]
+    every = np.sort(np.concatenate(sent))
+    many = distinct(every[1:][every[1:] == every[:-1]])
     out = []
     for part, rank in zip(messages["part"], sent):
-        back = rank[np.isin(rank, many, assume_unique=True)] if len(many) else rank[:0]
+        back = rank[_among(rank, many)]
         if len(back):
             out.append((key[0], part, 1, back.tobytes()))
     return _message(out)
@@ -205,7 +224,7 @@ def _send_neighbourhoods(slices: int):
         """Of one part: distinct neighbourhoods of anchors that repeat, with the lowest
         document (kind 2), and what repeats inside the part (kind 3)."""
         unpack, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        wanted = np.unique(np.concatenate(
+        wanted = distinct(np.concatenate(
             [np.frombuffer(p, np.uint64) for p in known["payload"]] + [np.zeros(0, np.uint64)]))
         kept = []
         for ids, sizes, blob in zip(docs["ids"], docs["sizes"], docs["blob"]):
@@ -215,9 +234,9 @@ def _send_neighbourhoods(slices: int):
                 kept.append((doc, flat[a:b], place, rank, mask))
         # Anchors seen twice in the part repeat too, whatever the other parts hold.
         every = np.concatenate([k[3] for k in kept] + [wanted[:0]])
-        inside, n = np.unique(every, return_counts=True)
-        wanted = np.union1d(wanted, inside[n > 1])
-        again, at, rows = np.isin(every, wanted), 0, []
+        inside = np.sort(every)
+        wanted = distinct(np.concatenate([wanted, inside[1:][inside[1:] == inside[:-1]]]))
+        again, at, rows = _among(every, wanted), 0, []
         for doc, data, place, rank, mask in kept:
             hit = np.nonzero(again[at:at + len(rank)])[0]
             at += len(rank)
@@ -256,15 +275,16 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     unpack = zstandard.ZstdDecompressor()
     out = [(key[0], p, 3, body) for p, k, body in zip(messages["part"], messages["kind"], messages["payload"]) if k == 3]
     parts = []
-    for body in messages.loc[messages["kind"] == 2, "payload"]:
+    sent = messages[messages["kind"] == 2]
+    for sender, body in zip(sent["part"], sent["payload"]):
         raw = unpack.decompress(body)
         n = len(raw) // (20 + _AROUND)
-        parts.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.uint64, n, 8 * n),
+        parts.append((np.full(n, sender, np.int64), np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.uint64, n, 8 * n),
                       np.frombuffer(raw, np.uint32, n, 16 * n),
                       np.frombuffer(raw, np.uint8, n * _AROUND, 20 * n).reshape(n, _AROUND)))
     if not parts:
         return _message(out)
-    doc, spot, mask, near = (np.concatenate(c) for c in zip(*parts))
+    home, doc, spot, mask, near = (np.concatenate(c) for c in zip(*parts))
     gone = np.zeros(len(doc), np.uint32)
     step = _ROWS
     codes, docs, rows, bits = [], [], [], []
@@ -277,22 +297,44 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
             rows.append(has + a)
             bits.append(np.full(len(has), b, np.uint32))
     code, docs, rows, bits = (np.concatenate(c) for c in (codes, docs, rows, bits))
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code, docs = code[order], docs[order]
-    starts = np.concatenate([[0], np.nonzero(code[1:] != code[:-1])[0] + 1]) if len(code) else np.zeros(0, int)
     if len(code):
+        rows, bits = rows[order], bits[order].astype(np.int64)
+        new = code[1:] != code[:-1]
+        starts = np.concatenate([[0], np.nonzero(new)[0] + 1])
         lowest = np.repeat(np.minimum.reduceat(docs, starts), np.diff(np.append(starts, len(code))))
+        for c in distinct(code[_unequal(near, rows, bits, np.nonzero(~new)[0])]).tolist():
+            # One rank for several strings: the bytes decide.
+            a, b = np.searchsorted(code, np.uint64(c), "left"), np.searchsorted(code, np.uint64(c), "right")
+            _, same = np.unique(_strings(near, rows[a:b], bits[a:b]), axis=0, return_inverse=True)
+            low = np.full(b - a, NO_ID, np.int64)
+            np.minimum.at(low, same.ravel(), docs[a:b])
+            lowest[a:b] = low[same.ravel()]
         later = docs > lowest
-        np.bitwise_or.at(gone, rows[order][later], np.uint32(1) << bits[order][later])
+        np.bitwise_or.at(gone, rows[later], np.uint32(1) << bits[later].astype(np.uint32))
     hit = gone > 0
     found = np.zeros(int(hit.sum()), _REMOVAL)
     found["id"], found["spot"], found["mask"] = doc[hit], spot[hit], gone[hit]
-    part = _part_of(found["id"])
+    part = home[hit]
     for p in np.unique(part):
         out.append((key[0], int(p), 3, found[part == p].tobytes()))
     return _message(out)
 
 
+def _strings(near: np.ndarray, rows: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return near[rows[:, None], (_REACH - bits)[:, None] + np.arange(LENGTH)]
+
+
+def _unequal(near: np.ndarray, rows: np.ndarray, bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of places ``at`` whose next one has the same rank, those whose strings differ."""
+    found = [at[:0]]
+    for a in range(0, len(at), _ROWS):
+        i = at[a:a + _ROWS]
+        found.append(i[(_strings(near, rows[i], bits[i]) != _strings(near, rows[i + 1], bits[i + 1])).any(axis=1)])
+    return np.concatenate(found)
+
+
 # --- the documents without what repeats -----------------------------------------
 
 def _runs_of(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,15 +376,16 @@ def _cut(with_bytes: bool):
 
 
 def _pack_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts of consecutive ids as one compressed row."""
+    """Texts of a part as one compressed row."""
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        part = _part_of(batch["_id"].to_numpy(np.int64))
-        for p in np.unique(part):
-            rows = batch[part == p]
-            texts = [(t or "").encode() for t in rows["_text"]]
-            yield pd.DataFrame([(int(p), rows["_id"].tolist(), [len(t) for t in texts],
-                                 squeeze.compress(b"".join(texts)))], columns=["part", "ids", "sizes", "blob"])
+        parts: dict[int, list] = {}
+        for doc, text in zip(batch["_id"].tolist(), batch["_text"]):
+            data = (text or "").encode()
+            parts.setdefault(_part_of(doc, data), []).append((doc, data))
+        for part, rows in parts.items():
+            yield pd.DataFrame([(part, [d for d, _ in rows], [len(t) for _, t in rows],
+                                 squeeze.compress(b"".join(t for _, t in rows)))], columns=["part", "ids", "sizes", "blob"])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,21 @@ def test_substrings_inside_one_long_text(spark):
     assert got[600]["kept"] == (long[:1_048_500] + long[1_048_700:]).encode()
 
 
+def test_strings_that_share_a_rank_are_told_apart(spark, corpus, monkeypatch):
+    """With ranks of a few bits nearly all strings share theirs, and nothing is removed that
+    does not repeat; rows without an id and long texts are spread over parts."""
+    small = [(d, t[:600]) for d, t in pairs(corpus) if t]
+    exact = substrings.ranks
+    monkeypatch.setattr(substrings, "ranks", lambda data, length: exact(data, length) & np.uint64(
+        7 if length == substrings.LENGTH else 2 ** 64 - 1))
+    monkeypatch.setattr(substrings, "LONG", 500)
+    got = substrings.remove_repeats(spark.createDataFrame(small, "doc_id long, text string").repartition(3))
+    assert ordered(tuple(r) for r in got.select(DEDUP_COLUMNS).collect()) == ordered(brute.without_repeats(small))
+    parts = {substrings._part_of(d, t) for d, t in [
+        (3, b"a"), (4, b"b"), (5, b"x" * 501), (substrings.NO_ID, b"a"), (substrings.NO_ID, b"b")]}
+    assert len(parts) == 4
+
+
 def test_substrings_of_nothing(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
