@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor
 kept. All but the last return the columns of ``documents``. ``run`` stores each
 result in the shared folder and reads it for the next stage.
+
+Defined results: a null or empty text is scored like any text, is one near-duplicate group
+with all others without words, holds no personal data, has size 0, which the mix takes once
+or not at all, and is packed as the single end id. Rows without an id stay in every stage,
+but lose to rows with an id in their near-duplicate group. Repeated rows are scored alike,
+become one, and later come as often as the mix takes them. Extra columns are carried along
+and never read, whatever their names. Without rows, or without usable labels, which leave
+every document in, all stages run and return what is there.
 """
 
 from __future__ import annotations
