@@ -1,5 +1,7 @@
 """Registered corpus queries against their SQL, and the pipeline against its stages."""
 
+from collections import Counter
+
 import brute
 import compare
 import corpus_pipeline
@@ -61,6 +63,55 @@ def test_pipeline_stages(spark, tmp_path):
         t or "", add_special_tokens=False).ids + [packing.END]) == 0
 
 
+def test_stages_on_odd_documents(spark, docs, crowded, corpus, no_docs, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and ids, rows without an id, extra
+    columns: every stage against a plain version on its own input."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+    from plumelake.llm import mixing, packing
+    labelled = [(r[0], int(len((r[1] or "").split()) > 8), 0) for r in corpus if r[0] is not None]
+    spark.createDataFrame(labelled, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def rows(df):
+        return Counter((r["doc_id"], r["text"]) for r in df.collect())
+    read = rows(docs)
+    good = stages["quality classifier"](spark, docs, str(tmp_path))
+    assert good.columns == docs.columns and not rows(good) - read
+    by_text = {}
+    for doc, text in read:
+        by_text.setdefault(text, set()).add((doc, text) in rows(good))
+    assert all(len(verdicts) == 1 for verdicts in by_text.values())      # a text has one verdict
+
+    unique = stages["simhash near-duplicates"](spark, crowded, str(tmp_path))
+    assert unique.columns == crowded.columns
+    kept = rows(unique)
+    prints = {row: int(p, 16) for row, (_, p, _) in zip(read, brute.simhash_components(list(read)))}
+    codes = sorted(set(prints.values()))
+    root = dict(zip(codes, brute.linked(codes)))
+    assert max(kept.values()) == 1 and not kept - read
+    assert sorted(root[prints[r]] for r in kept) == sorted(set(root.values()))
+
+    clean = stages["personal data"](spark, unique, str(tmp_path))
+    assert clean.columns == crowded.columns
+    assert not [t for _, t in rows(clean) if brute.personal(t)]
+    assert sorted(str(d) for d, _ in rows(clean)) == sorted(str(d) for d, _ in kept)
+
+    mixed = stages["mixing"](spark, clean, str(tmp_path))
+    assert mixed.columns == crowded.columns
+    copies = mixing.mix(clean).groupBy().agg(F.sum("copies")).first()[0]
+    assert sum(rows(mixed).values()) == copies and set(rows(mixed)) <= set(rows(clean))
+
+    packed = [r.asDict() for r in stages["packing"](spark, mixed, str(tmp_path)).collect()]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    taken = [row for row, n in rows(mixed).items() for _ in range(n)]
+    assert brute.pieces_are_right(taken, packed, lambda t: tokenizer.encode(
+        t or "", add_special_tokens=False).ids + [packing.END]) == 0
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, str(tmp_path)).count() == 0, name
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert qc.SAMPLE == 20_000
