@@ -7,10 +7,13 @@ n_ct both, the term discloses
 
     PMI(c; t) = log2(n_ct N / (n_c n_t))    of    IC(c) = log2(N / n_c)
 
-bits. There is no least number of documents: a term is flagged if it discloses
-``GENERALISE`` of the entity's information even when the chance of the entity beside the
-term, n_ct / n_t, is estimated with one more document of the term that holds the entity
-by chance only. Flagged terms are generalised to a placeholder; those that disclose
+bits. What is left to know, IC - PMI = -log2(n_ct / n_t), depends on the chance of the entity
+beside the term alone, not on N. That chance must be significant: its lower bound, at
+``ALPHA`` from the number of distinct texts with both, takes the place of n_ct / n_t. A term
+is flagged if at most ``LEFT`` bits are left by that bound, and if it discloses ``GENERALISE``
+of what the entity has to disclose, so a common entity is not found beside every word. A
+word that stands with an entity in one text proves nothing, in two texts and never without
+it just enough. Flagged terms are generalised to a placeholder; those that disclose
 ``REMOVE`` by the plain counts are removed. Every occurrence in a text with the entity
 is marked. All counts are over all documents.
 
@@ -25,6 +28,8 @@ the spans of a kind do not overlap; term spans overlap no span of a pattern.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumelake.llm.common import written
@@ -43,6 +48,8 @@ KINDS = list(PATTERNS)
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 
 GENERALISE, REMOVE = 0.8, 0.95
+ALPHA = 0.05            # chance that the bound is too high
+LEFT = 2.2              # bits about an entity that a flagged term leaves open
 TERM = r"\p{L}{3,}"
 SPAN = "array<struct<kind:string,s:int,e:int,value:string>>"
 PLACEHOLDER = "[{}]"
@@ -160,7 +167,7 @@ def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", generalise:
     ``held_texts``."""
     n_docs = base.count()
     pairs = mentions(held if held is not None else held_texts(base)).groupBy("entity", "term").agg(
-        F.sum("copies").alias("n_ct"))
+        F.sum("copies").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
     entities = base.select(F.explode(F.array_distinct(F.transform(
         "_spans", lambda x: F.lower(x["value"])))).alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_c"))
@@ -169,10 +176,11 @@ def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", generalise:
     known = pairs.join(entities, "entity").join(terms, "term")
     information = F.log2(n_docs / F.col("n_c"))
 
-    def share(chance: Column) -> Column:
-        return F.when(information > 0, F.log2(chance * n_docs / F.col("n_c")) / information).otherwise(0.0)
-    careful = share((F.col("n_ct") + F.col("n_c") / n_docs) / (F.col("n_t") + 1))
-    return known.withColumn("share", share(F.col("n_ct") / F.col("n_t"))).where(careful >= generalise)
+    open_bits = -F.log2(F.col("n_ct") / F.col("n_t"))
+    # With k texts of k the bound of the chance is ALPHA to the power of 1 / k.
+    careful = open_bits - math.log2(ALPHA) / F.col("texts")
+    share = F.when(information > 0, 1 - open_bits / information).otherwise(0.0)
+    return known.withColumn("share", share).where((careful <= LEFT) & (share >= generalise))
 
 
 def find_all(docs: DataFrame, keep: list[str], text: str = "text", **how) -> tuple[DataFrame, DataFrame]:
