@@ -167,7 +167,8 @@ def disclosing(docs: DataFrame, base: DataFrame, text: str = "text", generalise:
     ``held_texts``."""
     n_docs = base.count()
     pairs = mentions(held if held is not None else held_texts(base)).groupBy("entity", "term").agg(
-        F.sum("copies").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
+        F.sum("copies").alias("n_ct"), F.count(F.lit(1)).alias("texts")).where(
+        -math.log2(ALPHA) / F.col("texts") <= LEFT)     # fewer texts never prove anything
     entities = base.select(F.explode(F.array_distinct(F.transform(
         "_spans", lambda x: F.lower(x["value"])))).alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_c"))
@@ -193,9 +194,11 @@ def find_all(docs: DataFrame, keep: list[str], text: str = "text", **how) -> tup
     base = written(base.withColumn("_held", F.when(F.size("_spans") > 0, F.col("_held"))), "pii-base")
     held = written(held_texts(base), "pii-texts")
     flagged = written(disclosing(docs, base, text, held=held, **how).select("entity", "term", "share"), "pii-terms")
-    marked = mentions(held).join(flagged, ["entity", "term"]).groupBy("_digest", "term").agg(
-        F.max("share").alias("share"))
-    hits = occurrences(held).join(marked, ["_digest", "term"])
+    marked = written(mentions(held).join(flagged, ["entity", "term"]).groupBy("_digest", "term").agg(
+        F.max("share").alias("share")), "pii-marked")
+    # Only texts with a flagged term are cut into words again.
+    concerned = held.join(marked.select("_digest").distinct(), "_digest", "left_semi")
+    hits = occurrences(concerned).join(marked, ["_digest", "term"])
     terms = hits.groupBy("_digest").agg(F.sort_array(F.collect_list(     # terms of one text
         F.struct("s", "e", "share"))).alias("_terms"))
     # Stored, so that the join with all rows is one of two plain tables: Spark sends the
