@@ -297,7 +297,8 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
             rows.append(has + a)
             bits.append(np.full(len(has), b, np.uint32))
     code, docs, rows, bits = (np.concatenate(c) for c in (codes, docs, rows, bits))
-    order = np.argsort(code)
+    # Stable: the strings around one pair of anchors stay neighbours.
+    order = np.argsort(code, kind="stable")
     code, docs = code[order], docs[order]
     if len(code):
         rows, bits = rows[order], bits[order].astype(np.int64)
@@ -327,8 +328,16 @@ def _strings(near: np.ndarray, rows: np.ndarray, bits: np.ndarray) -> np.ndarray
 
 
 def _unequal(near: np.ndarray, rows: np.ndarray, bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of places ``at`` whose next one has the same rank, those whose strings differ."""
-    found = [at[:0]]
+    """Of places ``at`` whose next one has the same rank, those whose strings differ. Two
+    neighbourhoods that are equal, as most are, settle all their strings at once."""
+    pair = rows[at].astype(np.uint64) * np.uint64(len(near)) + rows[at + 1].astype(np.uint64)
+    once = distinct(pair)
+    same = np.ones(len(once), bool)
+    for a in range(0, len(once), _ROWS):
+        i, j = np.divmod(once[a:a + _ROWS], np.uint64(max(len(near), 1)))
+        same[a:a + _ROWS] = (near[i.astype(np.int64)] == near[j.astype(np.int64)]).all(axis=1)
+    settled = (bits[at] == bits[at + 1]) & same[np.searchsorted(once, pair)]
+    found, at = [at[:0]], at[~settled]
     for a in range(0, len(at), _ROWS):
         i = at[a:a + _ROWS]
         found.append(i[(_strings(near, rows[i], bits[i]) != _strings(near, rows[i + 1], bits[i + 1])).any(axis=1)])
