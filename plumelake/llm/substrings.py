@@ -16,11 +16,12 @@ things keep the work small without changing the result:
   position in fourteen). Equal strings choose the same positions, so a string that
   repeats has an anchor that repeats at the same place in it.
 
-Round 1 gathers the ranks of anchors by slice of the ranks and returns those seen in more
-than one part of the corpus; all others are unique and leave. Round 2 gathers the
-bytes around the remaining anchors and ranks, by pairs of ranks at growing offsets, the
-strings of ``LENGTH`` bytes that hold them; a string with a lower document in its rank
-class is removed. The exact number of removed bytes follows from the union of strings.
+Round 1 gathers the ranks of anchors by slice of the ranks, cut to 32 bits, and returns
+those seen in more than one part of the corpus; all others are unique and leave. What
+two ranks cut alike let through leaves in round 2, which gathers the bytes around the
+remaining anchors and ranks, by pairs of ranks at growing offsets, the strings of
+``LENGTH`` bytes that hold them; a string with a lower document in its rank class is
+removed. Equal neighbourhoods are settled before, and one of them is ranked. The exact number of removed bytes follows from the union of strings.
 
 Strings of one rank in round 2 are compared by their bytes, so no chance is left there.
 
@@ -45,10 +46,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
 from plumelake.llm.common import partitions, written
-from plumelake.llm.packed import distinct
+from plumelake.llm.packed import distinct, spread, squeeze as squeezed
 
 LENGTH = 50
 ANCHOR = 24
@@ -62,12 +64,12 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _REACH = LENGTH - ANCHOR
 _AROUND = LENGTH + _REACH       # bytes of a neighbourhood
-_CHUNK = 1 << 20                # bytes ranked at once
+_CHUNK = 1 << 15                # bytes ranked at once, which stay near the processor
 _ROWS = 1 << 12                 # neighbourhoods ranked at once
 
 _MESSAGE = "slice int, part long, kind int, payload binary"
-# ``spot`` is the place of an anchor, with a checksum of the text above it, which tells
-# rows with the same id apart.
+# ``spot`` is the place of an anchor, with a checksum of the text above it where rows of a
+# part have the same id.
 _REMOVAL = np.dtype([("id", "<i8"), ("spot", "<u8"), ("mask", "<u4")])
 
 
@@ -110,31 +112,36 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[:len(x) - (width - size)], x[width - size:]) if width > size else x
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of one text: positions, ranks, and for each a mask of the strings it
-    stands for: bit b is the string that begins b bytes before it."""
-    if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    places, codes, masks = [], [], []
-    width = _REACH + 1
-    for at in range(0, len(data) - LENGTH + 1, _CHUNK):     # strings that begin here
-        part = data[at:at + _CHUNK + LENGTH - 1]
-        rank = _mixed(ranks(part, ANCHOR))
+def anchors(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of texts that lie one behind the other: the number of the text, the position
+    in it, the rank, and a mask of the strings it stands for: bit b is the string that
+    begins b bytes before it. Texts are ranked together, for most are short."""
+    ends = np.cumsum(np.asarray(sizes, np.int64))
+    begins = ends - sizes
+    inside = np.ones(len(flat), bool)       # strings that lie in one text
+    some = ends > begins
+    inside[np.maximum(ends[some, None] - np.arange(1, LENGTH), begins[some, None])] = False
+    places, codes, masks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    width, edge = _REACH + 1, np.zeros(_REACH, np.uint64)
+    for at in range(0, len(flat), _CHUNK):                  # positions of a chunk
+        first, stop = max(at - _REACH, 0), min(at + _CHUNK, len(flat) - LENGTH + 1)
+        if stop <= first:
+            break
+        # Never zero, which stands for no string.
+        rank = _mixed(ranks(flat[first:stop + LENGTH - 1], ANCHOR)) | np.uint64(1)
         low = _sliding(rank, width, np.minimum)             # one per string
-        edge = np.zeros(_REACH, np.uint64)
-        high = _sliding(np.concatenate([edge, low, edge]), width, np.maximum)
+        low[~inside[first:stop]] = 0
+        low = np.concatenate([edge, low, edge])
         # The highest of the lows around a position equals its rank if it is a low.
-        chosen = np.nonzero(high == rank)[0]
-        mask = np.zeros(len(chosen), np.uint32)
-        for b in range(width):
-            begin = chosen - b
-            inside = (begin >= 0) & (begin < len(low))
-            hit = inside & (low[np.where(inside, begin, 0)] == rank[chosen])
-            mask |= hit.astype(np.uint32) << np.uint32(b)
-        places.append(chosen + at)
+        chosen = np.nonzero(_sliding(low, width, np.maximum) == rank)[0]
+        chosen = chosen[(chosen >= at - first) & (chosen < at - first + _CHUNK)]
+        hit = sliding_window_view(low, width)[chosen][:, ::-1] == rank[chosen, None]
+        places.append(chosen + first)
         codes.append(rank[chosen])
-        masks.append(mask)
-    return np.concatenate(places), np.concatenate(codes), np.concatenate(masks)
+        masks.append(np.packbits(hit, axis=1, bitorder="little").view("<u4").ravel())
+    place = np.concatenate(places)
+    text = np.searchsorted(ends, place, "right")
+    return text, place - begins[text], np.concatenate(codes), np.concatenate(masks)
 
 
 def _slice_of(rank: np.ndarray, slices: int) -> np.ndarray:
@@ -170,17 +177,59 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _marked(data: np.ndarray) -> np.uint64:
-    return np.uint64(zlib.crc32(data)) << np.uint64(32)
+def _marks(ids: np.ndarray, texts: list) -> np.ndarray:
+    """A checksum above the place for texts whose id another text of the part has; else 0."""
+    order = np.sort(ids)
+    again = np.nonzero(_among(ids, distinct(order[1:][order[1:] == order[:-1]])))[0]
+    marks = np.zeros(len(ids), np.uint64)
+    for n in again.tolist():
+        marks[n] = np.uint64(zlib.crc32(texts[n])) << np.uint64(32)
+    return marks
+
+
+def _codes(rank: np.ndarray) -> np.ndarray:
+    """What round 1 sends of a rank. That some codes are equal by chance costs a row each."""
+    return _mixed(rank).astype(np.uint32)
+
+
+def _sent(codes: np.ndarray) -> bytes:
+    return squeezed(np.diff(distinct(codes), prepend=np.uint32(0)))
+
+
+def _received(body: bytes) -> np.ndarray:
+    return np.cumsum(spread(body, np.uint32), dtype=np.uint32)
 
 
 def _message(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["slice", "part", "kind", "payload"])
 
 
-def _texts(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+def _texts(batch: pd.DataFrame) -> Iterator[tuple[int, bytes]]:
     for doc, text in zip(batch["_id"].tolist(), batch["_text"]):
-        yield doc, np.frombuffer((text or "").encode(), np.uint8)
+        yield doc, (text or "").encode()
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
+
+
+def _mixed_rows(rows: np.ndarray) -> np.ndarray:
+    """A number per row of bytes, eight or a multiple of them, that equal rows share."""
+    words = np.ascontiguousarray(rows).view(np.uint64)
+    weights = _mixed(np.arange(1, words.shape[1] + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
+    out = np.zeros(len(words), np.uint64)
+    for n, weight in enumerate(weights):
+        out += words[:, n] * weight
+    return _mixed(out)
+
+
+def _classes(rows: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of rows of bytes, equal ones side by side with the lowest document first, and
+    which of them begin a class of equal rows. Rows are compared by their bytes: if two
+    numbers are equal by chance, a class may only be cut in pieces."""
+    order = np.lexsort((doc, _mixed_rows(rows)))
+    rows = rows[order]
+    return order, np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])
 
 
 # --- round 1: ranks of anchors --------------------------------------------------
@@ -190,79 +239,80 @@ def _send_ranks(slices: int):
         for batch in batches:
             found: dict[int, list] = {}
             for doc, data in _texts(batch):
-                found.setdefault(_part_of(doc, data), []).append(anchors(data)[1])
-            for part, codes in found.items():
-                rank = distinct(np.concatenate(codes))
-                yield _message([(s, part, 0, rank[r].tobytes()) for s, r in _by_slice(rank, slices)])
+                found.setdefault(_part_of(doc, data), []).append(data)
+            for part, texts in found.items():
+                rank = distinct(anchors(*_joined(texts))[2])
+                codes = _codes(rank)
+                yield _message([(s, part, 0, _sent(codes[r])) for s, r in _by_slice(rank, slices)])
     return run
 
 
 def _repeated(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
-    """Ranks that more than one message of a slice holds, back to their senders."""
-    sent = [np.frombuffer(p, np.uint64) for p in messages["payload"]]
+    """Codes that more than one message of a slice holds, back to their senders."""
+    sent = [_received(p) for p in messages["payload"]]
     every = np.sort(np.concatenate(sent))
     many = distinct(every[1:][every[1:] == every[:-1]])
     out = []
-    for part, rank in zip(messages["part"], sent):
-        back = rank[_among(rank, many)]
+    for part, codes in zip(messages["part"], sent):
+        back = codes[_among(codes, many)]
         if len(back):
-            out.append((key[0], part, 1, back.tobytes()))
+            out.append((key[0], part, 1, _sent(back)))
     return _message(out)
 
 
+def _unpacked(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Ids and sizes of the texts of a part, and the texts one behind the other."""
+    unpack = zstandard.ZstdDecompressor()
+    ids, sizes = (np.concatenate([np.asarray(v, np.int64) for v in docs[c]] + [np.zeros(0, np.int64)]) for c in ("ids", "sizes"))
+    return ids, sizes, b"".join(unpack.decompress(b) for b in docs["blob"])
+
+
 # --- round 2: neighbourhoods ----------------------------------------------------
 
-def _around(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Bytes from ``_REACH`` before each anchor to ``LENGTH`` after it, zero outside."""
+def _around(flat: np.ndarray, begin: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bytes from ``_REACH`` before each anchor to ``LENGTH`` after it, zero outside its
+    text, which begins at ``begin`` and is ``size`` bytes long."""
     edge = np.zeros(LENGTH, np.uint8)
-    padded = np.concatenate([edge[:_REACH], data, edge])
-    return padded[at[:, None] + np.arange(_AROUND)]
+    near = sliding_window_view(np.concatenate([edge[:_REACH], flat, edge]), _AROUND)[begin + at]
+    rim = np.nonzero((at < _REACH) | (at + LENGTH > size))[0]
+    place = at[rim, None] + np.arange(-_REACH, LENGTH)
+    near[rim] = np.where((place >= 0) & (place < size[rim, None]), near[rim], 0)
+    return near
 
 
 def _send_neighbourhoods(slices: int):
     def run(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         """Of one part: distinct neighbourhoods of anchors that repeat, with the lowest
         document (kind 2), and what repeats inside the part (kind 3)."""
-        unpack, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        wanted = distinct(np.concatenate(
-            [np.frombuffer(p, np.uint64) for p in known["payload"]] + [np.zeros(0, np.uint64)]))
-        kept = []
-        for ids, sizes, blob in zip(docs["ids"], docs["sizes"], docs["blob"]):
-            flat, ends = np.frombuffer(unpack.decompress(blob), np.uint8), np.cumsum(sizes)
-            for doc, a, b in zip(ids.tolist(), (ends - sizes).tolist(), ends.tolist()):
-                place, rank, mask = anchors(flat[a:b])
-                kept.append((doc, flat[a:b], place, rank, mask))
+        squeeze = zstandard.ZstdCompressor(level=6)
+        wanted = distinct(np.concatenate([_received(p) for p in known["payload"]] + [np.zeros(0, np.uint32)]))
+        ids, sizes, whole = _unpacked(docs)
+        flat, begins = np.frombuffer(whole, np.uint8), np.cumsum(sizes) - sizes
+        text, place, rank, mask = anchors(flat, sizes)
         # Anchors seen twice in the part repeat too, whatever the other parts hold.
-        every = np.concatenate([k[3] for k in kept] + [wanted[:0]])
-        inside = np.sort(every)
-        wanted = distinct(np.concatenate([wanted, inside[1:][inside[1:] == inside[:-1]]]))
-        again, at, rows = _among(every, wanted), 0, []
-        for doc, data, place, rank, mask in kept:
-            hit = np.nonzero(again[at:at + len(rank)])[0]
-            at += len(rank)
-            if len(hit):
-                rows.append((np.full(len(hit), doc, np.int64), place[hit].astype(np.uint64) | _marked(data),
-                             rank[hit], mask[hit], _around(data, place[hit])))
-        kept.clear()
-        if not rows:
+        inside = np.sort(rank)
+        hit = _among(_codes(rank), wanted) | _among(rank, distinct(inside[1:][inside[1:] == inside[:-1]]))
+        if not hit.any():
             return _message([])
-        doc, spot, rank, mask, near = (np.concatenate(c) for c in zip(*rows))
-        rows.clear()
+        text, place, rank, mask = (c[hit] for c in (text, place, rank, mask))
+        marks = _marks(ids, [flat[a:a + n] for a, n in zip(begins.tolist(), sizes.tolist())])
+        doc, spot = ids[text], place.astype(np.uint64) | marks[text]
+        near = _around(flat, begins[text], place, sizes[text])
         # One row per distinct neighbourhood and mask, its lowest document first.
-        key_rows = np.concatenate([rank[:, None].view(np.uint8), mask[:, None].view(np.uint8), near], axis=1)
-        whole = np.concatenate([ranks(key_rows[a:a + _ROWS], key_rows.shape[1])[:, 0]
-                                for a in range(0, len(key_rows), _ROWS)])
-        order = np.lexsort((doc, _mixed(whole), rank))
-        doc, spot, rank, mask, near, key_rows = (c[order] for c in (doc, spot, rank, mask, near, key_rows))
-        new = np.concatenate([[True], (key_rows[1:] != key_rows[:-1]).any(axis=1)])
-        lowest = doc[np.nonzero(new)[0]][np.cumsum(new) - 1]
+        order, new = _classes(np.concatenate([near, mask[:, None].view(np.uint8), rank[:, None].view(np.uint8)], axis=1), doc)
+        first = order[np.nonzero(new)[0]][np.cumsum(new) - 1]
+        lowest = np.empty(len(doc), np.int64)
+        lowest[order] = doc[first]
+        # Copies go; the others of one rank stay neighbours.
         later = doc > lowest
         out = []
         if later.any():
             local = np.zeros(later.sum(), _REMOVAL)
             local["id"], local["spot"], local["mask"] = doc[later], spot[later], mask[later]
-            out.append((int(key[0] % slices), key[0], 3, local.tobytes()))
-        doc, spot, rank, mask, near = (c[~later] for c in (doc, spot, rank, mask, near))
+            out.append((int(key[0] % slices), key[0], 3, _pressed(local)))
+        stays = np.nonzero(~later)[0]
+        stays = stays[np.argsort(rank[stays], kind="stable")]
+        doc, spot, rank, mask, near = (c[stays] for c in (doc, spot, rank, mask, near))
         for s, r in _by_slice(rank, slices):
             body = doc[r].tobytes() + spot[r].tobytes() + mask[r].tobytes() + near[r].tobytes()
             out.append((s, key[0], 2, squeeze.compress(body)))
@@ -270,6 +320,10 @@ def _send_neighbourhoods(slices: int):
     return run
 
 
+def _pressed(found: np.ndarray) -> bytes:
+    return squeezed(found[np.lexsort((found["spot"], found["id"]))])
+
+
 def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     """Strings of a slice that a lower document holds, as (document, anchor, mask)."""
     unpack = zstandard.ZstdDecompressor()
@@ -285,16 +339,27 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
     if not parts:
         return _message(out)
     home, doc, spot, mask, near = (np.concatenate(c) for c in zip(*parts))
+    # Of equal neighbourhoods with equal strings, the later ones lose them all, and one
+    # stands for the rest, which have the same document.
+    order, new = _classes(np.concatenate([near, mask[:, None].view(np.uint8)], axis=1), doc)
+    heads = order[np.nonzero(new)[0]]
+    head = np.empty(len(doc), np.int64)
+    head[order] = heads[np.cumsum(new) - 1]
     gone = np.zeros(len(doc), np.uint32)
+    # Equal strings have an equal anchor: where no other one has it, nothing repeats.
+    anchor = _mixed_rows(near[heads, _REACH:LENGTH])
+    ordered = np.sort(anchor)
+    heads = heads[_among(anchor, distinct(ordered[1:][ordered[1:] == ordered[:-1]]))]
     step = _ROWS
-    codes, docs, rows, bits = [], [], [], []
-    for a in range(0, len(doc), step):
-        string = ranks(near[a:a + step], LENGTH)            # one per string around the anchor
+    codes, docs, rows, bits = ([np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64, np.uint32))
+    for a in range(0, len(heads), step):
+        here = heads[a:a + step]
+        string = ranks(near[here], LENGTH)                  # one per string around the anchor
         for b in range(_REACH + 1):
-            has = np.nonzero(mask[a:a + step] >> np.uint32(b) & np.uint32(1))[0]
+            has = np.nonzero(mask[here] >> np.uint32(b) & np.uint32(1))[0]
             codes.append(string[has, _REACH - b])
-            docs.append(doc[a:a + step][has])
-            rows.append(has + a)
+            docs.append(doc[here[has]])
+            rows.append(here[has])
             bits.append(np.full(len(has), b, np.uint32))
     code, docs, rows, bits = (np.concatenate(c) for c in (codes, docs, rows, bits))
     # Stable: the strings around one pair of anchors stay neighbours.
@@ -314,12 +379,13 @@ def _removals(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
             lowest[a:b] = low[same.ravel()]
         later = docs > lowest
         np.bitwise_or.at(gone, rows[later], np.uint32(1) << bits[later].astype(np.uint32))
+    gone = np.where(doc > doc[head], mask, gone[head])
     hit = gone > 0
     found = np.zeros(int(hit.sum()), _REMOVAL)
     found["id"], found["spot"], found["mask"] = doc[hit], spot[hit], gone[hit]
     part = home[hit]
     for p in np.unique(part):
-        out.append((key[0], int(p), 3, found[part == p].tobytes()))
+        out.append((key[0], int(p), 3, _pressed(found[part == p])))
     return _message(out)
 
 
@@ -361,24 +427,22 @@ _KEPT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept bi
 
 def _cut(with_bytes: bool):
     def run(key: tuple, docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        unpack = zstandard.ZstdDecompressor()
-        gone = np.concatenate([np.frombuffer(p, _REMOVAL) for p in found["payload"]] + [np.zeros(0, _REMOVAL)])
+        gone = np.concatenate([spread(p, _REMOVAL) for p in found["payload"]] + [np.zeros(0, _REMOVAL)])
         gone = gone[np.argsort(gone["id"], kind="stable")]
-        out = []
-        for ids, sizes, blob in zip(docs["ids"], docs["sizes"], docs["blob"]):
-            flat, ends = unpack.decompress(blob), np.cumsum(sizes)
-            for doc, a, b in zip(ids.tolist(), (ends - sizes).tolist(), ends.tolist()):
-                data = flat[a:b]
-                own = gone[np.searchsorted(gone["id"], doc, "left"):np.searchsorted(gone["id"], doc, "right")]
-                own = own[own["spot"] >> np.uint64(32) << np.uint64(32) == _marked(data)] if len(own) else own
-                starts, stops = _runs_of(own) if len(own) else (np.zeros(0, int), np.zeros(0, int))
-                at, pieces = 0, []
-                for s, e in zip(starts.tolist(), stops.tolist()):
-                    pieces.append(data[at:s])
-                    at = e
-                left = b"".join([*pieces, data[at:]])
-                out.append((None if doc == NO_ID else doc, len(data), len(data) - len(left), len(starts),
-                            hashlib.sha256(left).hexdigest(), left if with_bytes else None))
+        ids, sizes, flat = _unpacked(docs)
+        texts = [flat[b - n:b] for b, n in zip(np.cumsum(sizes).tolist(), sizes.tolist())]
+        first, last = (np.searchsorted(gone["id"], ids, side).tolist() for side in ("left", "right"))
+        above, out = gone["spot"] >> np.uint64(32) << np.uint64(32), []
+        for doc, data, mark, a, b in zip(ids.tolist(), texts, _marks(ids, texts), first, last):
+            own = gone[a:b][above[a:b] == mark]
+            starts, stops = _runs_of(own) if len(own) else (np.zeros(0, int), np.zeros(0, int))
+            at, pieces = 0, []
+            for s, e in zip(starts.tolist(), stops.tolist()):
+                pieces.append(data[at:s])
+                at = e
+            left = b"".join([*pieces, data[at:]])
+            out.append((None if doc == NO_ID else doc, len(data), len(data) - len(left), len(starts),
+                        hashlib.sha256(left).hexdigest(), left if with_bytes else None))
         frame = pd.DataFrame(out, columns=["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
         return frame.astype({"_id": "Int64"})
     return run
@@ -386,7 +450,7 @@ def _cut(with_bytes: bool):
 
 def _pack_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts of a part as one compressed row."""
-    squeeze = zstandard.ZstdCompressor(level=3)
+    squeeze = zstandard.ZstdCompressor(level=7)
     for batch in batches:
         parts: dict[int, list] = {}
         for doc, text in zip(batch["_id"].tolist(), batch["_text"]):

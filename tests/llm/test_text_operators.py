@@ -132,6 +132,47 @@ def test_strings_that_share_a_rank_are_told_apart(spark, corpus, monkeypatch):
     assert len(parts) == 4
 
 
+def test_short_texts_are_ranked_together(monkeypatch):
+    """Anchors of many texts take few passes and are those of each text alone; copies of a
+    neighbourhood are settled before its strings are ranked."""
+    import random
+    import pandas as pd
+    rng, calls, exact = random.Random(5), [], substrings.ranks
+
+    def counted(data, length):
+        calls.append((length, len(data)))
+        return exact(data, length)
+    monkeypatch.setattr(substrings, "ranks", counted)
+    texts = ["".join(rng.choice("ab ") for _ in range(rng.choice([0, 1, 49, 50, 51, 200]))) for _ in range(300)]
+    texts += [texts[-1] + texts[-2] + "x" * 60]
+    frame = pd.DataFrame({"_id": range(len(texts)), "_text": texts})
+    list(substrings._send_ranks(2)([frame]))
+    assert len(calls) <= 8
+    text, place, rank, mask = substrings.anchors(*substrings._joined([t.encode() for t in texts]))
+    got = {(t, p): (r, m) for t, p, r, m in zip(text.tolist(), place.tolist(), rank.tolist(), mask.tolist())}
+    want: dict = {}
+    for n, t in enumerate(texts):
+        own = (substrings._mixed(exact(np.frombuffer(t.encode(), np.uint8), substrings.ANCHOR)) | np.uint64(1)).tolist() \
+            if len(t) >= substrings.LENGTH else []
+        for begin in range(len(t) - substrings.LENGTH + 1):
+            window = own[begin:begin + 27]
+            for b in (b for b, r in enumerate(window) if r == min(window)):
+                r, m = want.get((n, begin + b), (window[b], 0))
+                want[n, begin + b] = r, m | 1 << b
+    assert got == want
+    # A passage in forty parts: one of its copies is ranked.
+    line = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    many = pd.DataFrame({"_id": [n * substrings.PART for n in range(40)], "_text": [
+        "".join(rng.choice("abcdefgh ") for _ in range(30)) + line for _ in range(40)]})
+    parts = pd.concat(substrings._pack_parts([many]))
+    codes = substrings._codes(substrings.anchors(*substrings._joined([line.encode()]))[2])
+    known = pd.DataFrame([(0, 0, 1, substrings._sent(codes))], columns=["slice", "part", "kind", "payload"])
+    sent = pd.concat(substrings._send_neighbourhoods(1)((n,), parts.iloc[[n]], known) for n in range(40))
+    calls.clear()
+    found = substrings._removals((0,), sent)
+    assert set(found["part"]) >= set(range(1, 40)) and sum(n for length, n in calls if length == substrings.LENGTH) < 200
+
+
 def test_substrings_of_nothing(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
