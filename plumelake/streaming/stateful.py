@@ -11,13 +11,15 @@ Spark; ``refresh_features`` mends their days from the clean table. A station tha
 silent is cut down to its last reading by a timer.
 
 Sums run over whole units (``scale``), so the values are those of the batch form bit by
-bit. The readings of a station and batch are worked on at once, as arrays.
+bit. The readings of a station and batch are worked on at once, as arrays; only
+``STEP`` of them are Python objects at a time.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -47,18 +49,48 @@ _PRIORITY = [_VALUES.index(c) for c in schemas.columns(schemas.RAW) if c in _VAL
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _plain(values: list) -> tuple:
-    """Values as state takes them: no numpy types, null for NaN, whole numbers whole,
-    which pandas makes fractions of in a column with nulls."""
-    plain = [v.item() if isinstance(v, np.generic) else v for v in values]
-    plain = [None if v is None or v != v else v for v in plain]
-    return tuple(int(v) if v is not None and w else v for v, w in zip(plain, _WHOLE))
+STEP = 1 << 14      # readings that are Python objects at once
 
 
-def _order(row: tuple) -> list:
-    """Which of two readings of one instant survives: the lower one, nulls first, as in
-    the batch form without an order of arrival."""
-    return [(v is not None, v if v is not None else 0) for v in (row[i] for i in _PRIORITY)]
+def _columns(frame: pd.DataFrame) -> dict[str, pd.Series]:
+    """Readings as arrays of one kind: null for NaN, whole numbers whole, which pandas makes
+    fractions of in a column with nulls; equal texts of a batch are one object."""
+    out = {"micros": frame["micros"].astype("int64")}
+    for f, whole in zip(_STORED.fields, _WHOLE):
+        kind = "Int64" if whole else "float64" if isinstance(f.dataType, T.FractionalType) else object
+        out[f.name] = frame[f.name].astype(kind)
+    return out
+
+
+def _gathered(parts: list[dict[str, pd.Series]]) -> pd.DataFrame:
+    """The parts, which are used up column by column, behind each other."""
+    return pd.DataFrame({c: pd.concat([p.pop(c) for p in parts], ignore_index=True) for c in ["micros", *_STORED.names]},
+                        copy=False)
+
+
+def _stored(rows: Iterator[tuple]) -> Iterator[dict[str, pd.Series]]:
+    """The readings of the state, some at a time."""
+    rows, texts = iter(rows), {}
+    while part := list(islice(rows, STEP)):
+        frame = pd.DataFrame([tuple(texts.setdefault(v, v) if isinstance(v, str) else v for v in r) for r in part],
+                             columns=["micros", *_STORED.names])
+        yield _columns(frame)
+
+
+def _plain(frame: pd.DataFrame) -> list[tuple]:
+    """Rows as state takes them: no numpy types, null for NaN."""
+    return list(zip(*[[None if v is None or v is pd.NA or v != v else v for v in frame[c].tolist()] for c in frame]))
+
+
+def _survivors(given: pd.DataFrame) -> np.ndarray:
+    """Places of one reading per instant, by time. Of two the lower one survives, nulls first,
+    as in the batch form without an order of arrival; of equal ones the first."""
+    again = given["micros"].duplicated(keep=False).to_numpy()
+    stay = np.nonzero(~again)[0]
+    if again.any():
+        several = given[again].sort_values(["micros", *[_VALUES[i] for i in _PRIORITY]], na_position="first", kind="stable")
+        stay = np.concatenate([stay, several.index[~several["micros"].duplicated().to_numpy()].to_numpy()])
+    return stay[np.argsort(given["micros"].to_numpy()[stay], kind="stable")]
 
 
 class StationHistory(StatefulProcessor):
@@ -72,23 +104,27 @@ class StationHistory(StatefulProcessor):
         self.readings = handle.getListState("readings", T.StructType([T.StructField("micros", T.LongType()), *_STORED.fields]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = {r[0]: tuple(r[1:]) for r in self.readings.get()}
-        changed = set()
-        for batch in rows:
-            for micros, *values in batch[["micros", *_STORED.names]].itertuples(index=False):
-                new, micros = _plain(values), int(micros)
-                if micros not in known or _order(new) < _order(known[micros]):
-                    known[micros] = new
-                    changed.add(micros)
-        if not changed:
+        parts = list(_stored(self.readings.get()))
+        before = sum(len(p["micros"]) for p in parts)
+        parts += [_columns(batch) for batch in rows]
+        if not parts:
             return
-        times = np.array(sorted(known), np.int64)
-        out = self._features(times, [known[t] for t in times.tolist()], np.array(sorted(changed), np.int64))
-        out.insert(0, "station_id", key[0])
-
-        self.readings.put([(t, *known[t]) for t in times[self._old(times):].tolist()])
+        given = _gathered(parts)
+        stay = _survivors(given)
+        changed = stay >= before
+        if not changed.any():
+            return
+        known = given.iloc[stay].reset_index(drop=True)
+        del given
+        times = known["micros"].to_numpy()
+        kept = known.iloc[self._old(times):]
+        self.readings.put(_plain(kept[:STEP]))
+        for at in range(STEP, len(kept), STEP):
+            self.readings.appendList(_plain(kept[at:at + STEP]))
         self.handle.registerTimer(int(times[-1]) // 1000 + self.keep * 1000)
-        yield out
+        for out in self._features(times, known, times[changed]):
+            out.insert(0, "station_id", key[0])
+            yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         known = sorted(map(tuple, self.readings.get()), key=lambda r: r[0])
@@ -104,7 +140,8 @@ class StationHistory(StatefulProcessor):
         cut = int(np.searchsorted(times, times[-1] - self.keep * 1_000_000))
         return max(cut - 1, 0)
 
-    def _features(self, times: np.ndarray, values: list[tuple], changed: np.ndarray) -> pd.DataFrame:
+    def _features(self, times: np.ndarray, known: pd.DataFrame, changed: np.ndarray) -> Iterator[pd.DataFrame]:
+        """The rows that readings at the times ``changed`` reach, ``STEP`` at a time."""
         second = np.floor_divide(times, 1_000_000)
         own = np.floor_divide(changed, 1_000_000)
         marks = np.zeros(len(times) + 1, np.int64)
@@ -113,33 +150,35 @@ class StationHistory(StatefulProcessor):
         np.add.at(marks, np.searchsorted(second, own + DAY, "right"), -1)
         reached = np.cumsum(marks[:-1]) > 0
         reached[np.minimum(at + 1, len(times) - 1)] = True
-        rows = np.nonzero(reached)[0]
-
-        frame = pd.DataFrame([values[i] for i in rows.tolist()], columns=_STORED.names)
-        frame.insert(0, "micros", times[rows])
-        columns = {"pm25": [v[-1] for v in values], "aqi": [v[_VALUES.index("aqi")] for v in values]}
-        for s in FEATURE_SPECS:
-            given = np.array([v is not None for v in columns[s.col]], bool)
-            whole = np.array([v if v is not None else 0 for v in columns[s.col]], np.int64)
-            low, high = np.searchsorted(second, second[rows] - s.seconds), np.searchsorted(second, second[rows], "right")
-            n = np.concatenate([[0], np.cumsum(given)])
-            n = n[high] - n[low]
-            if s.fn == "max":
-                lowest = np.iinfo(np.int64).min
-                padded = np.append(np.where(given, whole, lowest), lowest)
-                best = np.maximum.reduceat(padded, np.stack([low, high], 1).ravel())[::2]
-                frame[s.out] = pd.array([int(b) if k else None for b, k in zip(best, n)], "Int32")
-            else:
-                total = np.concatenate([[0], np.cumsum(whole)])
-                divisor = n * float(10 ** self.scale if s.col == "pm25" else 1)
-                with np.errstate(invalid="ignore"):
-                    mean = (total[high] - total[low]).astype(np.float64) / divisor
-                frame[s.out] = [m if k else None for m, k in zip(mean.tolist(), n.tolist())]
-        index = columns["aqi"]
-        frame[TREND] = pd.array([index[i] - index[i - 1] if i and index[i] is not None and index[i - 1] is not None
-                                 else None for i in rows.tolist()], "Int32")
-        frame["aqi"] = frame["aqi"].astype("Int32")
-        return frame.drop(columns="units")
+        every = np.nonzero(reached)[0]
+
+        given, whole, sums = {}, {}, {}
+        for c, source in (("pm25", "units"), ("aqi", "aqi")):
+            given[c] = known[source].notna().to_numpy()
+            whole[c] = known[source].to_numpy(np.int64, na_value=0)
+            sums[c] = [np.concatenate([[0], np.cumsum(v)]) for v in (given[c], whole[c])]
+        lowest = np.iinfo(np.int64).min
+        padded = {c: np.append(np.where(given[c], whole[c], lowest), lowest) for c in given}
+        for start in range(0, len(every), STEP):
+            rows = every[start:start + STEP]
+            frame = known.iloc[rows].reset_index(drop=True)
+            for s in FEATURE_SPECS:
+                low, high = np.searchsorted(second, second[rows] - s.seconds), np.searchsorted(second, second[rows], "right")
+                n, total = (v[high] - v[low] for v in sums[s.col])
+                if s.fn == "max":
+                    best = np.maximum.reduceat(padded[s.col], np.stack([low, high], 1).ravel())[::2]
+                    frame[s.out] = pd.array([int(b) if k else None for b, k in zip(best, n)], "Int32")
+                else:
+                    divisor = n * float(10 ** self.scale if s.col == "pm25" else 1)
+                    with np.errstate(invalid="ignore"):
+                        mean = total.astype(np.float64) / divisor
+                    frame[s.out] = [m if k else None for m, k in zip(mean.tolist(), n.tolist())]
+            last = np.maximum(rows - 1, 0)
+            both = (rows > 0) & given["aqi"][rows] & given["aqi"][last]
+            step = whole["aqi"][rows] - whole["aqi"][last]
+            frame[TREND] = pd.array([d if k else None for d, k in zip(step.tolist(), both.tolist())], "Int32")
+            frame["aqi"] = frame["aqi"].astype("Int32")
+            yield frame.drop(columns="units")
 
 
 def station_features(clean: DataFrame, late: str = "2 days", scale: int = 2) -> DataFrame:

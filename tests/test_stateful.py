@@ -100,6 +100,33 @@ def test_repeats_and_silence():
     assert run(processor, handle, [(9.0 * DAY, 1, 1.0)])[9.0 * DAY][:1] == (1.0,)
 
 
+def test_memory_of_many_readings_of_a_station(monkeypatch):
+    """Readings stay in arrays, and rows come out and go to the state in steps."""
+    import tracemalloc
+
+    class Listed(FakeHandle):
+        most = 0
+
+        def put(self, rows):
+            self.kept, self.most = len(rows), max(self.most, len(rows))
+
+        def get(self):
+            return iter([])
+
+        def appendList(self, rows):
+            self.kept, self.most = self.kept + len(rows), max(self.most, len(rows))
+    monkeypatch.setattr(stateful, "STEP", 1000, raising=False)
+    processor, handle, n = stateful.StationHistory(2 * DAY, 2), Listed(), 40_000
+    processor.init(handle)
+    tracemalloc.start()
+    given = (batch(*[(a * 30.0 + k * 30.0, k % 5, k / 100) for k in range(1000)]) for a in range(0, n, 1000))
+    sizes = [len(f) for f in processor.handleInputRows(("a",), given, None)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == n and max(sizes) <= 1000 and handle.most <= 1000 and handle.kept >= 3 * DAY // 30
+    assert peak / n < 500
+
+
 def test_stream_equals_batch_with_late_rows(spark, clean_of, tmp_path):
     draw = random.Random(6)
     given = [(draw.choice("ab"), float(draw.randrange(6 * DAY)), draw.choice([None, 1, 3, 5]), draw.randrange(9000) / 100)
