@@ -308,3 +308,62 @@ def test_character_data_without_an_end_is_whole():
     def text(html):
         return [t for kind, _, t in templates.parse(html) if kind == "text"]
     assert text("<p><![CDATA[abcdef") == ["abcdef"] and text("<p><![CDATA[abc]]>d</p>") == ["abcd"]
+
+
+def test_roles_of_a_text_are_told_apart_by_its_place(spark):
+    """One text is a heading of the site on every page, and own text of four pages."""
+    rows = [("http://r.org/", f"<div><h1>Site</h1><p>Topics</p><hr><p>Own {n}</p>" + "<p>Topics</p>" * (n < 4) + "</div>")
+            for n in range(40)]
+    assert texts_of(spark, *rows) == [f"Own {n}" + "\nTopics" * (n < 4) for n in range(40)]
+
+
+def test_members_of_a_class_need_order_not_distance(spark):
+    """The menu of a section, with own lines in changing number between its entries."""
+    def between(n, k):
+        return "".join(f"<p>Own {n} {k} {x}</p>" for x in range(n % (k + 2)))
+    rows = [("http://o.org/", f"<div>{between(n, 3)}" + (
+        f"<b>North</b>{between(n, 0)}<p>East</p>{between(n, 1)}<p>South</p>{between(n, 2)}" if n % 2 else "") + "<p>end</p></div>")
+        for n in range(40)]
+    for text in texts_of(spark, *rows):
+        assert "East" not in text and "South" not in text
+
+
+def test_slots_are_gaps_of_the_template(spark):
+    """Rotating adverts and own text have the same path, on either side of a line."""
+    rows = [("http://g.org/", f"<div><h1>Site</h1><p>Buy {n % 4}</p><hr>" + "".join(
+        f"<p>Own {n} {k}</p>" for k in range(3)) + "</div>") for n in range(40)]
+    assert texts_of(spark, *rows) == ["\n".join(f"Own {n} {k}" for k in range(3)) for n in range(40)]
+
+
+def test_classes_are_valid_and_nested(spark):
+    """Tags are members; the class of an item lies in a gap of the class of the page, and a
+    line in it, split off in a later round, too."""
+    html = [(f"h{n % 2}", "<body><h1>T</h1><ul>" + f"<li><h2>x {n}</h2><p>Same</p><p>y {n}</p></li>" * (1 + n // 2 % 3)
+             + "</ul><p>Same</p></body>") for n in range(24)]
+    got = templates.deduce(spark.createDataFrame(html, "host string, html string")).collect()
+    assert {r["host"] for r in got} == {"h0", "h1"}
+    for r in got:
+        root, item = sorted(r["nested"], key=lambda c: c["parent"] is not None)
+        assert root["parent"] is None and item["parent"] == root["cls"]
+        size = {c: n for c, n, level in zip(r["ids"], r["lengths"], r["rounds"]) if level == max(r["rounds"])}
+        # body, h1, T, /h1, ul, /ul, p, Same, /p, /body; li, h2, /h2, p, Same, /p, p, /p, /li
+        assert (size[root["cls"]], size[item["cls"]], len(size)) == (10, 9, 2)
+        assert max(r["rounds"]) >= 1
+
+
+@pytest.mark.parametrize("roles,bad", [
+    ([1, 2, 3, 11, 12, 13], set()), ([1, 11, 12, 13, 11, 12, 13, 2, 3], set()), ([1, 3, 2], {(5, 1), (5, 2)}),
+    ([1, 2, 3, 1, 3, 2], {(5, 1), (5, 2)}), ([1, 11, 2, 12, 3, 13], {(5, -1)}), ([1, 11, 12, 2, 3, 13], {(5, -1)}),
+    ([11, 13, 12, 1, 2, 3], {(6, 1), (6, 2)}), ([9, 1, 9, 2, 9, 3, 9], set())])
+def test_validity_of_classes_on_a_page(roles, bad):
+    members = {1: (5, 0, 3), 2: (5, 1, 3), 3: (5, 2, 3), 11: (6, 0, 3), 12: (6, 1, 3), 13: (6, 2, 3)}
+    assert templates._invalid(roles, members) == bad
+    if not bad:
+        # Gaps: nothing is left open at the end.
+        assert templates._gaps([*roles, 99], members)[-1] is None
+
+
+def test_parts_of_a_hot_host_and_copies_count_once(spark, monkeypatch):
+    monkeypatch.setattr(templates, "CHUNK", 7)
+    rows = [("http://h.org/", f"<div><p>Always.</p><p>Own {n % 30}</p></div>") for n in range(60)]
+    assert texts_of(spark, *rows) == [f"Own {n % 30}" for n in range(60)]
