@@ -255,3 +255,78 @@ def test_copies_of_one_vector_and_of_a_query(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
     got = sorted(map(tuple, topk.top_k(df, 4, F.col("vec_id") % 10 == 0, block=16, query_block=4).collect()))
     assert got == brute.top_k(rows, 4, 10)
+
+
+@pytest.mark.parametrize("size", [100, 40_000, 2 ** 29])
+def test_products_that_reach_a_limit(size):
+    """As floats, doubles and longs: all of them, exactly, from the low to the high limit of a row."""
+    rng = np.random.default_rng(size)
+    a, b = rng.integers(-size, size, (37, 9)), rng.integers(-size, size, (530, 9))
+    a, b = (vectors.Rows(vectors.matrix(vectors.body(x), 9, len(x))) for x in (a, b))
+    assert vectors.kind(a, b) is {100: np.float32, 40_000: np.float64, 2 ** 29: np.int64}[size]
+    exact = a.values.astype(np.int64).astype(object) @ b.values.astype(np.int64).astype(object).T
+    ordered = np.sort(exact.astype(np.float64), axis=1)
+    low, high = (ordered[:, [300, 500]].T + ordered[:, [301, 501]].T) / 2
+    got = [set(zip(*(x.tolist() for x in piece))) for piece in vectors.reaching(a, b, low, high)]
+    want = {(r, c, s) for r, row in enumerate(exact) for c, s in enumerate(row) if low[r] <= s <= high[r]}
+    assert set().union(*got) == want and sum(map(len, got)) == len(want)
+    best = {(r, c) for r, row in enumerate(exact) for c, s in enumerate(row) if s >= sorted(row)[-3]}
+    most = [x for r, c, _ in vectors.reaching(a, b, np.full(37, -np.inf), most=3) for x in zip(r.tolist(), c.tolist())]
+    assert best <= set(most) and len(most) < 37 * 10
+
+
+def test_best_by_one_number_is_best_by_three():
+    rng = np.random.default_rng(2)
+    for wide in (1, 2 ** 60):       # the second has no one number for group and score
+        groups, scores, ids = rng.integers(0, 9, 400), wide * rng.integers(-3, 4, 400), rng.permutation(400)
+        ranked = sorted(range(400), key=lambda i: (groups[i], -int(scores[i]), ids[i]))
+        want = [i for n, i in enumerate(ranked) if n < 4 or groups[ranked[n - 4]] != groups[i]]
+        assert vectors.best(groups, ids, scores, 4).tolist() == want
+
+
+def test_blocks_meet_without_pairs_of_them(spark):
+    """A task gets a block and an asked block once, however many it meets, and the asked ones first."""
+    blocks = spark.createDataFrame([(3, 10 + n, b"c") for n in range(12)], "dim int, block long, data binary")
+    asked = spark.createDataFrame([(3, n, b"q") for n in range(8)], "dim int, q int, data binary")
+    tasks = vectors.meet(asked, blocks, 80, 3, 40).rdd.glom().collect()
+    assert len(tasks) == 6 and sum(map(len, tasks)) == 8 * 3 + 12 * 2
+    pairs = [(r.q_q, c.c_block) for rows in tasks for r in rows if r.turn == 0 for c in rows if c.turn == 1]
+    assert sorted(pairs) == [(q, 10 + n) for q in range(8) for n in range(12)]
+    assert all([r.turn for r in rows] == sorted(r.turn for r in rows) for rows in tasks)
+
+
+@pytest.fixture
+def small_tasks(monkeypatch):
+    """Tasks that hold a few rows of either side, so that there are many."""
+    monkeypatch.setattr(vectors, "SPAN", 30)
+    monkeypatch.setattr(topk, "HELD", 6)
+    monkeypatch.setattr(hn, "HELD", 6)
+
+
+def test_top_k_in_many_tasks(spark, small_tasks):
+    rng = np.random.default_rng(8)
+    rows = [(n, rng.normal(0, 0.2, 8).round(1).tolist()) for n in range(300)] + [(1000 + n, [0.1 * n] * 5) for n in range(40)]
+    rows = [(n, rows[0][1] if n % 4 == 0 and n < 300 else v) for n, v in rows] + [rows[10], rows[20], rows[20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, topk.top_k(df, 4, F.col("vec_id") % 10 == 0, block=9, query_block=3).collect()))
+    assert got == brute.top_k(rows, 4, 10)
+
+
+def test_negatives_in_many_tasks(spark, labelled, small_tasks):
+    df = spark.createDataFrame(labelled, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = hn.hard_negatives(df, 20, block=9, anchor_block=3)
+    assert sorted_rows(got.collect()) == sorted_rows(plain_negatives(labelled, 20))
+
+
+def test_held_entries_stay_few():
+    """Entries that come after the best leave again, so a task holds a bounded number of them."""
+    held, rng, most = vectors.Best(50, 10), np.random.default_rng(4), 0
+    for _ in range(60):
+        held.add(rng.integers(0, 50, 3000), rng.integers(0, 10 ** 6, 3000), rng.integers(0, 10 ** 9, 3000))
+        most = max(most, sum(len(p[0]) for p in held.parts))
+    groups, _, scores = held.trim()
+    assert len(groups) == 500 and most < 15_000
+    assert (held.low == [scores[groups == g].min() for g in range(50)]).all()
+    few = vectors.Best(2, 10)
+    few.add(np.array([1, 0, 1]), np.array([5, 6, 4]), np.array([7, 9, 7]))
+    assert [c.tolist() for c in few.trim()] == [[0, 1, 1], [6, 4, 5], [9, 7, 7]] and (few.low == -np.inf).all()
