@@ -123,9 +123,10 @@ def reaching(a: Rows, b: Rows, low: np.ndarray, high: np.ndarray | None = None,
     of, width = kind(a, b), min(WIDTH, -(-len(b) // 32) * 32)
     left, right = a.of(of), b.of(of, width)
     step = max(1, CELLS // len(right))
-    low = np.ceil(low)              # products are whole numbers
+    # Products are whole numbers.
+    low, high = np.ceil(low), None if high is None else np.floor(high)
     if of is np.float32:
-        low = low.astype(of)
+        low, high = low.astype(of), None if high is None else high.astype(of)
     room = np.empty((min(step, len(a)), len(right)), of)
     for i in range(0, len(a), step):
         floor = low[i:i + step]
@@ -140,13 +141,14 @@ def reaching(a: Rows, b: Rows, low: np.ndarray, high: np.ndarray | None = None,
         else:
             near = groups[r, g]
             inside = near >= floor[r, None]
-        if high is not None:
-            inside &= near <= high[i:i + step][r, None]
         at = _true(inside.ravel())
         r, c, found = r[at // width], g[at // width] * width + at % width, near.ravel()[at]
         if len(right) > len(b):
             real = c < len(b)
             r, c, found = r[real], c[real], found[real]
+        if high is not None:
+            within = found <= high[i:i + step][r]
+            r, c, found = r[within], c[within], found[within]
         if most is not None and len(r) > 4 * most * len(floor):
             own = scores[:, :len(b)]
             r, c = highest(own, own >= floor[:, None], most)
